@@ -165,12 +165,13 @@ def _records(lines: list[str], control: FileControl, complete: bool) -> list[lis
     return records if complete else records[:-1]
 
 
-def with_record_no(df: DataFrame, staged: bool = False) -> DataFrame:
-    """Running number of each record inside its file, from 0, counting data records only.
+def with_record_no(df: DataFrame, staged: bool = False, whole_folder: bool = False) -> DataFrame:
+    """Running number of each data record, from 0, inside its file; or, for a folder whose files
+    are the parts of one export, inside the folder, files taken in name order.
 
-    Nothing is sorted: one small row per split (first position, count) is summed up per file
-    and joined back. The scan is written to scratch space first (``staged`` says that it has
-    been already), so that both passes see the same splits even when executors come and go.
+    Nothing is sorted: one small row per split (first position, count) is summed up and joined
+    back. The scan is written to scratch space first (``staged`` says that it has been already),
+    so that both passes see the same splits even when executors come and go.
     """
     kept = df if staged else materialise(df, "records")
     at = [SRC_FILE, SRC_BLOCK]
@@ -178,8 +179,14 @@ def with_record_no(df: DataFrame, staged: bool = False) -> DataFrame:
         kept.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"), F.min(SRC_POS).alias("_first")),
         "splits",
     )
-    # one row per split, not per record
-    earlier = Window.partitionBy(SRC_FILE).orderBy(SRC_BLOCK).rowsBetween(
+    if whole_folder:
+        # part-100000 follows part-99999
+        within = F.regexp_extract(SRC_FILE, r"^(.*)/", 1)
+        order = [F.length(SRC_FILE), F.col(SRC_FILE), F.col(SRC_BLOCK)]
+    else:
+        within, order = F.col(SRC_FILE), [F.col(SRC_BLOCK)]
+    # a window over one row per split, not per record
+    earlier = Window.partitionBy(within).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1
     )
     shift = splits.select(

@@ -23,10 +23,13 @@ KML_SCHEMA = (
 )
 
 
-def scan_geojson(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_geojson(
+    spark: SparkSession, path: str | list[str], sequence: bool = False
+) -> DataFrame:
     """One row per feature: file, layer name, reference system, properties, geometry type and
-    its coordinates as JSON text."""
-    whole = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", True).json(path)
+    its coordinates as JSON text. A file is one collection, or a ``sequence`` of one collection
+    per line, which Spark can split."""
+    whole = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", not sequence).json(path)
     return geojson_features(whole.select("*", F.col("_metadata.file_path").alias("file")))
 
 

@@ -14,9 +14,12 @@ LOG_SCHEMA = (
 )
 
 
-def scan_job_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Events with their position in the log; keys nobody asks for are left out."""
-    raw = spark.read.schema(LOG_SCHEMA).option("multiLine", True).json(path)
+def scan_job_log(
+    spark: SparkSession, path: str | list[str], json_lines: bool = False
+) -> DataFrame:
+    """Events with their position in the log; keys nobody asks for are left out. A log is one
+    array per file, or one event per line, which Spark can split."""
+    raw = spark.read.schema(LOG_SCHEMA).option("multiLine", not json_lines).json(path)
     placed = raw.select(
         F.col("_metadata.file_path").alias("log_file"),
         F.monotonically_increasing_id().alias("pos"),

@@ -59,7 +59,14 @@ def export_json(df: DataFrame, path: str) -> None:
 
 def write_delimited(df: DataFrame, path: str, separator: str = ",", header: bool = True) -> None:
     """Rows as delimited text. Tab-separated files are written without quoting."""
-    out = df.write.mode("overwrite").option("sep", separator).option("header", header)
-    if separator == "\t":
-        out = out.option("quote", "\u0000")
-    out.option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    options = {
+        "sep": separator,
+        "header": header,
+        "escape": '"',
+        "quote": "\u0000" if separator == "\t" else '"',
+        # blanks at the ends of a cell are part of it
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    }
+    df.write.mode("overwrite").options(**options).csv(path)
