@@ -174,6 +174,7 @@ def replace_by_delta(
 
 def create_dataset(store: DatasetStore, dataset_id: str, rows: DataFrame) -> int:
     """First version of a dataset."""
+    store.register(dataset_id)
     version, sent = store.stage(rows, dataset_id)
     store.publish(dataset_id, version, sent)
     return version
@@ -190,6 +191,8 @@ def port_dataset(
 ) -> PublishResult:
     """Copy ``schema``, ``data`` or ``all`` of a dataset to another one."""
     source = store.read(source_id)
+    if copy != "data":
+        store.register(sink_id)
     if copy == "schema":
         result = port.copy_schema(source).withColumn(publish.ACTION, F.lit(publish.CREATED))
     elif copy == "all":

@@ -49,9 +49,15 @@ def geojson_features(collections: DataFrame) -> DataFrame:
     )
 
 
-def scan_kml(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per placemark; the file is split by row tag."""
-    marks = spark.read.schema(KML_SCHEMA).option("rowTag", "Placemark").xml(path)
+def scan_kml(spark: SparkSession, path: str | list[str], sequence: bool = False) -> DataFrame:
+    """One row per placemark. A file is one document, or a ``sequence`` of one placemark per
+    line, which Spark can split."""
+    marks = (
+        spark.read.schema(KML_SCHEMA)
+        .option("rowTag", "Placemark")
+        .option("multiLine", not sequence)
+        .xml(path)
+    )
     kind = (
         F.when(F.col("Point").isNotNull(), "Point")
         .when(F.col("LineString").isNotNull(), "LineString")

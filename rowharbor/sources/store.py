@@ -86,25 +86,29 @@ class DatasetStore:
     def _commits_path(self, dataset_id: str) -> str:
         return f"{self.root}/{dataset_id}/commits"
 
-    def commits(self, dataset_id: str) -> DataFrame | None:
-        """The commit list, or None where nothing was ever published."""
+    def register(self, dataset_id: str) -> None:
+        """Start a dataset with an empty commit list; repeating this changes nothing."""
+        schema = T.StructType.fromDDL(COMMITS)
+        none = self.spark.createDataFrame([], schema)
+        none.write.mode("append").parquet(self._commits_path(dataset_id))
+
+    def commits(self, dataset_id: str) -> DataFrame:
+        """The commit list."""
         schema = T.StructType.fromDDL(COMMITS)
         try:
             return self.spark.read.schema(schema).parquet(self._commits_path(dataset_id))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
-                return None
+                raise LookupError(f"there is no dataset '{dataset_id}'") from e
             raise
 
     def current_version(self, dataset_id: str) -> int | None:
         """Newest published version, if any."""
-        commits = self.commits(dataset_id)
-        return None if commits is None else commits.agg(F.max("version")).first()[0]
+        return self.commits(dataset_id).agg(F.max("version")).first()[0]
 
     def has_batch(self, dataset_id: str, batch: str) -> bool:
         """Whether a batch of that name was published before."""
-        commits = self.commits(dataset_id)
-        return commits is not None and bool(commits.filter(F.col("batch") == batch).head(1))
+        return bool(self.commits(dataset_id).filter(F.col("batch") == batch).head(1))
 
     def read_version(self, dataset_id: str, version: int) -> DataFrame:
         """One version with its system columns."""
