@@ -16,6 +16,7 @@ from rowharbor.sources.delimited import (
     mark_blank_lines,
     sample_rows,
     scan_delimited,
+    scan_head,
     with_record_no,
 )
 from rowharbor.sources.sinks import export_json
@@ -32,9 +33,9 @@ ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "text"
           "o_totalprice": "double", "o_orderdate": "calendar_date", "o_orderpriority": "text"}
 
 
-def typed_scan(spark, path, control, types):
+def typed_scan(spark, path, control, types, **options):
     """Scan, clean and type a file; only the dataset's columns."""
-    rows = scan_delimited(spark, path, control)
+    rows = scan_delimited(spark, path, control, **options)
     return cast_types(clean_cells(rows, control), types, control).select(*types)
 
 
@@ -66,6 +67,14 @@ def scan_multiline_text(spark, sf_dir):
     return typed_scan(spark, path, VERBATIM, types)
 
 
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def scan_multiline_split(spark, sf_dir):
+    """The same text, each file split between tasks whatever its size."""
+    path = as_delimited(table(spark, sf_dir, "conversations"), "conversations")
+    types = {"conv_id": "bigint", "turn": "bigint", "role": "text", "text": "text"}
+    return typed_scan(spark, path, VERBATIM, types, large_file=0)
+
+
 @query("SELECT page_id, url, html FROM pages")
 def scan_quoted_html(spark, sf_dir):
     path = as_delimited(table(spark, sf_dir, "pages"), "pages")
@@ -97,7 +106,7 @@ SELECT p_partkey, p_name, p_type FROM part ORDER BY p_partkey LIMIT 100
 def sample_of_file(spark, sf_dir):
     path = as_delimited(in_order(table(spark, sf_dir, "part"), "p_partkey"), "part")
     known = ["p_type", "p_partkey", "p_name", "not_in_file"]
-    rows = sample_rows(scan_delimited(spark, path, PLAIN), 100, known)
+    rows = sample_rows(scan_head(spark, path, PLAIN, 100), 100, known)
     return rows.withColumn("p_partkey", F.col("p_partkey").try_cast("bigint"))
 
 
@@ -117,7 +126,7 @@ def preview_of_columns(spark, sf_dir):
         "p_partkey", "p_name", F.when(F.col("p_size") < 25, F.col("p_brand")).alias("p_brand")
     )
     path = as_delimited(in_order(part, "p_partkey"), "part")
-    return column_preview(scan_delimited(spark, path, PLAIN), 10, 50)
+    return column_preview(scan_head(spark, path, PLAIN, 10), 10, 50)
 
 
 @query("""

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Most splits whose one-row-per-split table is sent to every task: a path and two numbers each,
+# some 200 MB at most. At 128 MB a split this is 64 TB in one scan; larger ones are joined by shuffle.
+SPLITS_TO_BROADCAST = 500_000
+
 
 def field(name: str) -> Column:
     """Column by exact name; file headers may hold dots, spaces or backticks."""
@@ -23,6 +27,8 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     own = tempfile.mkdtemp(prefix="rowharbor-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
@@ -44,3 +50,9 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def join_splits(rows: DataFrame, splits: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach a materialised one-row-per-split table to the rows of the splits."""
+    small = splits.count() <= SPLITS_TO_BROADCAST  # read from file footers
+    return rows.join(F.broadcast(splits) if small else splits, keys, "left")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowharbor.control import NO_QUOTE, FileControl
-from rowharbor.runtime import field, materialise
+from rowharbor.runtime import field, join_splits, materialise
+from rowharbor.sources import multiline
 
 SRC_FILE = "_src_file"
 SRC_BLOCK = "_src_block"
@@ -25,6 +26,9 @@ CORRUPT = "_corrupt"
 RECORD_NO = "record_no"
 SOURCE_COLUMNS = (SRC_FILE, SRC_BLOCK, SRC_POS, SRC_TIME, CORRUPT, RECORD_NO)
 
+# From this size on a file with multi-line cells is split between tasks.
+LARGE_FILE = 512 * 1024 * 1024
+
 # A text no cell holds: keeps the reader from taking any real cell for a null.
 _IMPOSSIBLE = "\u0001\u0002null\u0002\u0001"
 
@@ -62,7 +66,7 @@ def reader_options(control: FileControl) -> dict:
         "quote": quote,
         "escape": escape,
         "encoding": control.encoding or "utf-8",
-        "multiLine": control.multi_line,
+        "multiLine": spans_lines(control),
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
         # pruned columns would hide short and long rows
@@ -84,21 +88,39 @@ def leading_records(control: FileControl) -> int:
     return control.skip + (1 if control.has_header_row and not names_given else 0)
 
 
+def spans_lines(control: FileControl) -> bool:
+    """Whether a cell may hold a line break: without quoting none can."""
+    return control.multi_line and _quote(control) != NO_QUOTE
+
+
+def _can_split(control: FileControl) -> bool:
+    plain = (control.encoding or "utf-8").lower().replace("_", "-") in ("utf-8", "us-ascii")
+    return plain and (control.escape or "") in ("", NO_QUOTE, _quote(control))
+
+
 def scan_delimited(
     spark: SparkSession,
     path: str | list[str],
     control: FileControl,
     names: Sequence[str] | None = None,
+    large_file: int = LARGE_FILE,
 ) -> DataFrame:
     """All records of a file or folder of files, every cell as text.
 
     Column names come from ``names``, the control, or the file's own header. Cells beyond the
     names are dropped and short rows are filled with nulls; both are kept in ``_corrupt``.
-    ``multi_line=False`` promises that no quoted cell holds a line break, which lets Spark split
-    large files; otherwise a file is read by one task.
+
+    ``multi_line=False`` promises that no quoted cell holds a line break, so that files are split
+    by lines. Otherwise a file is read by one task, unless one of them is ``large_file`` bytes or
+    more: then all are split by records.
     """
     names = list(names or control.columns or read_header(spark, path, control))
     lead = leading_records(control)
+    if spans_lines(control) and _can_split(control):
+        sizes = spark.read.format("binaryFile").load(path).select("length")
+        largest = sizes.agg(F.max("length")).first()[0] or 0
+        if largest >= large_file:
+            return _scan_split(spark, path, control, names, lead)
     read = (
         spark.read.schema(csv_schema(names))
         .options(**reader_options(control))
@@ -112,6 +134,19 @@ def scan_delimited(
     return df
 
 
+def _scan_split(
+    spark: SparkSession, path: str | list[str], control: FileControl, names: list[str], lead: int
+) -> DataFrame:
+    options = {k: str(v) for k, v in reader_options(control).items() if k != "multiLine"}
+    cells = F.from_csv(
+        F.col(multiline.RECORD), csv_schema(names).simpleString(), {**options, "columnPruning": "false"}
+    )
+    found = multiline.records(spark, path, _quote(control), lead)
+    return found.select(SRC_FILE, SRC_BLOCK, SRC_POS, cells.alias("_cells")).select(
+        *[F.col("_cells")[n].alias(n) for n in (*names, CORRUPT)], SRC_FILE, SRC_BLOCK, SRC_POS
+    )
+
+
 def _with_source(read: DataFrame) -> DataFrame:
     return read.select(
         *[field(c) for c in read.columns],
@@ -192,7 +227,7 @@ def with_record_no(df: DataFrame, staged: bool = False, whole_folder: bool = Fal
     shift = splits.select(
         *at, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    joined = kept.join(shift, at, "left")
+    joined = join_splits(kept, materialise(shift, "shift"), at)
     return joined.select(
         *[field(c) for c in kept.columns], (F.col(SRC_POS) + F.col("_shift")).alias(RECORD_NO)
     )
@@ -213,16 +248,48 @@ def mark_blank_lines(spark: SparkSession, path: str) -> DataFrame:
     return _with_source(lines).withColumn("blank", F.col("value").rlike(r"^\s*$"))
 
 
+def scan_head(
+    spark: SparkSession, path: str, control: FileControl, n: int = 100
+) -> DataFrame:
+    """First ``n`` records of a file, or of a folder's files in name order, with their numbers.
+
+    Files are opened one by one until there are enough records, and only the splits that are
+    needed are read; the driver holds ``n`` rows at most.
+    """
+    names = list(control.columns or read_header(spark, path, control))
+    listing = spark.read.format("binaryFile").load(path).select("path")
+    head: list = []
+    look = 4
+    done = 0
+    while True:
+        nearest = listing.orderBy(F.length("path"), "path").limit(look).collect()
+        for row in nearest[done:]:
+            rows = scan_delimited(spark, row["path"], control, names).select(
+                *[field(c) for c in names]
+            )
+            # a single file's splits are taken in order
+            head += [tuple(r) for r in rows.take(n - len(head))]
+            if len(head) == n:
+                break
+        done = len(nearest)
+        if len(head) == n or done < look:
+            break
+        look *= 4
+    schema = T.StructType(
+        [T.StructField(c, T.StringType()) for c in names] + [T.StructField(RECORD_NO, T.LongType())]
+    )
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(head)], schema)
+
+
 def sample_rows(df: DataFrame, n: int = 100, known: Sequence[str] | None = None) -> DataFrame:
-    """First ``n`` rows in file order, reduced to the columns that are known."""
+    """Some ``n`` rows of a dataset, or of the head of a file, with the columns that are known."""
     keep = [c for c in data_columns(df) if known is None or c in set(known)]
-    return df.orderBy(SRC_FILE, SRC_BLOCK, SRC_POS).limit(n).select(*[field(c) for c in keep])
+    return df.select(*[field(c) for c in keep]).limit(n)
 
 
-def column_preview(df: DataFrame, k: int = 10, width: int = 50) -> DataFrame:
-    """First ``k`` values of every column as one text, ``N/A`` for a missing cell."""
-    names = data_columns(df)
-    head = df.orderBy(SRC_FILE, SRC_BLOCK, SRC_POS).limit(k)
+def column_preview(head: DataFrame, k: int = 10, width: int = 50) -> DataFrame:
+    """First ``k`` values of every column as one text, ``N/A`` for a missing cell; takes the head
+    of a file."""
     cells = F.array(
         *[
             F.struct(
@@ -230,11 +297,11 @@ def column_preview(df: DataFrame, k: int = 10, width: int = 50) -> DataFrame:
                 F.lit(name).alias("column_name"),
                 F.coalesce(field(name), F.lit("N/A")).alias("value"),
             )
-            for i, name in enumerate(names)
+            for i, name in enumerate(data_columns(head))
         ]
     )
-    long = head.select(source_order(df).alias("_at"), F.explode(cells).alias("_cell"))
-    ordered = F.array_sort(F.collect_list(F.struct("_at", "_cell.value")))  # k values at most
+    long = head.filter(F.col(RECORD_NO) < k).select(RECORD_NO, F.explode(cells).alias("_cell"))
+    ordered = F.array_sort(F.collect_list(F.struct(RECORD_NO, "_cell.value")))  # k values at most
     text = F.array_join(F.transform(ordered, lambda s: s["value"]), ", ")
     return long.groupBy("_cell.pos", "_cell.column_name").agg(
         F.left(text, F.lit(width)).alias("preview")

@@ -1,0 +1,105 @@
+"""Splitting one large file whose quoted cells may hold line breaks.
+
+The stock reader gives such a file to a single task. Here it is read line by line, in parallel, and
+the lines are put back together into records. Whether a line starts a record depends on how many
+quotes stand before it in the file, and that is a sum: one small aggregate gives the quotes of each
+split, a running sum over splits tells how each of them begins, and the lines of a split are then
+looked at on their own. Only records that cross the border of two splits are pieced together
+across them.
+
+The rule rests on quotes being balanced: cells that hold quotes are quoted and double them, as in
+RFC 4180. A file with its own escape character or another charset goes to the stock reader.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from rowharbor.runtime import join_splits, materialise
+
+FILE, BLOCK, POS = "_src_file", "_src_block", "_src_pos"
+RECORD = "_record"
+
+
+def _lines(spark: SparkSession, path: str | list[str], quote: str) -> DataFrame:
+    raw = spark.read.option("lineSep", "\n").text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    return raw.select(
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(POS),
+        "value",
+        (quotes % 2).alias("_odd"),
+    )
+
+
+def _joined(pieces: Column) -> Column:
+    """Lines of one record in order, with the breaks between them."""
+    ordered = F.array_sort(F.collect_list(pieces))
+    return F.array_join(F.transform(ordered, lambda p: p["text"]), "\n")
+
+
+def records(
+    spark: SparkSession, path: str | list[str], quote: str = '"', leading: int = 0
+) -> DataFrame:
+    """``(file, split, position, text)`` of every record; the first ``leading`` records of each
+    file are left out. No task holds more than one split, or one record that crosses splits."""
+    lines = _lines(spark, path, quote)
+    at = [FILE, BLOCK]
+
+    # how each split begins and ends: inside a quoted cell (1) or between records (0)
+    quotes = materialise(lines.groupBy(*at).agg(F.sum("_odd").alias("_quotes")), "quotes")
+    in_file = Window.partitionBy(FILE).orderBy(BLOCK)  # one row per split
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    through = in_file.rowsBetween(Window.unboundedPreceding, 0)
+    splits = materialise(
+        quotes.select(
+            *at,
+            (F.coalesce(F.sum("_quotes").over(before), F.lit(0)) % 2).alias("_begins"),
+            (F.sum("_quotes").over(through) % 2).alias("_ends"),
+        ),
+        "splits",
+    )
+    known = join_splits(lines, splits, at)
+    # both scans must have cut the file in the same places
+    begins = F.when(F.col("_begins").isNotNull(), F.col("_begins")).otherwise(
+        F.raise_error(F.lit("the splits of the file changed while it was read")).cast("bigint")
+    )
+
+    in_split = Window.partitionBy(*at).orderBy(POS)
+    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    inside = (begins + F.coalesce(F.sum("_odd").over(earlier), F.lit(0))) % 2
+    placed = known.withColumn("_starts", (inside == 0).cast("int")).withColumn(
+        "_no", F.sum("_starts").over(in_split.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    piece = F.struct(F.col(POS).alias("pos"), F.col("value").alias("text"))
+    parts = placed.groupBy(*at, "_no").agg(
+        F.min(POS).alias(POS), F.first("_ends").alias("_ends"), _joined(piece).alias(RECORD)
+    )
+    last = F.col("_no") == F.max("_no").over(Window.partitionBy(*at))
+    parts = parts.withColumn("_open", last & (F.col("_ends") == 1))
+
+    whole = parts.filter((F.col("_no") > 0) & ~F.col("_open"))
+    # the end of one split and the beginnings of the next ones: at most two rows per split
+    torn = materialise(parts.filter((F.col("_no") == 0) | F.col("_open")), "torn")
+    chains = torn.withColumn(
+        "_chain",
+        F.sum((F.col("_no") > 0).cast("int")).over(
+            Window.partitionBy(FILE).orderBy(BLOCK, POS).rowsBetween(Window.unboundedPreceding, 0)
+        ),
+    )
+    mended = chains.groupBy(FILE, "_chain").agg(
+        F.min(F.struct(BLOCK, POS, "_no")).alias("_at"),
+        _joined(F.struct(F.col(BLOCK).alias("block"), F.col(POS).alias("pos"),
+                         F.col(RECORD).alias("text"))).alias(RECORD),
+    ).select(FILE, "_at.*", RECORD)
+
+    every = whole.select(FILE, BLOCK, POS, "_no", RECORD).unionByName(mended)
+    text = F.regexp_replace(F.replace(RECORD, F.lit("\r\n"), F.lit("\n")), "\r$", "")
+    first_split = (F.col(BLOCK) == 0) & (F.col("_no") <= leading)
+    return (
+        every.filter(~first_split)
+        .select(FILE, BLOCK, POS, F.regexp_replace(text, "^﻿", "").alias(RECORD))
+        .filter(F.col(RECORD) != "")
+    )
