@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowharbor.operators.typing import ERRORS
 from rowharbor.runtime import field
-from rowharbor.sources.delimited import RECORD_NO, SRC_FILE
+from rowharbor.sources.delimited import RECORD_NO, SRC_FILE, with_record_no
 
 
 class UninterpretableRows(ValueError):
@@ -38,20 +38,18 @@ def drop_uninterpretable(df: DataFrame, policy: str | None) -> DataFrame:
     return df.filter(~bad).drop(ERRORS)
 
 
-def error_report(df: DataFrame, leading: int = 1) -> DataFrame:
+def error_report(staged: DataFrame, leading: int = 1, whole_folder: bool = False) -> DataFrame:
     """One row per bad cell, with its line in the file: ``leading`` records (a header) come
-    before the data. Needs record numbers."""
-    line = F.col(RECORD_NO) + (leading + 1)
-    return df.filter(F.size(ERRORS) > 0).select(
+    before the data. Pass staged rows; only the bad ones are numbered."""
+    bad = with_record_no(staged, True, whole_folder, only=F.size(ERRORS) > 0)
+    cells = bad.select(
         field(SRC_FILE).alias("file"),
-        line.alias("line"),
+        (F.col(RECORD_NO) + (leading + 1)).alias("line"),
         F.explode(ERRORS).alias("_e"),
-    ).select(
-        "file", "line", F.col("_e.column").alias("column"), F.col("_e.value").alias("value"),
-        F.col("_e.expected").alias("expected"),
-        F.concat(
-            F.lit("Cannot read '"), F.col("_e.value"), F.lit("' in column '"), F.col("_e.column"),
-            F.lit("' as "), F.col("_e.expected"), F.lit(" (line "),
-            F.col("line").cast("string"), F.lit(" of file)"),
-        ).alias("message"),
+    ).select("file", "line", "_e.*")
+    message = F.concat(
+        F.lit("Cannot read '"), F.col("value"), F.lit("' in column '"), F.col("column"),
+        F.lit("' as "), F.col("expected"), F.lit(" (line "), F.col("line").cast("string"),
+        F.lit(" of file)"),
     )
+    return cells.withColumn("message", message)

@@ -73,13 +73,20 @@ def last_by_key(
 
 
 def upsert(
-    target: DataFrame, incoming: DataFrame, key: str | None, mode: str = "patch"
+    target: DataFrame,
+    incoming: DataFrame,
+    key: str | None,
+    mode: str = "patch",
+    few: bool = False,
 ) -> DataFrame:
     """Merge on the row identifier: a known key is updated (even by equal values), an unknown one
     is created. Keys must be unique on both sides (see ``last_by_key``).
 
     ``patch`` takes a null as "not supplied" and keeps the stored value; ``full`` writes it.
-    One shuffle of either side, on the key.
+
+    In general this is one full outer join, a shuffle of either side on the key. ``few`` says that
+    the incoming rows are a small part of the table: the merge is then written so that Catalyst
+    can broadcast them, when their size allows it, and leave the table unshuffled.
     """
     if mode not in ("patch", "full"):
         raise ValueError(f"unknown mode '{mode}'")
@@ -92,8 +99,6 @@ def upsert(
         *[field(c).cast(types[c]).alias(f"_new_{c}") for c in supplied],
         F.lit(True).alias("_in"),
     )
-    old = target.withColumn("_old", F.lit(True))
-    both = old.join(new, key, "full_outer")
 
     def merged(c: str) -> Column:
         if c == key or c not in supplied:
@@ -102,6 +107,16 @@ def upsert(
             return F.coalesce(field(f"_new_{c}"), field(c)).alias(c)
         return F.when(F.col("_in"), field(f"_new_{c}")).otherwise(field(c)).alias(c)
 
+    if few:
+        known = target.select(field(key)).join(new.select(field(key)), key, "left_semi")
+        unseen = incoming.join(known, key, "left_anti")
+        touched = F.when(F.col("_in"), UPDATED).otherwise(UNCHANGED).alias(ACTION)
+        return (
+            target.join(new, key, "left")
+            .select(*[merged(c) for c in target.columns], touched)
+            .unionByName(_as_target(unseen, target).withColumn(ACTION, F.lit(CREATED)))
+        )
+    both = target.withColumn("_old", F.lit(True)).join(new, key, "full_outer")
     action = (
         F.when(F.col("_in").isNull(), UNCHANGED)
         .when(F.col("_old").isNull(), CREATED)

@@ -13,13 +13,18 @@ from rowharbor.operators import delta, layers, port, publish
 from rowharbor.operators.errors import drop_uninterpretable, split_errors
 from rowharbor.operators.geo import add_synthetic_columns
 from rowharbor.operators.shape import clean_cells, ignore_columns, trim_stored
-from rowharbor.operators.typing import cast_types
+from rowharbor.operators.typing import ERRORS, cast_types
 from rowharbor.runtime import field, materialise
 from rowharbor.sources.delimited import SOURCE_COLUMNS, data_columns, scan_delimited, source_order
 from rowharbor.sources.sinks import write_set_aside
 from rowharbor.sources.store import DatasetStore
 
 
+# Up to this many incoming rows a merge tries not to shuffle the table. Whether they are in fact
+# broadcast is left to Catalyst, by their size in bytes.
+FEW_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class PublishResult:
     dataset_id: str
@@ -95,7 +100,7 @@ def publish_rows(
     parsed = materialise(prepare(rows, control, types, key, *extra), "parsed")
 
     good, bad = split_errors(parsed)
-    errors = bad.count()
+    rows_in, errors = _tally(parsed)
     if file.drop_uninterpretable_rows:
         good = drop_uninterpretable(parsed, file.drop_uninterpretable_rows)
     if file.set_aside_errors and set_aside and errors:
@@ -112,7 +117,8 @@ def publish_rows(
     elif method == "append":
         merged = publish.append(target, incoming, key)
     else:
-        merged = publish.upsert(target, incoming, key)
+        few = rows_in <= FEW_ROWS
+        merged = publish.upsert(target, incoming, key, few=few)
 
     version, sent = store.stage(merged, dataset_id)
     counts = _written_actions(store, dataset_id, version)
@@ -124,6 +130,12 @@ def publish_rows(
     )
 
 
+def _tally(parsed: DataFrame) -> tuple[int, int]:
+    """Rows and bad rows."""
+    seen = parsed.agg(F.count(F.lit(1)), F.count_if(F.size(ERRORS) > 0)).first()
+    return seen[0], seen[1]
+
+
 def _written_actions(store: DatasetStore, dataset_id: str, version: int) -> dict[str, int]:
     """What happened, counted from the one written column that says so."""
     written = store.read_version(dataset_id, version).groupBy(field(publish.ACTION)).count()

@@ -66,8 +66,8 @@ SELECT line, 'Cannot read ''soon'' in column ''o_orderdate'' as calendar_date (l
 FROM numbered WHERE {DAMAGED_SQL}
 """)
 def error_lines(spark, sf_dir):
-    numbered = with_record_no(damaged_orders(spark, sf_dir), whole_folder=True)
-    return error_report(numbered).select("line", "message")
+    staged = materialise(damaged_orders(spark, sf_dir), "parsed")
+    return error_report(staged, whole_folder=True).select("line", "message")
 
 
 @query(f"SELECT * FROM orders WHERE NOT {DAMAGED_SQL}")
@@ -136,6 +136,13 @@ def upsert_patch(spark, sf_dir):
     )
 
 
+@query(_upsert_sql("patch"))
+def upsert_few(spark, sf_dir):
+    """The form for few incoming rows, which leaves the table unshuffled where they fit."""
+    stored, incoming = stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir)
+    return shown(publish.upsert(stored, incoming, "o_orderkey", few=True))
+
+
 @query(_upsert_sql("full"))
 def upsert_full(spark, sf_dir):
     stored, incoming = stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir)

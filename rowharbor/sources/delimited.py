@@ -200,13 +200,19 @@ def _records(lines: list[str], control: FileControl, complete: bool) -> list[lis
     return records if complete else records[:-1]
 
 
-def with_record_no(df: DataFrame, staged: bool = False, whole_folder: bool = False) -> DataFrame:
+def with_record_no(
+    df: DataFrame,
+    staged: bool = False,
+    whole_folder: bool = False,
+    only: Column | None = None,
+) -> DataFrame:
     """Running number of each data record, from 0, inside its file; or, for a folder whose files
     are the parts of one export, inside the folder, files taken in name order.
 
     Nothing is sorted: one small row per split (first position, count) is summed up and joined
     back. The scan is written to scratch space first (``staged`` says that it has been already),
-    so that both passes see the same splits even when executors come and go.
+    so that both passes see the same splits even when executors come and go. ``only`` picks the
+    rows that are wanted with their number; all are counted.
     """
     kept = df if staged else materialise(df, "records")
     at = [SRC_FILE, SRC_BLOCK]
@@ -227,7 +233,8 @@ def with_record_no(df: DataFrame, staged: bool = False, whole_folder: bool = Fal
     shift = splits.select(
         *at, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    joined = join_splits(kept, materialise(shift, "shift"), at)
+    wanted = kept if only is None else kept.filter(only)
+    joined = join_splits(wanted, materialise(shift, "shift"), at)
     return joined.select(
         *[field(c) for c in kept.columns], (F.col(SRC_POS) + F.col("_shift")).alias(RECORD_NO)
     )

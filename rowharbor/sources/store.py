@@ -8,6 +8,7 @@ is therefore never written to, and a failed write leaves the dataset as it was.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,8 +28,8 @@ class PublishFailed(RuntimeError):
 @dataclass(frozen=True)
 class Fingerprint:
     rows: int
-    hash_xor: int
-    hash_sum: int
+    hash_xor: int | None = None
+    hash_sum: int | None = None
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -57,8 +58,8 @@ def fingerprint(df: DataFrame) -> Fingerprint:
 
 
 def verify_publish(written: DataFrame, expected: Fingerprint) -> Fingerprint:
-    """The written table must hold exactly the expected rows."""
-    got = fingerprint(written)
+    """The written table must hold exactly the expected rows, as far as they are described."""
+    got = Fingerprint(written.count()) if expected.hash_xor is None else fingerprint(written)
     if got != expected:
         raise PublishFailed(f"expected {expected}, found {got}")
     return got
@@ -76,9 +77,12 @@ def export_dataset(df: DataFrame) -> DataFrame:
 class DatasetStore:
     """Datasets below one root folder on storage all executors share."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, deep_check: bool = False):
+        """``deep_check`` compares hashes of all written rows with those that were sent, which
+        reads every version again; row counts, from file footers, are always compared."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.deep_check = deep_check
 
     def version_path(self, dataset_id: str, version: int) -> str:
         return f"{self.root}/{dataset_id}/versions/v{version}"
@@ -123,14 +127,20 @@ class DatasetStore:
 
     def stage(self, df: DataFrame, dataset_id: str) -> tuple[int, Fingerprint]:
         """Write a working copy nobody reads yet: the version after the current one. A repeated
-        attempt writes the same folder again. The rows are fingerprinted on their way out."""
+        attempt writes the same folder again. The rows are counted on their way out."""
         version = (self.current_version(dataset_id) or 0) + 1
         sent = Observation()
-        visible = drop_system_columns(df)
-        df.observe(sent, *fingerprint_columns(visible)).write.mode("overwrite").parquet(
+        wanted = (
+            fingerprint_columns(drop_system_columns(df))
+            if self.deep_check
+            else [F.count(F.lit(1)).alias("rows")]
+        )
+        df.observe(sent, *wanted).write.mode("overwrite").parquet(
             self.version_path(dataset_id, version)
         )
         got = sent.get
+        if not self.deep_check:
+            return version, Fingerprint(got["rows"])
         return version, Fingerprint(got["rows"], got["hash_xor"], int(got["hash_sum"]))
 
     def publish(
@@ -139,12 +149,9 @@ class DatasetStore:
         """Make a staged version the current one, after reading back what was written."""
         written = drop_system_columns(self.read_version(dataset_id, version))
         found = verify_publish(written, expected)
-        row = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit(found.rows).cast("bigint").alias("rows"),
-            F.lit(found.hash_xor).cast("bigint").alias("hash_xor"),
-            F.lit(str(found.hash_sum)).cast("decimal(38,0)").alias("hash_sum"),
-            F.lit(batch).cast("string").alias("batch"),
+        total = None if found.hash_sum is None else Decimal(found.hash_sum)
+        row = self.spark.createDataFrame(
+            [(version, found.rows, found.hash_xor, total, batch)], T.StructType.fromDDL(COMMITS)
         )
         row.coalesce(1).write.mode("append").parquet(self._commits_path(dataset_id))
 

@@ -4,7 +4,7 @@ from datetime import datetime
 
 import pytest
 
-from rowharbor.control import generate_control
+from rowharbor.control import Control, generate_control
 from rowharbor.operators.errors import UninterpretableRows, error_report
 from rowharbor.operators.publish import actions, batch_results, publish_summary
 from rowharbor.plans.jobs import (
@@ -14,6 +14,7 @@ from rowharbor.plans.jobs import (
     publish_file,
     replace_by_delta,
 )
+from rowharbor.runtime import materialise
 from rowharbor.sources.delimited import scan_delimited, with_record_no
 from rowharbor.sources.store import DatasetStore
 
@@ -25,7 +26,7 @@ THREE = [*TWO, (3, "cy", "z", datetime(2020, 1, 3))]
 
 @pytest.fixture()
 def store(spark, tmp_path):
-    return DatasetStore(spark, str(tmp_path / "store"))
+    return DatasetStore(spark, str(tmp_path / "store"), deep_check=True)
 
 
 def put(store, rows, dataset_id="ab12-cd34"):
@@ -111,8 +112,9 @@ def test_bad_date_is_skipped_and_reported(spark, store, tmp_path):
     assert (got.errors, got.rows_updated, got.rows_created) == (1, 2, 0)
     assert got.status == "PUBLISH_ERROR"
     control = generate_control("in.csv", "upsert")
-    scanned = with_record_no(scan_delimited(spark, csv(tmp_path, BAD), control.file))
-    report = error_report(prepare_rows(scanned, control, TYPES, "id")).collect()
+    scanned = scan_delimited(spark, csv(tmp_path, BAD), control.file)
+    parsed = materialise(prepare_rows(scanned, control, TYPES, "id"), "parsed")
+    report = error_report(parsed).collect()
     assert [(r.line, r.column, r.value) for r in report] == [(4, "date", "not a date")]
     assert report[0].message.endswith("(line 4 of file)")
 
@@ -132,8 +134,6 @@ def test_ten_percent_policy(spark, store, tmp_path):
     put(store, TWO)
     control = generate_control("in.csv", "upsert")
     strict = control.file.with_options(drop_uninterpretable_rows="TenPercent")
-    from rowharbor.control import Control
-
     with pytest.raises(UninterpretableRows):
         publish_file(store, "ab12-cd34", csv(tmp_path, BAD), Control("Upsert", None, strict), TYPES, "id")
     assert rows(store) == TWO
