@@ -75,13 +75,13 @@ def extra_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
     named = headers.withColumn("_name", normalise_header(F.col("name")))
     known = columns.select("dataset_id", F.lower("field_name").alias("_name")).distinct()
     per_name = named.groupBy("file_id", "dataset_id", "_name").agg(F.count(F.lit(1)).alias("_n"))
-    unknown = per_name.join(known, ["dataset_id", "_name"], "left_anti")
-    twice = per_name.join(known, ["dataset_id", "_name"], "left_semi").filter(F.col("_n") > 1)
+    judged = per_name.join(known.withColumn("_known", F.lit(True)), ["dataset_id", "_name"], "left")
     text = F.concat(
         F.lit("Extra Columns Specified: the file contains column '"), F.col("_name"),
         F.lit("', but the dataset does not."),
     )
-    return _verdict(unknown.unionByName(twice), "PUBLISH_ERROR", text)
+    extra = judged.filter(F.col("_known").isNull() | (F.col("_n") > 1))
+    return _verdict(extra, "PUBLISH_ERROR", text)
 
 
 def missing_columns(
@@ -90,27 +90,33 @@ def missing_columns(
     """What a replace would leave unfilled. With a row identifier in the header, partial files
     are fine; without one in the dataset, the missing fields are listed; where the dataset has
     one and the header does not, that is the fault."""
-    files = headers.select("file_id", "dataset_id").distinct()
+    row_ids = columns.filter("is_row_id").select("dataset_id", F.col("field_name").alias("_row_id"))
+    described = columns.join(row_ids, "dataset_id", "left").withColumn(
+        "_name", F.lower("field_name")
+    )
     have = headers.select(
         "file_id", "dataset_id", normalise_header(F.col("name")).alias("_name")
     ).distinct()
-    wanted = files.join(columns, "dataset_id").withColumn("_name", F.lower("field_name"))
-    absent = wanted.join(have, ["file_id", "dataset_id", "_name"], "left_anti")
-    if left_out is not None:
-        waived = left_out.select("file_id", F.col("name").alias("field_name")).distinct()
-        unfilled = absent.join(waived, ["file_id", "field_name"], "left_anti")
+    files = headers.select("file_id", "dataset_id").distinct()
+    absent = files.join(described, "dataset_id").join(
+        have, ["file_id", "dataset_id", "_name"], "left_anti"
+    )
+    if left_out is None:
+        judged = absent.withColumn("_waived", F.lit(None).cast("boolean"))
     else:
-        unfilled = absent
-    # dataset widths bound these lists
-    gaps = unfilled.groupBy("file_id", "dataset_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "field_name"))).alias("_gaps")
+        waived = left_out.select(
+            "file_id", F.col("name").alias("field_name"), F.lit(True).alias("_waived")
+        ).distinct()
+        judged = absent.join(waived, ["file_id", "field_name"], "left")
+    gap = F.when(F.col("_waived").isNull(), F.struct("pos", "field_name"))
+    per_file = judged.groupBy("file_id", "dataset_id").agg(
+        F.array_sort(F.collect_list(gap)).alias("_gaps"),  # a dataset's width bounds the list
+        F.first("_row_id").alias("_row_id"),
+        F.max("is_row_id").alias("_no_id"),
     )
-    row_ids = columns.filter("is_row_id").select("dataset_id", F.col("field_name").alias("_row_id"))
-    no_id = absent.filter("is_row_id").select("file_id", "dataset_id", F.lit(True).alias("_no_id"))
-    judged = gaps.join(row_ids, "dataset_id", "left").join(no_id, ["file_id", "dataset_id"], "left")
     listed = F.array_join(F.transform("_gaps", lambda g: g["field_name"]), ", ")
     no_key = F.col("_row_id").isNull()
-    return judged.filter(no_key | F.col("_no_id")).select(
+    return per_file.filter((F.size("_gaps") > 0) & (no_key | F.col("_no_id"))).select(
         "file_id",
         "dataset_id",
         F.when(no_key, "MISSING_COLUMNS").otherwise("PUBLISH_ERROR").alias("status"),

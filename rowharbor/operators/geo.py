@@ -54,8 +54,8 @@ def geocode_join(
     """A point per row, looked up in a gazetteer by its address parts.
 
     The gazetteer has the part columns plus ``latitude`` and ``longitude``. It is reduced to one
-    place per address, so no row is multiplied; Catalyst broadcasts it when it is small, and
-    equal addresses are looked up once otherwise.
+    place per address, so no row is multiplied. Catalyst broadcasts it when it is small; otherwise
+    this is a left join whose hot addresses (blank ones, say) adaptive execution can split.
     """
     used = [p for p in GEOCODED_PARTS if parts.get(p)]
     places = (

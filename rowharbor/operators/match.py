@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowharbor.functions.names import INFINITE, display_name_distance, field_name_distances
+from rowharbor.functions.names import (
+    INFINITE,
+    display_name_distance,
+    field_name_distances,
+    may_be_field,
+)
 from rowharbor.runtime import materialise
 
 
@@ -21,24 +26,23 @@ def score_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("pos", "field_name", "display_name"))).alias("_cols")
     )
     texts = headers.select("dataset_id", "name").distinct().join(lists, "dataset_id")
-    by_field = texts.withColumn(
-        "_by_field", field_name_distances("name", F.col("_cols.field_name"))
-    )
-    pairs = F.transform(
-        F.arrays_zip("_cols", "_by_field"),
-        lambda p: F.struct(
-            p["_cols"]["pos"].alias("column_pos"),
-            p["_cols"]["field_name"].alias("field_name"),
-            F.least(
-                p["_by_field"],
-                display_name_distance(F.col("name"), p["_cols"]["display_name"]),
-            ).alias("badness"),
-        ),
-    )
-    finite = F.filter(pairs, lambda p: p["badness"] < F.lit(INFINITE))
-    scored = by_field.select("dataset_id", "name", F.explode(finite).alias("_p")).select(
-        "dataset_id", "name", "_p.*"
+    near = texts.withColumn(
+        "_near", F.filter("_cols", lambda c: may_be_field(F.col("name"), c["field_name"]))
     )
+    weights = F.map_from_arrays("_near.pos", field_name_distances("name", F.col("_near.field_name")))
+    weighed = near.withColumn("_weights", weights)
+
+    def candidate(c: Column) -> Column:
+        by_field = F.coalesce(F.try_element_at("_weights", c["pos"]), F.lit(INFINITE))
+        by_display = display_name_distance(F.col("name"), c["display_name"])
+        return F.struct(
+            c["pos"].alias("column_pos"),
+            c["field_name"].alias("field_name"),
+            F.least(by_field, by_display).alias("badness"),
+        )
+
+    finite = F.filter(F.transform("_cols", candidate), lambda p: p["badness"] < F.lit(INFINITE))
+    scored = weighed.select("dataset_id", "name", F.inline(finite))
     return headers.withColumnRenamed("pos", "header_pos").join(scored, ["dataset_id", "name"]).select(
         "file_id", "dataset_id", "header_pos", F.col("name").alias("header"),
         "column_pos", "field_name", "badness",

@@ -33,9 +33,8 @@ def column_statistics(df: DataFrame, exact: bool = False) -> DataFrame:
         ]
         mean = short = long = F.lit(None)
         if isinstance(f.dataType, _NUMERIC):
-            aggregates.append(F.sum(c.cast("decimal(38,6)")).alias(f"s{i}"))
-            mean = (F.col(f"s{i}").cast("double") / F.col(f"n{i}"))
-            mean = F.when(F.col(f"n{i}") > 0, mean)
+            aggregates.append(F.avg(c).alias(f"s{i}"))
+            mean = F.col(f"s{i}")
         if isinstance(f.dataType, T.StringType):
             aggregates += [F.min(F.length(c)).alias(f"a{i}"), F.max(F.length(c)).alias(f"b{i}")]
             short, long = F.col(f"a{i}"), F.col(f"b{i}")

@@ -39,6 +39,14 @@ def typed_cell(name: str, type_name: str, control: FileControl) -> Column:
     return cell.try_cast(sql_type(type_name))
 
 
+def _error(column: str, value: Column, expected: str) -> Column:
+    return F.struct(
+        F.lit(column).alias("column"),
+        value.cast("string").alias("value"),
+        F.lit(expected).alias("expected"),
+    )
+
+
 def cast_types(df: DataFrame, types: Mapping[str, str], control: FileControl) -> DataFrame:
     """Cast every data column to its dataset type (text where the dataset names none).
 
@@ -52,20 +60,17 @@ def cast_types(df: DataFrame, types: Mapping[str, str], control: FileControl) ->
         *[field(c) for c in df.columns],
         *[typed_cell(c, types[c], control).alias(f"_typed_{c}") for c in hard],
     )
+    none = F.array().cast(f"array<{ERROR_TYPE}>")
+    # a concatenation of short arrays stays inside generated code, unlike a filtered array
     found = [
         F.when(
             field(f"_typed_{c}").isNull() & (F.coalesce(field(c), F.lit("")) != ""),
-            F.struct(
-                F.lit(c).alias("column"),
-                field(c).alias("value"),
-                F.lit(types[c]).alias("expected"),
-            ),
-        )
+            F.array(_error(c, field(c), types[c])),
+        ).otherwise(none)
         for c in hard
     ]
-    earlier = [field(ERRORS)] if ERRORS in df.columns else []
-    now = F.array_compact(F.array(*found)) if found else F.array().cast(f"array<{ERROR_TYPE}>")
-    errors = F.concat(*earlier, now) if earlier else now
+    earlier = [field(ERRORS)] if ERRORS in df.columns else [none]
+    errors = F.concat(*earlier, *found)
     return parsed.select(
         *[field(f"_typed_{c}").alias(c) if c in hard else field(c) for c in own],
         *[field(c) for c in others],
@@ -75,11 +80,7 @@ def cast_types(df: DataFrame, types: Mapping[str, str], control: FileControl) ->
 
 def add_error(df: DataFrame, bad: Column, column: str, value: Column, expected: str) -> DataFrame:
     """List one more error on the rows where ``bad`` holds."""
-    entry = F.struct(
-        F.lit(column).alias("column"),
-        value.cast("string").alias("value"),
-        F.lit(expected).alias("expected"),
-    )
+    entry = _error(column, value, expected)
     none = F.array().cast(f"array<{ERROR_TYPE}>")
     before = field(ERRORS) if ERRORS in df.columns else none
     return df.withColumn(ERRORS, F.concat(before, F.when(bad, F.array(entry)).otherwise(none)))

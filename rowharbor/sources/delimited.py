@@ -29,6 +29,9 @@ SOURCE_COLUMNS = (SRC_FILE, SRC_BLOCK, SRC_POS, SRC_TIME, CORRUPT, RECORD_NO)
 # From this size on a file with multi-line cells is split between tasks.
 LARGE_FILE = 512 * 1024 * 1024
 
+# A header that has not ended after so many lines has an open quote.
+HEADER_LINES = 100_000
+
 # A text no cell holds: keeps the reader from taking any real cell for a null.
 _IMPOSSIBLE = "\u0001\u0002null\u0002\u0001"
 
@@ -175,6 +178,8 @@ def read_header(spark: SparkSession, path: str | list[str], control: FileControl
         records = _records(got, control, complete=len(got) < take)
         if len(records) > want or len(got) < take:
             break
+        if take > HEADER_LINES:
+            raise ValueError(f"no header within the first {take} lines of {first}")
         take *= 4
     header = records[want] if len(records) > want else []
     if not control.has_header_row:

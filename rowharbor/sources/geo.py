@@ -45,7 +45,8 @@ def geojson_features(collections: DataFrame) -> DataFrame:
         "file", "layer", "reference_system", "feature_no",
         f["properties"].alias("properties"),
         f["geometry"]["type"].alias("geometry_type"),
-        f["geometry"]["coordinates"].alias("coordinates"),
+        # numbers and brackets: layout does not matter
+        F.regexp_replace(f["geometry"]["coordinates"], r"\s+", "").alias("coordinates"),
     )
 
 
