@@ -150,6 +150,8 @@ class FileControl:
             k: Synthetic.parse_point(v) for k, v in got.get("synthetic_points", {}).items()
         }
         got.setdefault("separator", "," if kind == "csv" else "\t")
+        # named columns mean a file without a header, unless ``skip`` passes over one
+        got["has_header_row"] = not got.get("columns")
         return cls(**got)
 
     def with_options(self, **changes) -> "FileControl":

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 SPLITS_TO_BROADCAST = 500_000
 
 
+_own_folders: dict[str, str] = {}
+
+
 def field(name: str) -> Column:
     """Column by exact name; file headers may hold dots, spaces or backticks."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -21,17 +24,17 @@ def field(name: str) -> Column:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where the session names none (local runs and tests);
-    it is stored in the session so that later calls agree.
+    A folder of our own is made only where a local session names none, as in tests.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="rowharbor-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="rowharbor-")
+    return _own_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

@@ -86,9 +86,11 @@ def csv_schema(names: Sequence[str]) -> T.StructType:
 
 
 def leading_records(control: FileControl) -> int:
-    """How many records of each file come before the data."""
-    names_given = bool(control.columns)
-    return control.skip + (1 if control.has_header_row and not names_given else 0)
+    """How many records of each file come before the data: those to skip, and a header after
+    them. Where the control names the columns, a header counts among the skipped records."""
+    if control.columns:
+        return max(control.skip, int(control.has_header_row))
+    return control.skip + int(control.has_header_row)
 
 
 def spans_lines(control: FileControl) -> bool:

@@ -150,3 +150,15 @@ def test_head_and_preview(spark, tmp_path):
     shown = {r.column_name: r.preview for r in column_preview(head, 3).collect()}
     assert shown == {"id": "1, 2, 3", "name": ("a, N/A, " + "n" * 30)[:50]}
     assert sample_rows(head, 2, ["name", "other"]).columns == ["name"]
+
+
+def test_leading_records():
+    from rowharbor.control import parse_control
+    from rowharbor.sources.delimited import leading_records
+
+    def lead(block):
+        return leading_records(parse_control('{"csv": %s}' % block).file)
+
+    assert lead("{}") == 1 and lead('{"skip": 2}') == 3
+    assert lead('{"columns": ["a"]}') == 0 and lead('{"columns": ["a"], "skip": 1}') == 1
+    assert leading_records(CSV.with_options(columns=["a"])) == 1
