@@ -320,3 +320,28 @@ def check_action(
     if known not in allowed:
         problems.append(f"A {job} job cannot use the publish method '{known}'")
     return problems
+
+
+@dataclass(frozen=True)
+class PortControl:
+    """What a copy job copies, and where to."""
+
+    source_dataset: str
+    destination_name: str | None
+    copy: str  # schema, data or all
+    publish: bool = True
+
+
+def parse_port_control(text: str) -> PortControl:
+    """Read the control JSON of a copy job; keys nobody knows are allowed."""
+    try:
+        raw = json.loads(text)
+    except json.JSONDecodeError as e:
+        raise ControlError(f"control file is not valid JSON: {e}") from e
+    kind = (raw.get("copyType") or {}).get("type")
+    copy = {"schema": "schema", "data": "data", "schema_and_data": "all"}.get(kind)
+    if copy is None or not raw.get("sourceDataset"):
+        raise ControlError(f"unknown copy type '{kind}', or no source dataset")
+    return PortControl(
+        raw["sourceDataset"], raw.get("destinationName"), copy, raw.get("publish", True) is not False
+    )

@@ -6,9 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+WHITE_SPACE = " \t\n\u000b\f\r"
+
+
 def trim_cell(cell: Column) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(cell, r"^\s+|\s+$", "")
+    return F.btrim(cell, F.lit(WHITE_SPACE))
 
 
 def empty_to_null(cell: Column) -> Column:

@@ -23,7 +23,7 @@ ZONE_ABBREVIATIONS = {
 _ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 _ISO_ANY = r"^\d{4}-\d{2}-\d{2}($|[T ]\d)"
 _ISO_ZONED = r"^\d{4}-\d{2}-\d{2}[T ].*(Z|[+-]\d{2}(:?\d{2})?)$"
-_TRAILING_ZONE = r"\s*(Z|UTC|GMT|[A-Z]{3,4}|[+-]\d{2}:?\d{2})$"
+_TRAILING_ZONE = r"\s*(Z|[A-Z]{3,4}|[+-]\d{2}:?\d{2})$"
 
 
 def zone_of(name: str | None) -> str:
@@ -50,10 +50,12 @@ def _floating_one(cell: Column, p: TimePattern) -> Column:
         # a floating value keeps the wall clock and forgets the zone
         bare = p.spark.removesuffix("[XXX][XX]").removesuffix("z").rstrip()
         without = F.regexp_replace(cell, _TRAILING_ZONE, "")
-        return F.when(cell.rlike(_TRAILING_ZONE), _utc_wall_clock(_with_zone(without, bare, "UTC")))
-    if p.zoned:
-        return _utc_wall_clock(F.try_to_timestamp(cell, F.lit(p.spark)))
-    return _utc_wall_clock(_with_zone(cell, p.spark, "UTC"))
+        read = _utc_wall_clock(_with_zone(without, bare, "UTC"))
+    elif p.zoned:
+        read = _utc_wall_clock(F.try_to_timestamp(cell, F.lit(p.spark)))
+    else:
+        read = _utc_wall_clock(_with_zone(cell, p.spark, "UTC"))
+    return F.when(cell.rlike(p.shape), read)
 
 
 def _fixed_one(cell: Column, p: TimePattern, zone: str) -> Column:
@@ -65,8 +67,10 @@ def _fixed_one(cell: Column, p: TimePattern, zone: str) -> Column:
         )
         return text.try_cast("timestamp")
     if p.zoned:
-        return F.try_to_timestamp(cell, F.lit(p.spark))
-    return _with_zone(cell, p.spark, zone)
+        read = F.try_to_timestamp(cell, F.lit(p.spark))
+    else:
+        read = _with_zone(cell, p.spark, zone)
+    return F.when(cell.rlike(p.shape), read)
 
 
 def _first(parses: list[Column], sql_type: str) -> Column:

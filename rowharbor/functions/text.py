@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def trim_ends(text: Column) -> Column:
     """Drop blanks and control characters at both ends."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(text, F.lit("".join(map(chr, range(33)))))
 
 
 def normalise_header(name: Column) -> Column:

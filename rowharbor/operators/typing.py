@@ -24,13 +24,17 @@ SQL_TYPES = {
 }
 
 
+# Composite columns are built from others; a cell that carries one is kept as it is written.
+TEXT_TYPES = ("text", "string", "location", "point")
+
+
 def sql_type(type_name: str) -> str:
     return SQL_TYPES.get(type_name, type_name)
 
 
 def typed_cell(name: str, type_name: str, control: FileControl) -> Column:
     cell, o = field(name), control.for_column(name)
-    if type_name == "text":
+    if type_name in TEXT_TYPES:
         return cell
     if type_name == "calendar_date":
         return parse_floating(cell, o.floating_formats)
@@ -55,7 +59,7 @@ def cast_types(df: DataFrame, types: Mapping[str, str], control: FileControl) ->
     """
     own = data_columns(df)
     others = [c for c in df.columns if c not in own and c != ERRORS]
-    hard = [c for c in own if types.get(c, "text") not in ("text", "string")]
+    hard = [c for c in own if types.get(c, "text") not in TEXT_TYPES]
     parsed = df.select(
         *[field(c) for c in df.columns],
         *[typed_cell(c, types[c], control).alias(f"_typed_{c}") for c in hard],

@@ -3,6 +3,7 @@
 from rowharbor.plans import (  # noqa: F401
     catalogue_queries,
     geo_queries,
+    job_queries,
     publish_queries,
     scan_queries,
 )

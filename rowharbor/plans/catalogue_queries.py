@@ -474,7 +474,7 @@ def grouped_columns(spark, sf_dir):
     return adapted.select("dataset_id", "field_name", F.size("format").alias("left_over"))
 
 
-def _catalog(spark, sf_dir):
+def catalog_rows(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("dataset_id"),
@@ -520,7 +520,7 @@ FROM (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic, l.doc_id IS NOT NUL
 """)
 def update_metadata(spark, sf_dir):
     """Ratings written over the catalogue records of their texts, and read back."""
-    after = catalog.update_metadata(_catalog(spark, sf_dir), _updates(spark, sf_dir))
+    after = catalog.update_metadata(catalog_rows(spark, sf_dir), _updates(spark, sf_dir))
     return catalog.read_metadata(after).withColumn("keywords", F.array_join("keywords", ","))
 
 
@@ -532,7 +532,7 @@ FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 def unknown_metadata(spark, sf_dir):
     """Updates for every text against a catalogue that only knows the rated ones."""
     known = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("dataset_id"))
-    return catalog.unknown_datasets(known, _catalog(spark, sf_dir).select("dataset_id"))
+    return catalog.unknown_datasets(known, catalog_rows(spark, sf_dir).select("dataset_id"))
 
 
 @query("""

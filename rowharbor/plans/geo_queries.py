@@ -13,7 +13,7 @@ from rowharbor.control import Control
 from rowharbor.operators import geo, layers
 from rowharbor.operators.typing import ERRORS
 from rowharbor.plans import jobs
-from rowharbor.plans.publish_queries import _upsert_sql, incoming_orders, stored_orders
+from rowharbor.plans.publish_queries import upsert_sql, incoming_orders, stored_orders
 from rowharbor.plans.registry import query, table
 from rowharbor.plans.scan_queries import ORDERS, PLAIN
 from rowharbor.runtime import scratch_path
@@ -184,7 +184,7 @@ def _layers(spark, sf_dir, status):
     ).distinct()
 
 
-def _existing(spark, sf_dir):
+def existing_layers(spark, sf_dir):
     uid = F.concat(F.col("dataset_id").cast("string"), F.lit("/"), F.col("layer"))
     return _layers(spark, sf_dir, "F").withColumn("uid", uid)
 
@@ -196,7 +196,7 @@ LEFT JOIN layer_map m ON m.dataset_id = f.dataset_id AND m.layer = f.layer
 """)
 def map_layers(spark, sf_dir):
     file_layers = _layers(spark, sf_dir, "O")
-    mapping = layers.map_layers(file_layers, _existing(spark, sf_dir))
+    mapping = layers.map_layers(file_layers, existing_layers(spark, sf_dir))
     return layers.apply_layer_map(file_layers, mapping)
 
 
@@ -218,7 +218,7 @@ def replace_layers(spark, sf_dir):
     uid = F.concat(F.col("dataset_id").cast("string"), F.lit("/"), F.col("layer"))
     target = orders.filter(F.col("o_orderstatus") == "F").select("dataset_id", uid.alias("uid"), "feature")
     features = orders.filter(F.col("o_orderstatus") == "O").drop("o_orderstatus")
-    mapping = layers.map_layers(_layers(spark, sf_dir, "O"), _existing(spark, sf_dir))
+    mapping = layers.map_layers(_layers(spark, sf_dir, "O"), existing_layers(spark, sf_dir))
     return layers.replace_layers(target, features, mapping)
 
 
@@ -241,7 +241,7 @@ def _finish(stream):
     stream.awaitTermination()
 
 
-@query(f"SELECT * EXCLUDE (action) FROM ({_upsert_sql('patch')})")
+@query(f"SELECT * EXCLUDE (action) FROM ({upsert_sql('patch')})")
 def ingest_files(spark, sf_dir):
     """Files of changed orders that arrive in a folder, published batch by batch."""
     root = scratch_path(spark, "ingest")

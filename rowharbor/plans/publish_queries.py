@@ -112,7 +112,7 @@ def replace(spark, sf_dir):
     return shown(publish.replace(stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir)))
 
 
-def _upsert_sql(mode: str) -> str:
+def upsert_sql(mode: str) -> str:
     def value(c: str) -> str:
         if c == "o_orderkey":
             return "coalesce(i.o_orderkey, s.o_orderkey) AS o_orderkey"
@@ -129,21 +129,21 @@ SELECT {columns},
 FROM stored s FULL JOIN incoming i ON s.o_orderkey = i.o_orderkey"""
 
 
-@query(_upsert_sql("patch"))
+@query(upsert_sql("patch"))
 def upsert_patch(spark, sf_dir):
     return shown(
         publish.upsert(stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir), "o_orderkey")
     )
 
 
-@query(_upsert_sql("patch"))
+@query(upsert_sql("patch"))
 def upsert_few(spark, sf_dir):
     """The form for few incoming rows, which leaves the table unshuffled where they fit."""
     stored, incoming = stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir)
     return shown(publish.upsert(stored, incoming, "o_orderkey", few=True))
 
 
-@query(_upsert_sql("full"))
+@query(upsert_sql("full"))
 def upsert_full(spark, sf_dir):
     stored, incoming = stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir)
     return shown(publish.upsert(stored, incoming, "o_orderkey", "full"))
@@ -276,13 +276,13 @@ def apply_delta(spark, sf_dir):
 
 
 # Without a key: order lines reduced to three columns, so that rows repeat.
-_LINES_SQL = """old AS (SELECT l_returnflag, l_linestatus, l_linenumber, l_discount FROM lineitem),
+LINES_SQL = """old AS (SELECT l_returnflag, l_linestatus, l_linenumber, l_discount FROM lineitem),
 new AS (SELECT l_returnflag, l_linestatus, l_linenumber,
                CASE WHEN l_quantity > 40 THEN l_tax ELSE l_discount END AS l_discount
         FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01')"""
 
 
-def _line_versions(spark, sf_dir):
+def line_versions(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     names = ["l_returnflag", "l_linestatus", "l_linenumber"]
     changed = F.when(F.col("l_quantity") > 40, F.col("l_tax")).otherwise(F.col("l_discount"))
@@ -292,7 +292,7 @@ def _line_versions(spark, sf_dir):
 
 
 @query(f"""
-WITH {_LINES_SQL}, net AS (
+WITH {LINES_SQL}, net AS (
   SELECT l_returnflag, l_linestatus, l_linenumber, l_discount, sum(n) AS n FROM (
     SELECT *, 1 AS n FROM new UNION ALL SELECT *, -1 FROM old)
   GROUP BY ALL)
@@ -301,13 +301,13 @@ SELECT l_returnflag, l_linestatus, l_linenumber, l_discount,
 FROM net WHERE n <> 0
 """)
 def delta_multiset(spark, sf_dir):
-    prev, new = _line_versions(spark, sf_dir)
+    prev, new = line_versions(spark, sf_dir)
     return delta.delta_multiset(prev, new)
 
 
-@query(f"WITH {_LINES_SQL} SELECT * FROM new")
+@query(f"WITH {LINES_SQL} SELECT * FROM new")
 def apply_delta_multiset(spark, sf_dir):
-    prev, new = _line_versions(spark, sf_dir)
+    prev, new = line_versions(spark, sf_dir)
     changes = materialise(delta.delta_multiset(prev, new), "delta")
     return delta.apply_delta_multiset(prev, changes)
 
@@ -433,13 +433,13 @@ def copy_replace(spark, sf_dir):
     return drop_system_columns(copy_data(source, sink, method="replace"))
 
 
-@query(f"SELECT * EXCLUDE (action) FROM ({_upsert_sql('patch')})")
+@query(f"SELECT * EXCLUDE (action) FROM ({upsert_sql('patch')})")
 def copy_upsert(spark, sf_dir):
     source, sink = incoming_orders(spark, sf_dir), stored_orders(spark, sf_dir)
     return drop_system_columns(copy_data(source, sink, "o_orderkey"))
 
 
-def _store_with_orders(spark, sf_dir):
+def store_with_orders(spark, sf_dir):
     store = DatasetStore(spark, scratch_path(spark, "store"))
     jobs.create_dataset(store, "orde-rs01", stored_orders(spark, sf_dir))
     return store
@@ -447,7 +447,7 @@ def _store_with_orders(spark, sf_dir):
 
 def _publish_csv(spark, sf_dir, method):
     """A whole job: control, scan, clean, type, merge, write, verify, publish."""
-    store = _store_with_orders(spark, sf_dir)
+    store = store_with_orders(spark, sf_dir)
     path = as_delimited(incoming_orders(spark, sf_dir), "incoming")
     control = generate_control("incoming.csv", method)
     split = Control(control.action, None, control.file.with_options(multi_line=False))
@@ -455,7 +455,7 @@ def _publish_csv(spark, sf_dir, method):
     return store, result
 
 
-@query(f"SELECT * EXCLUDE (action) FROM ({_upsert_sql('patch')})")
+@query(f"SELECT * EXCLUDE (action) FROM ({upsert_sql('patch')})")
 def publish_file_upsert(spark, sf_dir):
     store, _ = _publish_csv(spark, sf_dir, "upsert")
     return store.read("orde-rs01")
@@ -482,7 +482,7 @@ def run_log_of_publish(spark, sf_dir):
 @query(f"WITH {_NEW_SQL} SELECT * FROM fresh")
 def replace_by_changes(spark, sf_dir):
     """A replace that writes through the changes only, as a whole job."""
-    store = _store_with_orders(spark, sf_dir)
+    store = store_with_orders(spark, sf_dir)
     jobs.replace_by_delta(store, "orde-rs01", fresh_orders(spark, sf_dir), "o_orderkey")
     return store.read("orde-rs01")
 

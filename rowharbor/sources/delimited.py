@@ -61,13 +61,11 @@ def _quote(control: FileControl) -> str:
 
 def reader_options(control: FileControl) -> dict:
     quote = _quote(control)
-    escape = control.escape or ""
-    # with no escape character of its own, a doubled quote stands for a quote
-    escape = quote if escape in ("", NO_QUOTE) else escape[0]
     return {
         "sep": _separator(control),
         "quote": quote,
-        "escape": escape,
+        # with no escape character of its own, a doubled quote stands for a quote
+        "escape": _own_escape(control) or quote,
         "encoding": control.encoding or "utf-8",
         "multiLine": spans_lines(control),
         "mode": "PERMISSIVE",
@@ -98,9 +96,14 @@ def spans_lines(control: FileControl) -> bool:
     return control.multi_line and _quote(control) != NO_QUOTE
 
 
-def _can_split(control: FileControl) -> bool:
-    plain = (control.encoding or "utf-8").lower().replace("_", "-") in ("utf-8", "us-ascii")
-    return plain and (control.escape or "") in ("", NO_QUOTE, _quote(control))
+def _charset(control: FileControl) -> str:
+    return (control.encoding or "utf-8").lower().replace("_", "-")
+
+
+def _own_escape(control: FileControl) -> str | None:
+    """The escape character, where it is not the quote itself."""
+    escape = (control.escape or "")[:1]
+    return None if escape in ("", NO_QUOTE, _quote(control)) else escape
 
 
 def scan_delimited(
@@ -121,7 +124,7 @@ def scan_delimited(
     """
     names = list(names or control.columns or read_header(spark, path, control))
     lead = leading_records(control)
-    if spans_lines(control) and _can_split(control):
+    if spans_lines(control) and _charset(control) in multiline.CHARSETS:
         sizes = spark.read.format("binaryFile").load(path).select("length")
         largest = sizes.agg(F.max("length")).first()[0] or 0
         if largest >= large_file:
@@ -142,11 +145,14 @@ def scan_delimited(
 def _scan_split(
     spark: SparkSession, path: str | list[str], control: FileControl, names: list[str], lead: int
 ) -> DataFrame:
-    options = {k: str(v) for k, v in reader_options(control).items() if k != "multiLine"}
-    cells = F.from_csv(
-        F.col(multiline.RECORD), csv_schema(names).simpleString(), {**options, "columnPruning": "false"}
+    not_for_text = ("multiLine", "encoding", "columnPruning", "enforceSchema")
+    options = {k: str(v) for k, v in reader_options(control).items() if k not in not_for_text}
+    options["columnPruning"] = "false"
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in (*names, CORRUPT))
+    cells = F.from_csv(F.col(multiline.RECORD), schema, options)
+    found = multiline.records(
+        spark, path, _quote(control), _own_escape(control), _charset(control), lead
     )
-    found = multiline.records(spark, path, _quote(control), lead)
     return found.select(SRC_FILE, SRC_BLOCK, SRC_POS, cells.alias("_cells")).select(
         *[F.col("_cells")[n].alias(n) for n in (*names, CORRUPT)], SRC_FILE, SRC_BLOCK, SRC_POS
     )
@@ -194,14 +200,14 @@ def read_header(spark: SparkSession, path: str | list[str], control: FileControl
 def _records(lines: list[str], control: FileControl, complete: bool) -> list[list[str]]:
     """Leading records of a file; the last one is dropped where more lines may belong to it."""
     quote = _quote(control)
-    escape = control.escape if control.escape not in (None, "", NO_QUOTE) else None
+    escape = _own_escape(control)
     reader = csv.reader(
         (line + "\n" for line in lines),
         delimiter=_separator(control),
         quotechar=None if quote == NO_QUOTE else quote,
         quoting=csv.QUOTE_NONE if quote == NO_QUOTE else csv.QUOTE_MINIMAL,
         doublequote=escape is None,
-        escapechar=escape[0] if escape else None,
+        escapechar=escape,
     )
     records = list(reader)
     return records if complete else records[:-1]

@@ -7,12 +7,14 @@ split, a running sum over splits tells how each of them begins, and the lines of
 looked at on their own. Only records that cross the border of two splits are pieced together
 across them.
 
-The rule rests on quotes being balanced: cells that hold quotes are quoted and double them, as in
-RFC 4180. A file with its own escape character or another charset goes to the stock reader.
+The rule rests on quotes being balanced: cells that hold quotes are quoted, and double them or put
+the escape character before them.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +24,20 @@ FILE, BLOCK, POS = "_src_file", "_src_block", "_src_pos"
 RECORD = "_record"
 
 
-def _lines(spark: SparkSession, path: str | list[str], quote: str) -> DataFrame:
+# Charsets in which a line break and a quote are the bytes they are in ASCII.
+CHARSETS = ("utf-8", "us-ascii", "iso-8859-1")
+
+
+def _lines(
+    spark: SparkSession, path: str | list[str], quote: str, escape: str | None, charset: str
+) -> DataFrame:
     raw = spark.read.option("lineSep", "\n").text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))
+    if charset == "iso-8859-1":
+        raw = raw.withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    seen = F.col("value")
+    if escape:
+        seen = F.regexp_replace(seen, "(?s)" + re.escape(escape) + ".", "")
+    quotes = F.length(seen) - F.length(F.replace(seen, F.lit(quote), F.lit("")))
     return raw.select(
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
@@ -41,11 +54,16 @@ def _joined(pieces: Column) -> Column:
 
 
 def records(
-    spark: SparkSession, path: str | list[str], quote: str = '"', leading: int = 0
+    spark: SparkSession,
+    path: str | list[str],
+    quote: str = '"',
+    escape: str | None = None,
+    charset: str = "utf-8",
+    leading: int = 0,
 ) -> DataFrame:
     """``(file, split, position, text)`` of every record; the first ``leading`` records of each
     file are left out. No task holds more than one split, or one record that crosses splits."""
-    lines = _lines(spark, path, quote)
+    lines = _lines(spark, path, quote, escape, charset)
     at = [FILE, BLOCK]
 
     # how each split begins and ends: inside a quoted cell (1) or between records (0)

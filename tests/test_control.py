@@ -11,6 +11,7 @@ from rowharbor.control import (
     control_json,
     generate_control,
     parse_control,
+    parse_port_control,
 )
 from rowharbor.functions.patterns import DEFAULT_TIME_FORMATS, UnsupportedPattern, translate
 
@@ -126,3 +127,11 @@ def test_checks_without_data():
     assert check_action("Delete", None) and not check_action("Delete", "id")
     assert check_action("Upsert", "id", requested="replace")
     assert check_action("Append", "id", job="port") and check_action("Upsert", "id", job="gis")
+
+
+def test_port_control():
+    text = '{"sourceDataset": "ab12-cd34", "copyType": {"type": "schema_and_data"}, "more": 1}'
+    got = parse_port_control(text)
+    assert (got.source_dataset, got.copy, got.publish) == ("ab12-cd34", "all", True)
+    with pytest.raises(ControlError):
+        parse_port_control('{"sourceDataset": "x", "copyType": {"type": "nothing"}}')

@@ -162,3 +162,19 @@ def test_leading_records():
     assert lead("{}") == 1 and lead('{"skip": 2}') == 3
     assert lead('{"columns": ["a"]}') == 0 and lead('{"columns": ["a"], "skip": 1}') == 1
     assert leading_records(CSV.with_options(columns=["a"])) == 1
+
+
+@pytest.mark.parametrize("escape,encoding", [("\\", "utf-8"), (None, "ISO-8859-1")])
+def test_split_reader_equals_stock_reader(spark, tmp_path, split_small, escape, encoding):
+    rng = random.Random(11)
+    pieces = ["a", "é", ",", '"', "\n", " ", "word "]
+    rows = [[str(i)] + ["".join(rng.choices(pieces, k=6)) for _ in range(2)] for i in range(300)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n", escapechar=escape, doublequote=escape is None,
+               quoting=csv.QUOTE_ALL).writerows([["id", "a", "b"], *rows])
+    path = write(tmp_path, out.getvalue(), encoding=encoding)
+    control = CSV.with_options(escape=escape, encoding=encoding)
+    whole = sorted(cells(scan_delimited(spark, path, control)))
+    split_small(500)
+    assert sorted(cells(scan_delimited(spark, path, control, large_file=0))) == whole
+    assert sorted(whole) == sorted(tuple(r) for r in rows)
