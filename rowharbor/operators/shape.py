@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame
 from rowharbor.control import FileControl
 from rowharbor.functions.cells import clean_cell, trim_cell
 from rowharbor.runtime import field
-from rowharbor.sources.delimited import SOURCE_COLUMNS, data_columns, placeholder_columns
+from rowharbor.sources.delimited import SOURCE_COLUMNS, data_columns, usable_names
 
 COMPUTED = "computed"  # metadata key of a column the dataset computes itself
 
@@ -17,21 +18,30 @@ COMPUTED = "computed"  # metadata key of a column the dataset computes itself
 def map_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Name file columns by position. A name given twice belongs to its last position; the
     earlier one falls back to a placeholder and is left out."""
-    names = list(columns)
     have = data_columns(df)
-    if len(names) != len(have):
-        raise ValueError(f"{len(names)} names for {len(have)} columns")
-    last = {name: i for i, name in enumerate(names)}
-    chosen = [field(have[i]).alias(n) for i, n in enumerate(names) if last[n] == i]
+    if len(columns) != len(have):
+        raise ValueError(f"{len(columns)} names for {len(have)} columns")
+    usable = usable_names(columns)
+    chosen = [field(have[i]).alias(n) for i, n in enumerate(usable) if n == columns[i]]
     kept = [field(c) for c in df.columns if c not in have]
     return df.select(*chosen, *kept)
 
 
-def unmapped_placeholders(columns: Sequence[str]) -> list[str]:
-    """Names left after a remap: earlier duplicates become ``column_<i>``."""
-    last = {name: i for i, name in enumerate(columns)}
-    spare = placeholder_columns(len(columns))
-    return [n if last[n] == i else spare[i] for i, n in enumerate(columns)]
+def _as_field_name(header: str) -> str:
+    return re.sub(r"[^a-z0-9]+", "_", header.strip().lower()).strip("_")
+
+
+def fit_names(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Give file columns the dataset's spelling: equal but for case and blanks, or equal once
+    written as a field name (``Another Name`` is ``another_name``)."""
+    have = data_columns(df)
+    free = {f.lower(): f for f in fields if f not in have}
+    renamed = {}
+    for spell in (lambda h: h.strip().lower(), _as_field_name):
+        for name in have:
+            if name not in fields and name not in renamed and spell(name) in free:
+                renamed[name] = free.pop(spell(name))
+    return df.select(*[field(c).alias(renamed.get(c, c)) for c in df.columns])
 
 
 def ignore_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

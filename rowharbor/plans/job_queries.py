@@ -33,7 +33,7 @@ CONTROL = {
         "columns": ["o_orderkey", "day", "closed", "price", "lat", "lon", "remark"],
         "skip": 1,
         "quote": "\u0000",
-        "ignoreColumns": ["remark", "never there"],
+        "ignoreColumns": ["remark", "lat", "lon", "never there"],
         "floatingTimestampFormat": "MM/dd/yyyy",
         "overrides": {"closed": {"timestampFormat": ["YYYY/MM"], "timezone": "PDT"}},
         "syntheticPoints": {"spot": {"type": "point", "latitude": "lat", "longitude": "lon"}},

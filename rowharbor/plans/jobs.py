@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +12,16 @@ from rowharbor.control import Control, ControlError, check_action, check_encodin
 from rowharbor.operators import delta, layers, port, publish
 from rowharbor.operators.errors import drop_uninterpretable, split_errors
 from rowharbor.operators.geo import add_synthetic_columns
-from rowharbor.operators.shape import clean_cells, ignore_columns, trim_stored
+from rowharbor.operators.shape import clean_cells, fit_names, ignore_columns, trim_stored
 from rowharbor.operators.typing import ERRORS, cast_types
 from rowharbor.runtime import field, materialise
-from rowharbor.sources.delimited import SOURCE_COLUMNS, data_columns, scan_delimited, source_order
+from rowharbor.sources.delimited import (
+    SOURCE_COLUMNS,
+    data_columns,
+    scan_delimited,
+    source_order,
+    usable_names,
+)
 from rowharbor.sources.sinks import write_set_aside
 from rowharbor.sources.store import DatasetStore
 
@@ -25,6 +31,10 @@ from rowharbor.sources.store import DatasetStore
 FEW_ROWS = 1_000_000
 
 
+class PublishRefused(ValueError):
+    """A file that does not fit its dataset."""
+
+
 @dataclass(frozen=True)
 class PublishResult:
     dataset_id: str
@@ -57,14 +67,36 @@ def prepare_rows(
     key: str | None,
     gazetteer: DataFrame | None = None,
 ) -> DataFrame:
-    """Text rows, cleaned and typed, with an error list. Narrow steps only."""
+    """Text rows, cleaned and typed, with an error list. Narrow steps only. An ignored column may
+    still be part of a composite one."""
     file = control.file
-    kept = ignore_columns(rows, file.ignore_columns)
-    typed = cast_types(clean_cells(kept, file), types, file)
-    composed = add_synthetic_columns(typed, file, gazetteer)
+    ignored = set(file.ignore_columns)
+    wanted = {c: t for c, t in types.items() if c not in ignored}
+    typed = cast_types(clean_cells(rows, file), wanted, file)
+    composed = ignore_columns(add_synthetic_columns(typed, file, gazetteer), file.ignore_columns)
     return publish.flag_null_keys(composed, key) if key and key in composed.columns else composed
 
 
+def check_header(
+    names: Sequence[str], fields: Sequence[str], control: Control, key: str | None
+) -> None:
+    """Whether a file's columns can be published into a dataset with these fields."""
+    file, method = control.file, control.action.lower()
+    composite = {*file.synthetic_locations, *file.synthetic_points}
+    heads = [n for n in names if n not in file.ignore_columns]
+    extra = [n for n in heads if n not in fields]
+    if extra:
+        raise PublishRefused(f"Extra Columns Specified: {', '.join(extra)}")
+    twice = [n for n in heads if n in composite]
+    if twice:
+        raise PublishRefused(f"Ambiguous Column Name: {', '.join(twice)}")
+    missing = [f for f in fields if f not in {*heads, *file.ignore_columns, *composite}]
+    if key is not None and key not in heads and (missing or method != "replace"):
+        raise PublishRefused(f"Missing Row Identifier: {key}")
+    if key is None and missing and method == "replace":
+        raise PublishRefused(f"Missing Fields: not mapped: {', '.join(missing)}")
+
+
 def prepare_ids(rows: DataFrame, control: Control, types: Mapping[str, str], key: str) -> DataFrame:
     """The ids a delete file names: its first column, whatever it is called."""
     first = data_columns(rows)[0]
@@ -95,9 +127,17 @@ def publish_rows(
     if batch is not None and store.has_batch(dataset_id, batch):
         return PublishResult(dataset_id, method, store.current_version(dataset_id))
     file = control.file
-    prepare = prepare_ids if method == "delete" else prepare_rows
-    extra = () if method == "delete" else (gazetteer,)
-    parsed = materialise(prepare(rows, control, types, key, *extra), "parsed")
+    target = trim_stored(store.read(dataset_id), file)
+    if method == "delete":
+        prepared = prepare_ids(rows, control, types, key)
+    else:
+        fitted = fit_names(rows, target.columns)
+        if file.columns:  # a field mapped twice leaves an unnamed column behind
+            spare = set(usable_names(file.columns)) - set(file.columns)
+            fitted = ignore_columns(fitted, spare)
+        check_header(data_columns(fitted), target.columns, control, key)
+        prepared = prepare_rows(fitted, control, types, key, gazetteer)
+    parsed = materialise(prepared, "parsed")
 
     good, bad = split_errors(parsed)
     rows_in, errors = _tally(parsed)
@@ -109,7 +149,6 @@ def publish_rows(
         good = publish.last_by_key(good, key, source_order(good))
     incoming = good.select(*[field(c) for c in good.columns if c not in SOURCE_COLUMNS])
 
-    target = trim_stored(store.read(dataset_id), file)
     if method == "replace":
         merged = publish.replace(target, incoming)
     elif method == "delete":

@@ -41,6 +41,18 @@ def placeholder_columns(n: int) -> list[str]:
     return [f"column_{i}" for i in range(n)]
 
 
+def usable_names(columns: Sequence[str]) -> list[str]:
+    """Names a scan can use: of equal names, whatever their case, the last one stays; the others,
+    and blank ones, become ``column_<i>``."""
+    last = {name.lower(): i for i, name in enumerate(columns)}
+    spare = placeholder_columns(len(columns))
+    names = [
+        n if n.strip() and last[n.lower()] == i else spare[i] for i, n in enumerate(columns)
+    ]
+    taken = {n.lower() for i, n in enumerate(names) if n != spare[i]}
+    return [n + "_" if n == spare[i] and n in taken else n for i, n in enumerate(names)]
+
+
 def data_columns(df: DataFrame) -> list[str]:
     """Columns that came from the file itself, in order."""
     return [c for c in df.columns if c not in SOURCE_COLUMNS and c != "_errors"]
@@ -122,7 +134,7 @@ def scan_delimited(
     by lines. Otherwise a file is read by one task, unless one of them is ``large_file`` bytes or
     more: then all are split by records.
     """
-    names = list(names or control.columns or read_header(spark, path, control))
+    names = usable_names(names or control.columns or read_header(spark, path, control))
     lead = leading_records(control)
     if spans_lines(control) and _charset(control) in multiline.CHARSETS:
         sizes = spark.read.format("binaryFile").load(path).select("length")
@@ -276,7 +288,7 @@ def scan_head(
     Files are opened one by one until there are enough records, and only the splits that are
     needed are read; the driver holds ``n`` rows at most.
     """
-    names = list(control.columns or read_header(spark, path, control))
+    names = usable_names(control.columns or read_header(spark, path, control))
     listing = spark.read.format("binaryFile").load(path).select("path")
     head: list = []
     look = 4

@@ -8,7 +8,6 @@ is therefore never written to, and a failed write leaves the dataset as it was.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -75,7 +74,8 @@ def export_dataset(df: DataFrame) -> DataFrame:
 
 
 class DatasetStore:
-    """Datasets below one root folder on storage all executors share."""
+    """Datasets below one root folder on storage all executors share. One job at a time may
+    publish into a dataset; readers need not wait."""
 
     def __init__(self, spark: SparkSession, root: str, deep_check: bool = False):
         """``deep_check`` compares hashes of all written rows with those that were sent, which
@@ -149,9 +149,13 @@ class DatasetStore:
         """Make a staged version the current one, after reading back what was written."""
         written = drop_system_columns(self.read_version(dataset_id, version))
         found = verify_publish(written, expected)
-        total = None if found.hash_sum is None else Decimal(found.hash_sum)
-        row = self.spark.createDataFrame(
-            [(version, found.rows, found.hash_xor, total, batch)], T.StructType.fromDDL(COMMITS)
+        total = None if found.hash_sum is None else str(found.hash_sum)
+        row = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(found.rows).cast("bigint").alias("rows"),
+            F.lit(found.hash_xor).cast("bigint").alias("hash_xor"),
+            F.lit(total).cast("decimal(38,0)").alias("hash_sum"),
+            F.lit(batch).cast("string").alias("batch"),
         )
         row.coalesce(1).write.mode("append").parquet(self._commits_path(dataset_id))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rowharbor.operators import catalog, checks, joblog, port, profile, shape
 from rowharbor.operators.publish import replace
 from rowharbor.control import FileControl, ColumnOverride
+from rowharbor.sources.delimited import usable_names
 from rowharbor.sources.joblog import scan_job_log
 from rowharbor.sources.sinks import append_run_log, read_run_log
 
@@ -51,7 +52,8 @@ def test_map_and_ignore(spark):
     df = spark.createDataFrame([("1", "2", "3")], "a string, b string, c string")
     mapped = shape.map_columns(df, ["x", "y", "x"])
     assert mapped.columns == ["y", "x"] and tuple(mapped.first()) == ("2", "3")
-    assert shape.unmapped_placeholders(["x", "y", "x"]) == ["column_0", "y", "x"]
+    assert usable_names(["x", "y", "X", "", "column_0"]) == [
+        "column_0_", "y", "X", "column_3", "column_0"]
     assert shape.ignore_columns(df, ["b", "zzz"]).columns == ["a", "c"]
 
 

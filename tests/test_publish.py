@@ -8,6 +8,7 @@ from rowharbor.control import Control, generate_control
 from rowharbor.operators.errors import UninterpretableRows, error_report
 from rowharbor.operators.publish import actions, batch_results, publish_summary
 from rowharbor.plans.jobs import (
+    PublishRefused,
     create_dataset,
     port_dataset,
     prepare_rows,
@@ -82,6 +83,41 @@ def test_tsv_without_header(store, tmp_path):
     assert rows(store)[2] == (3, '"cy"', "z", datetime(2020, 1, 3))
 
 
+def test_display_names_as_header(store, tmp_path):
+    put(store, TWO)
+    got = run(store, tmp_path, 'ID, Name ,"Another Name",Date\n3,cy,z,01/03/2020\n', "upsert")
+    assert (got.rows_created, got.errors) == (1, 0)
+    assert rows(store)[2] == THREE[2]
+
+
+@pytest.mark.parametrize("text,method,key,message", [
+    ("id,name,another_name,date,more\n", "upsert", "id", "Extra Columns"),
+    ("id,id,name\n1,2,x\n", "upsert", "id", "Extra Columns"),
+    ("name\nx\n", "upsert", "id", "Missing Row Identifier"),
+    ("name\nx\n", "replace", "id", "Missing Row Identifier"),
+    ("id,name\n1,x\n", "replace", None, "Missing Fields: not mapped: another_name, date"),
+])
+def test_files_that_do_not_fit(store, tmp_path, text, method, key, message):
+    put(store, TWO)
+    with pytest.raises(PublishRefused, match=message):
+        run(store, tmp_path, text, method, key)
+    assert rows(store) == TWO
+
+
+def test_partial_replace_with_key(store, tmp_path):
+    put(store, TWO)
+    assert run(store, tmp_path, "id,name\n7,x\n", "replace").rows_created == 1
+    assert rows(store) == [(7, "x", None, None)]
+
+
+def test_field_mapped_twice_in_the_control(store, tmp_path):
+    put(store, TWO)
+    made = generate_control("in.csv", "upsert", ["id", "name", "name", "date"])
+    path = csv(tmp_path, "a,b,c,d\n1,old,new,01/01/2020\n")
+    got = publish_file(store, "ab12-cd34", path, made, TYPES, "id")
+    assert got.rows_updated == 1 and rows(store)[0][1] == "new"
+
+
 def test_last_write_wins(store, tmp_path):
     put(store, TWO)
     text = HEADER + "9,first,a,\n" + "9,second,b,\n" * 3 + "9,last,c,\n"
