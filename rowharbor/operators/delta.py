@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.runtime import field
+from rowharbor.runtime import field, materialise
 
 CHANGE = "change"
 INSERTED, UPDATED, DELETED, UNCHANGED = "inserted", "updated", "deleted", "unchanged"
@@ -21,46 +21,52 @@ def row_signature(columns: Sequence[str]) -> Column:
 
 
 def signatures(df: DataFrame, key: str) -> DataFrame:
-    """Key and digest of every row: what is kept beside a version to compare the next one with."""
+    """Key and 32-byte digest of every row: what can be kept beside a version, to compare the next
+    one with."""
     rest = [c for c in df.columns if c != key]
-    return df.select(field(key), row_signature(rest).alias("signature"))
+    return df.select(field(key), F.unhex(row_signature(rest)).alias("signature"))
 
 
-def _compared(df: DataFrame, key: str, name: str) -> Column:
-    """The digest as 32 bytes: half of what its text would take in a shuffle."""
-    return F.unhex(row_signature([c for c in df.columns if c != key])).alias(name)
-
-
-def keyed_changes(prev: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``(key, change)`` for every key of either version. Only keys and digests are shuffled."""
-    old = prev.select(field(key), _compared(prev, key, "_old"))
-    now = new.select(field(key), _compared(new, key, "_new"))
+def compare_signatures(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """``(key, change)`` for every key of either version, from their signatures."""
     change = (
         F.when(F.col("_old").isNull(), INSERTED)
         .when(F.col("_new").isNull(), DELETED)
         .when(F.col("_old") != F.col("_new"), UPDATED)
         .otherwise(UNCHANGED)
     )
-    return old.join(now, key, "full_outer").select(field(key), change.alias(CHANGE))
+    was = old.select(field(key), F.col("signature").alias("_old"))
+    now = new.select(field(key), F.col("signature").alias("_new"))
+    return was.join(now, key, "full_outer").select(field(key), change.alias(CHANGE))
+
+
+def keyed_changes(prev: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """``(key, change)`` for every key of either version. Keys are unique per side, columns in
+    the same order. Only keys and digests are shuffled."""
+    return compare_signatures(signatures(prev, key), signatures(new, key), key)
 
 
-def delta(prev: DataFrame, new: DataFrame, key: str) -> DataFrame:
+def delta(
+    prev: DataFrame, new: DataFrame, key: str, prev_signatures: DataFrame | None = None
+) -> DataFrame:
     """Changed rows: inserted and updated ones with their new values, deleted ones with the key
-    and nulls. Unchanged rows are left out. Columns must be in the same order on both sides.
+    and nulls. Unchanged rows are left out.
 
-    Keys are unique per side. Of the previous version only keys and digests are shuffled; the new
-    values ride along on the new side.
+    The changed keys are found first, from digests (those of the previous version may have been
+    kept), and written to scratch space; whole rows are fetched for them alone, without shuffling
+    the table where the changed keys are few enough for Catalyst to broadcast.
     """
-    old = prev.select(field(key), _compared(prev, key, "_old"))
-    now = new.select("*", _compared(new, key, "_new"))
-    change = (
-        F.when(F.col("_old").isNull(), INSERTED)
-        .when(F.col("_new").isNull(), DELETED)
-        .when(F.col("_old") != F.col("_new"), UPDATED)
-    )
-    joined = now.join(old, key, "full_outer").withColumn(CHANGE, change)
-    return joined.filter(F.col(CHANGE).isNotNull()).select(
-        *[field(c) for c in new.columns], CHANGE
+    old = signatures(prev, key) if prev_signatures is None else prev_signatures
+    judged = compare_signatures(old, signatures(new, key), key)
+    changed = materialise(judged.filter(F.col(CHANGE) != UNCHANGED), "changes")
+    came = new.join(changed.filter(F.col(CHANGE) != DELETED), key)
+    gone = changed.filter(F.col(CHANGE) == DELETED)
+    values = [
+        field(key) if f.name == key else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in new.schema.fields
+    ]
+    return came.select(*[field(c) for c in new.columns], CHANGE).unionByName(
+        gone.select(*values, CHANGE)
     )
 
 
