@@ -31,9 +31,9 @@ def _damaged():
     return (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW")
 
 
-def damaged_orders(spark, sf_dir):
+def damaged_orders(spark, sf_dir, bad=None):
     """Orders as a CSV export in key order, some with a day nobody can read; typed, with errors."""
-    day = F.when(_damaged(), "soon").otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
+    day = F.when(_damaged() if bad is None else bad, "soon").otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
     orders = in_order(table(spark, sf_dir, "orders"), "o_orderkey").withColumn("o_orderdate", day)
     rows = scan_delimited(spark, as_delimited(orders, "damaged"), PLAIN)
     return cast_types(clean_cells(rows, PLAIN), ORDERS, PLAIN)
@@ -70,10 +70,11 @@ def error_lines(spark, sf_dir):
     return error_report(staged, whole_folder=True).select("line", "message")
 
 
-@query(f"SELECT * FROM orders WHERE NOT {DAMAGED_SQL}")
+@query("SELECT * FROM orders WHERE o_totalprice <= 490000")
 def drop_ten_percent(spark, sf_dir):
-    staged = materialise(damaged_orders(spark, sf_dir), "parsed")
-    return drop_uninterpretable(staged, "TenPercent").select(*ORDERS)
+    """A few bad rows, within what the policy tolerates."""
+    damaged = damaged_orders(spark, sf_dir, F.col("o_totalprice") > 490000)
+    return drop_uninterpretable(materialise(damaged, "parsed"), "TenPercent").select(*ORDERS)
 
 
 # Stored: orders placed before 2000. Incoming: orders placed from 1998 on, 1000 dearer, with the
