@@ -32,6 +32,13 @@ def sql_type(type_name: str) -> str:
     return SQL_TYPES.get(type_name, type_name)
 
 
+def field_types(df: DataFrame) -> dict[str, str]:
+    """Dataset types of a stored table's columns; composite ones are left out."""
+    named = {"string": "text", "timestamp_ntz": "calendar_date", "timestamp": "date"}
+    atomic = {n: t for n, t in df.dtypes if not t.startswith(("struct", "array", "map"))}
+    return {n: named.get(t, t) for n, t in atomic.items()}
+
+
 def typed_cell(name: str, type_name: str, control: FileControl) -> Column:
     cell, o = field(name), control.for_column(name)
     if type_name in TEXT_TYPES:

@@ -357,9 +357,9 @@ def match_columns(spark, sf_dir):
 def _statistics_sql(table_name: str, columns: dict[str, str]) -> str:
     def one(i: int, name: str, kind: str) -> str:
         mean = (f"round(sum({name}::DECIMAL(38,6))::DOUBLE / count({name}), 4)" if kind == "n"
-                else "NULL::DOUBLE")
-        short = f"min(length({name}))::INT" if kind == "s" else "NULL::INT"
-        long = f"max(length({name}))::INT" if kind == "s" else "NULL::INT"
+                else "-1::DOUBLE")
+        short = f"min(length({name}))::INT" if kind == "s" else "-1"
+        long = f"max(length({name}))::INT" if kind == "s" else "-1"
         return f"""
 SELECT {i} AS pos, '{name}' AS column_name, count(*) AS rows, count(*) - count({name}) AS nulls,
        count(DISTINCT {name}) AS distinct_values, min({name})::VARCHAR AS smallest,
@@ -369,12 +369,23 @@ FROM {table_name}"""
     return " UNION ALL ".join(one(i, n, k) for i, (n, k) in enumerate(columns.items()))
 
 
+def _statistics_shown(found):
+    """Rounded means; -1 where a figure does not apply."""
+    return found.withColumns(
+        {
+            "mean": F.coalesce(F.round("mean", 4), F.lit(-1.0)),
+            "shortest": F.coalesce("shortest", F.lit(-1)),
+            "longest": F.coalesce("longest", F.lit(-1)),
+        }
+    )
+
+
 @query(_statistics_sql("orders", {
     "o_orderkey": "n", "o_custkey": "n", "o_orderstatus": "s", "o_totalprice": "n",
     "o_orderdate": "t", "o_orderpriority": "s"}))
 def column_statistics(spark, sf_dir):
     found = profile.column_statistics(table(spark, sf_dir, "orders"), exact=True)
-    return found.withColumn("mean", F.round("mean", 4))
+    return _statistics_shown(found)
 
 
 @query(
@@ -388,7 +399,7 @@ def column_statistics(spark, sf_dir):
 def column_statistics_quick(spark, sf_dir):
     """The estimate of distinct values is not SQL-comparable; all other columns are."""
     found = profile.column_statistics(table(spark, sf_dir, "lineitem"))
-    return found.drop("distinct_values").withColumn("mean", F.round("mean", 4))
+    return _statistics_shown(found.drop("distinct_values"))
 
 
 @query(f"""
@@ -649,7 +660,7 @@ def commit_state(spark, sf_dir):
 
 
 @query("""
-SELECT event_id, floor(user_id * 100 / nullif(trunc(value)::BIGINT, 0))::INT AS percent,
+SELECT event_id, coalesce(floor(user_id * 100 / nullif(trunc(value)::BIGINT, 0))::INT, -1) AS percent,
        CASE event_type WHEN 'view' THEN 'SUCCESS' WHEN 'error' THEN 'PUBLISH_ERROR' END AS outcome
 FROM events
 """)
@@ -662,7 +673,9 @@ def progress(spark, sf_dir):
         F.when(kind == "view", "SUCCESS: done").when(kind == "error", "FAILURE: no").otherwise(kind)
         .alias("english"),
     )
-    return joblog.progress(status).select("event_id", "percent", "outcome")
+    return joblog.progress(status).select(
+        "event_id", F.coalesce("percent", F.lit(-1)).alias("percent"), "outcome"
+    )
 
 
 @query("""

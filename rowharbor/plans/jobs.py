@@ -13,7 +13,7 @@ from rowharbor.operators import delta, layers, port, publish
 from rowharbor.operators.errors import drop_uninterpretable, split_errors
 from rowharbor.operators.geo import add_synthetic_columns
 from rowharbor.operators.shape import clean_cells, fit_names, ignore_columns, trim_stored
-from rowharbor.operators.typing import ERRORS, cast_types
+from rowharbor.operators.typing import ERRORS, cast_types, field_types
 from rowharbor.runtime import field, materialise
 from rowharbor.sources.delimited import (
     SOURCE_COLUMNS,
@@ -111,7 +111,7 @@ def publish_rows(
     dataset_id: str,
     rows: DataFrame,
     control: Control,
-    types: Mapping[str, str],
+    types: Mapping[str, str] | None = None,
     key: str | None = None,
     gazetteer: DataFrame | None = None,
     set_aside: str | None = None,
@@ -119,7 +119,7 @@ def publish_rows(
 ) -> PublishResult:
     """Publish scanned text rows by the control's action.
 
-    The rows are parsed once, into scratch space; bad rows are skipped, set aside or refused as
+    Of rows with the same key the last one counts. The rows are parsed once, into scratch space; bad rows are skipped, set aside or refused as
     the control says, and the rest is merged into a new version that is checked before it is
     published.
     """
@@ -128,6 +128,7 @@ def publish_rows(
         return PublishResult(dataset_id, method, store.current_version(dataset_id))
     file = control.file
     target = trim_stored(store.read(dataset_id), file)
+    types = {**field_types(target), **(types or {})}
     if method == "delete":
         prepared = prepare_ids(rows, control, types, key)
     else:
@@ -145,7 +146,7 @@ def publish_rows(
         good = drop_uninterpretable(parsed, file.drop_uninterpretable_rows)
     if file.set_aside_errors and set_aside and errors:
         write_set_aside(bad, set_aside)
-    if key is not None and method != "replace":
+    if key is not None:
         good = publish.last_by_key(good, key, source_order(good))
     incoming = good.select(*[field(c) for c in good.columns if c not in SOURCE_COLUMNS])
 
@@ -186,15 +187,15 @@ def publish_file(
     dataset_id: str,
     path: str,
     control: Control,
-    types: Mapping[str, str],
+    types: Mapping[str, str] | None = None,
     key: str | None = None,
     **options,
 ) -> PublishResult:
-    """Publish a file or folder of files."""
+    """Publish a file or folder of files. Types that are not named follow from the dataset."""
     check_job(control, key)
     names = control.file.columns
-    if names is None and not control.file.has_header_row:
-        names = list(types)  # a file without a header follows the dataset's columns
+    if names is None and not control.file.has_header_row and control.action.lower() != "delete":
+        names = store.read(dataset_id).columns  # a file without a header follows the dataset
     rows = scan_delimited(store.spark, path, control.file, names)
     return publish_rows(store, dataset_id, rows, control, types, key, **options)
 

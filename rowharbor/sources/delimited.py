@@ -8,6 +8,7 @@ records of one file; running record numbers are worked out from them only where
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -296,10 +297,10 @@ def scan_head(
     while True:
         nearest = listing.orderBy(F.length("path"), "path").limit(look).collect()
         for row in nearest[done:]:
-            rows = scan_delimited(spark, row["path"], control, names).select(
+            # splits of one file are taken in order, and the stock reader stops when told to
+            rows = scan_delimited(spark, row["path"], control, names, large_file=sys.maxsize).select(
                 *[field(c) for c in names]
             )
-            # a single file's splits are taken in order
             head += [tuple(r) for r in rows.take(n - len(head))]
             if len(head) == n:
                 break

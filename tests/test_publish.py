@@ -126,6 +126,20 @@ def test_last_write_wins(store, tmp_path):
     assert rows(store)[2][1] == "last"
 
 
+def test_replace_keeps_the_last_row_of_a_key(store, tmp_path):
+    put(store, TWO)
+    got = run(store, tmp_path, HEADER + "7,a,,\n7,b,,\n", "replace")
+    assert got.rows_created == 1 and rows(store) == [(7, "b", None, None)]
+
+
+def test_types_follow_from_the_dataset(store, tmp_path):
+    put(store, TWO)
+    path = csv(tmp_path, HEADER + "9,x,y,01/02/2020\n8,x,y,bad\n")
+    got = publish_file(store, "ab12-cd34", path, generate_control("in.csv", "upsert"), key="id")
+    assert (got.rows_created, got.errors) == (1, 1)
+    assert rows(store)[2] == (9, "x", "y", datetime(2020, 1, 2))
+
+
 def test_append_without_key(store, tmp_path):
     put(store, TWO)
     got = run(store, tmp_path, HEADER + "1,again,x,\n", "append", key=None)
