@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowharbor.operators.typing import ERRORS, add_error
-from rowharbor.runtime import field
+from rowharbor.runtime import field, materialise
 
 ACTION = ":action"
 CREATED, UPDATED, UNCHANGED = "created", "updated", "unchanged"
@@ -72,6 +72,23 @@ def last_by_key(
     )
 
 
+def last_of_few_repeats(
+    staged: DataFrame, key: str | Sequence[str], order: Column | Sequence[Column]
+) -> DataFrame:
+    """``last_by_key`` for rows whose keys seldom repeat and are never null.
+
+    Keys alone are shuffled to find those that repeat. Rows of all other keys pass by unshuffled
+    where Catalyst can broadcast the repeated keys, which are written out so that their size is
+    known. Pass staged rows: they are read twice.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    seen = staged.groupBy(*[field(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialise(seen.filter(F.col("_n") > 1).drop("_n"), "repeated")
+    once = staged.join(repeated, keys, "left_anti").select(*[field(c) for c in staged.columns])
+    again = last_by_key(staged.join(repeated, keys, "left_semi"), keys, order)
+    return once.unionByName(again)
+
+
 def upsert(
     target: DataFrame,
     incoming: DataFrame,

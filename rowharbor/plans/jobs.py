@@ -147,7 +147,9 @@ def publish_rows(
     if file.set_aside_errors and set_aside and errors:
         write_set_aside(bad, set_aside)
     if key is not None:
-        good = publish.last_by_key(good, key, source_order(good))
+        # a replace is not shuffled afterwards, a merge is: there the shuffle serves both
+        last = publish.last_of_few_repeats if method == "replace" else publish.last_by_key
+        good = last(good, key, source_order(good))
     incoming = good.select(*[field(c) for c in good.columns if c not in SOURCE_COLUMNS])
 
     if method == "replace":

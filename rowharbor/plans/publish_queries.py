@@ -183,12 +183,15 @@ _LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_qua
                "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 
 
-@query(f"""
+_LAST_LINES_SQL = f"""
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                                ORDER BY {", ".join(c + " DESC" for c in _LINE_ORDER)}) AS rn
   FROM lineitem) WHERE rn = 1
-""")
+"""
+
+
+@query(_LAST_LINES_SQL)
 def last_write_wins_lines(spark, sf_dir):
     """A two-column key that repeats."""
     lines = table(spark, sf_dir, "lineitem")
@@ -196,6 +199,14 @@ def last_write_wins_lines(spark, sf_dir):
     return publish.last_by_key(lines, ["l_orderkey", "l_linenumber"], order)
 
 
+@query(_LAST_LINES_SQL)
+def last_of_few_repeats(spark, sf_dir):
+    """The form for keys that seldom repeat."""
+    lines = table(spark, sf_dir, "lineitem")
+    order = [F.col(c) for c in _LINE_ORDER]
+    return publish.last_of_few_repeats(lines, ["l_orderkey", "l_linenumber"], order)
+
+
 def _actions(spark, sf_dir):
     """Damaged orders against the stored ones."""
     numbered = with_record_no(damaged_orders(spark, sf_dir), whole_folder=True)
