@@ -287,15 +287,25 @@ def check_formats(control: FileControl) -> list[str]:
     return problems
 
 
-def check_encoding(control: FileControl) -> list[str]:
-    """Messages about a charset nobody knows; no encoding at all is fine."""
-    if not control.encoding:
+# Charsets Spark reads as it comes; any other needs spark.sql.legacy.javaCharsets.
+CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+
+
+def check_encoding(control: FileControl, java_charsets: bool = False) -> list[str]:
+    """Messages about a charset that cannot be read; no encoding at all is fine."""
+    name = (control.encoding or "utf-8").lower()
+    if name in CHARSETS:
         return []
     try:
-        codecs.lookup(control.encoding)
+        codecs.lookup(name)
     except LookupError:
         return [f"Unsupported Encoding: The encoding '{control.encoding}' is not supported."]
-    return []
+    if java_charsets:
+        return []
+    return [
+        f"Unsupported Encoding: The encoding '{control.encoding}' needs "
+        "spark.sql.legacy.javaCharsets=true"
+    ]
 
 
 def check_action(

@@ -50,11 +50,16 @@ class PublishResult:
         return "PUBLISH_ERROR" if self.errors else "SUCCESS"
 
 
-def check_job(control: Control, key: str | None, requested: str | None = None) -> None:
+def check_job(
+    spark: SparkSession, control: Control, key: str | None, requested: str | None = None
+) -> None:
     """Everything that can be said about a job without reading data."""
     file = control.file
+    java_charsets = spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "true"
     problems = (
-        check_action(control.action, key, requested) + check_formats(file) + check_encoding(file)
+        check_action(control.action, key, requested)
+        + check_formats(file)
+        + check_encoding(file, java_charsets)
     )
     if problems:
         raise ControlError("; ".join(problems))
@@ -194,7 +199,7 @@ def publish_file(
     **options,
 ) -> PublishResult:
     """Publish a file or folder of files. Types that are not named follow from the dataset."""
-    check_job(control, key)
+    check_job(store.spark, control, key)
     names = control.file.columns
     if names is None and not control.file.has_header_row and control.action.lower() != "delete":
         names = store.read(dataset_id).columns  # a file without a header follows the dataset

@@ -105,8 +105,10 @@ def leading_records(control: FileControl) -> int:
 
 
 def spans_lines(control: FileControl) -> bool:
-    """Whether a cell may hold a line break: without quoting none can."""
-    return control.multi_line and _quote(control) != NO_QUOTE
+    """Whether a file cannot be cut at every line break: a cell may hold one, unless there is no
+    quoting, or a character takes several bytes."""
+    wide = _charset(control).startswith(("utf-16", "utf-32"))
+    return wide or (control.multi_line and _quote(control) != NO_QUOTE)
 
 
 def _charset(control: FileControl) -> str:
@@ -190,12 +192,10 @@ def read_header(spark: SparkSession, path: str | list[str], control: FileControl
     first = listing.agg(F.min("path")).first()[0]
     if first is None:
         raise FileNotFoundError(f"no file below {path}")
-    encoding = control.encoding or "utf-8"
-    lines = spark.read.text(first).select(F.col("value").cast("binary"))
     want = control.skip
     take = max(64, 4 * (want + 1))
     while True:
-        got = [bytes(r[0]).decode(encoding) for r in lines.limit(take).collect()]
+        got = _first_lines(spark, first, control, take)
         records = _records(got, control, complete=len(got) < take)
         if len(records) > want or len(got) < take:
             break
@@ -210,6 +210,21 @@ def read_header(spark: SparkSession, path: str | list[str], control: FileControl
     return [h.strip() for h in header]
 
 
+def _first_lines(spark: SparkSession, path: str, control: FileControl, n: int) -> list[str]:
+    """Leading physical lines of one file."""
+    if _charset(control).startswith(("utf-16", "utf-32")):
+        # one column that takes whole lines: no separator or quote can occur
+        whole = (
+            spark.read.schema("value string")
+            .options(sep="\u0001", quote=NO_QUOTE, encoding=control.encoding, multiLine=True)
+            .csv(path)
+        )
+        return [r[0] or "" for r in whole.limit(n).collect()]
+    encoding = control.encoding or "utf-8"
+    lines = spark.read.text(path).select(F.col("value").cast("binary"))
+    return [bytes(r[0]).decode(encoding) for r in lines.limit(n).collect()]
+
+
 def _records(lines: list[str], control: FileControl, complete: bool) -> list[list[str]]:
     """Leading records of a file; the last one is dropped where more lines may belong to it."""
     quote = _quote(control)

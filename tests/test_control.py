@@ -122,6 +122,8 @@ def test_checks_without_data():
     bad = control({"floatingTimestampFormat": ["iso8601", "bogus"], "encoding": "utf-99"}).file
     assert len(check_formats(bad)) == 1 and len(check_encoding(bad)) == 1
     assert check_encoding(control({"encoding": "ISO-8859-1"}).file) == []
+    odd = control({"encoding": "windows-1252"}).file
+    assert check_encoding(odd) and not check_encoding(odd, java_charsets=True)
     assert check_action("Upsert", None) == []
     assert check_action("Merge", None) and check_action(None, None)
     assert check_action("Delete", None) and not check_action("Delete", "id")

@@ -64,6 +64,14 @@ def test_bom_and_charset(spark, tmp_path):
     assert data_columns(df) == ["id", "né"] and cells(df) == [("1", "é")]
 
 
+@pytest.mark.parametrize("encoding", ["utf-16", "UTF-16LE", "utf-32"])
+def test_wide_charsets(spark, tmp_path, encoding):
+    path = write(tmp_path, 'id,né\n1,é\n2,"x\ny"\n', encoding=encoding)
+    control = CSV.with_options(encoding=encoding, multi_line=False)
+    df = scan_delimited(spark, path, control)
+    assert data_columns(df) == ["id", "né"] and cells(df) == [("1", "é"), ("2", "x\ny")]
+
+
 def test_tsv_keeps_quotes(spark, tmp_path):
     path = write(tmp_path, 'a\tb\n"x"\t"y\n', "in.tsv")
     control = FileControl(separator="\t", quote=NO_QUOTE)
