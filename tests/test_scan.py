@@ -186,3 +186,14 @@ def test_split_reader_equals_stock_reader(spark, tmp_path, split_small, escape,
     split_small(500)
     assert sorted(cells(scan_delimited(spark, path, control, large_file=0))) == whole
     assert sorted(whole) == sorted(tuple(r) for r in rows)
+
+
+def test_java_charset(spark, tmp_path):
+    path = write(tmp_path, "id,né\n1,€\n", encoding="windows-1252")
+    control = CSV.with_options(encoding="windows-1252", multi_line=False)
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    try:
+        df = scan_delimited(spark, path, control)
+        assert data_columns(df) == ["id", "né"] and cells(df) == [("1", "€")]
+    finally:
+        spark.conf.unset("spark.sql.legacy.javaCharsets")
