@@ -37,7 +37,7 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     with setting(spark, CLEANUP, "true"):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -62,14 +62,14 @@ def global_rank(df: DataFrame, order: list[Column], name: str, tag: str) -> Data
     part = F.shiftright("_place", 33)
     ahead = F.sum("_n").over(
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )  # one row per partition
+    )  # one row per partition of the sort, so this fits one task, and the broadcast below
     starts = (
         placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
         .select("_part", F.coalesce(ahead, F.lit(0)).alias("_start"))
     )
     inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        placed.withColumn("_part", part).join(starts, "_part")
+        placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + inside).drop("_part", "_start", "_place")
     )
 
