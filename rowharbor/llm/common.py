@@ -46,6 +46,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def spare(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``docs`` doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def unit_interval(hex_digest: Column, digits: int = 13) -> Column:
     """A number strictly between 0 and 1 from the first hex digits of a digest."""
     number = F.conv(F.substring(hex_digest, 1, digits), 16, 10).cast("bigint")

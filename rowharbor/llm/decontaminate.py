@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.llm.common import materialise, text_of
+from rowharbor.llm.common import materialise, spare, text_of
 
 HIT_SCHEMA = "doc_id bigint, item_id bigint, score double, item_words bigint, first_word bigint, last_word bigint"
 
@@ -208,5 +208,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """The rows of ``docs`` that hold no test item; rows without an id are judged by their text."""
     key = F.xxhash64("doc_id", "text")
     marked = docs.select(key.alias("doc_id"), "text")
-    hit = materialise(leaks(marked, benchmark, **options).select(F.col("doc_id").alias("_row")).distinct(), "leaks")
-    return docs.withColumn("_key", key).join(hit, F.col("_key") == F.col("_row"), "left_anti").drop("_key")
+    own, row = spare(docs, "_key"), spare(docs, "_row")
+    hit = materialise(leaks(marked, benchmark, **options).select(F.col("doc_id").alias(row)).distinct(), "leaks")
+    return docs.withColumn(own, key).join(hit, F.col(own) == F.col(row), "left_anti").drop(own)

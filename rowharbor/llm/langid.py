@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rowharbor.llm.common import materialise
+from rowharbor.llm.common import materialise, spare
 
 # Symbols of the spectrum: 0 for all that is no letter, 1-26 for a-z, the rest by code point.
 SYMBOLS = 64
@@ -173,5 +173,5 @@ def identify(docs: DataFrame, **options) -> DataFrame:
 def keep_identified(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that have a language: text with at least one letter."""
     model = train(docs.filter(~held_out()), **options)
-    named = predict(docs, model, "_lang", "_belief")
-    return named.filter(F.col("_lang") != UNKNOWN).drop("_lang", "_belief")
+    label, belief = spare(docs, "_lang"), spare(docs, "_belief")
+    return predict(docs, model, label, belief).filter(F.col(label) != UNKNOWN).drop(label, belief)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.llm.common import WORD, global_rank, materialise, running_before
+from rowharbor.llm.common import WORD, global_rank, materialise, running_before, spare
 
 
 def source_targets(sized: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.0,
@@ -84,18 +84,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in the mix, each as often as its share of words rounds to.
 
-    Rows that share an id must share their source and text size to be told apart by nothing:
-    copies of a repeated id are dealt to its rows in turn.
+    Rows that share an id each get the mean of their copies, rounded up.
     """
     numbers = mix(docs, **options)
+    own, each, copy = spare(docs, "_id"), spare(docs, "_each"), spare(docs, "_copy")
     copies = (
         numbers.filter("taken > 0")
-        .select(F.col("doc_id").alias("_id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("_copies"))
-        .groupBy("_id").agg(F.sum("_copies").alias("_total"), F.count("*").alias("_rows"))
+        .groupBy(F.col("doc_id").alias(own))
+        .agg((F.sum(F.round(F.col("taken") / F.col("size"))) / F.count("*")).alias("mean"))
+        .select(own, F.ceil("mean").cast("int").alias(each)).filter(F.col(each) > 0)
     )
-    each = F.ceil(F.col("_total") / F.col("_rows")).cast("int")
     return (
-        docs.join(copies.filter("_total > 0"), F.col("doc_id").eqNullSafe(F.col("_id")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), each)))
+        docs.join(copies, F.col("doc_id").eqNullSafe(F.col(own)))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(each))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.llm.common import materialise, text_of
+from rowharbor.llm.common import materialise, spare, text_of
 from rowharbor.llm.components import components
 
 BITS = 64
@@ -244,9 +244,10 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> Da
     """
     prints = materialise(fingerprints(docs, shingle), "simhash")
     groups = materialise(near_groups(prints, radius), "simhash-components")
-    kept = prints.join(groups, "fp").filter("doc_id = component_id").select(F.col("doc_id").alias("_id"))
+    own, digest = spare(docs, "_id"), spare(docs, "_text")
+    kept = prints.join(groups, "fp").filter("doc_id = component_id").select(F.col("doc_id").alias(own))
     named = (
-        docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi")
-        .withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+        docs.join(kept, F.col("doc_id") == F.col(own), "left_semi")
+        .withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest]).drop(digest)
     )
     return named.unionByName(docs.filter("doc_id is null"))

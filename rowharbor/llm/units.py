@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.llm.common import materialise, text_of
+from rowharbor.llm.common import materialise, spare, text_of
 
 UNIT_SCHEMA = ("row bigint, doc_id bigint, unit bigint, `start` bigint, `end` bigint, words bigint, "
                "hi bigint, lo bigint")
@@ -78,11 +78,12 @@ def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = 5) -
 
 def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` whose text lacks the removed units, each with the separator after it."""
-    cuts = removed.groupBy(F.col("row").alias("_row"), F.col("doc_id").alias("_id")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_cuts"))
-    own = (F.xxhash64("doc_id", "text") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    row, doc, spans = spare(docs, "_row"), spare(docs, "_id"), spare(docs, "_cuts")
+    cuts = removed.groupBy(F.col("row").alias(row), F.col("doc_id").alias(doc)).agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias(spans))
+    own = (F.xxhash64("doc_id", "text") == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(doc))
     pieces = F.aggregate(
-        "_cuts", F.struct(F.lit("").alias("kept"), F.lit(0).cast("bigint").alias("at")),
+        spans, F.struct(F.lit("").alias("kept"), F.lit(0).cast("bigint").alias("at")),
         lambda acc, cut: F.struct(
             F.concat(acc["kept"], F.substring("text", acc["at"] + 1, cut["start"] - acc["at"])).alias("kept"),
             (cut["end"] + 1).alias("at")),
@@ -90,7 +91,7 @@ def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     )
     return (
         docs.join(cuts, own, "left")
-        .withColumn("text", F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(pieces))
+        .withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(pieces))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 
