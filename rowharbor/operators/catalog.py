@@ -86,11 +86,15 @@ _OVERWRITTEN = {
 }
 
 
-def update_metadata(catalog: DataFrame, updates: DataFrame) -> DataFrame:
+def update_metadata(
+    catalog: DataFrame, updates: DataFrame, order: Column | None = None
+) -> DataFrame:
     """The catalogue after all updates. A record overwrites every field, with nulls too; missing
     tags become an empty list, and a record without a licence leaves the licence alone. The
-    contact goes into the ``private`` map. One update per dataset (see ``last_by_key``)."""
-    new = updates.select(
+    contact goes into the ``private`` map. Of several updates of a dataset the last by ``order``
+    counts, or the last as they are read."""
+    at = F.monotonically_increasing_id() if order is None else order
+    new = last_update(updates.withColumn("_order", at), F.col("_order")).select(
         "dataset_id",
         *[F.col(u).alias(f"_new_{c}") for c, u in _OVERWRITTEN.items()],
         F.col("contact_info").alias("_contact"),
@@ -123,7 +127,7 @@ def unknown_datasets(catalog: DataFrame, updates: DataFrame) -> DataFrame:
     return updates.join(catalog.select("dataset_id"), "dataset_id", "left_anti").select(
         "dataset_id",
         F.lit("PUBLISH_ERROR").alias("status"),
-        F.lit("Dataset with that ID does not exist or you do not have permission to publish to it")
+        F.lit("No dataset has this id, or publishing to it is not allowed")
         .alias("message"),
     )
 

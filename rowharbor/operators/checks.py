@@ -42,6 +42,11 @@ def check_ragged(df: DataFrame) -> DataFrame:
 def check_datetimes(df: DataFrame, types: Mapping[str, str], control: FileControl) -> DataFrame:
     """Cells of date columns that no format of the control can read; blank cells pass."""
     dated = [c for c in df.columns if types.get(c) in ("calendar_date", "date")]
+    if not dated:
+        nothing = F.lit(None).cast("string")
+        return df.filter(F.lit(False)).select(
+            "*", nothing.alias("column"), nothing.alias("value"), F.lit("INVALID_DATETIME").alias("status")
+        )
     cells = F.array(
         *[
             F.struct(
@@ -70,9 +75,15 @@ def _verdict(df: DataFrame, status: str, message: Column) -> DataFrame:
     return df.select("file_id", "dataset_id", F.lit(status).alias("status"), message.alias("message"))
 
 
-def extra_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
-    """Header names the dataset does not have. A name given twice is extra the second time."""
+def extra_columns(
+    headers: DataFrame, columns: DataFrame, left_out: DataFrame | None = None
+) -> DataFrame:
+    """Header names the dataset does not have. A name given twice is extra the second time; names
+    that the control ignores (``left_out``) are never extra."""
     named = headers.withColumn("_name", normalise_header(F.col("name")))
+    if left_out is not None:
+        ignored = left_out.select("file_id", normalise_header(F.col("name")).alias("_name"))
+        named = named.join(ignored, ["file_id", "_name"], "left_anti")
     known = columns.select("dataset_id", F.lower("field_name").alias("_name")).distinct()
     per_name = named.groupBy("file_id", "dataset_id", "_name").agg(F.count(F.lit(1)).alias("_n"))
     judged = per_name.join(known.withColumn("_known", F.lit(True)), ["dataset_id", "_name"], "left")
@@ -139,7 +150,7 @@ def check_columns(
     method: str = "replace",
 ) -> DataFrame:
     """Extra columns, and for a replace also missing ones."""
-    extra = extra_columns(headers, columns)
+    extra = extra_columns(headers, columns, left_out)
     if method.lower() != "replace":
         return extra
     return extra.unionByName(missing_columns(headers, columns, left_out))

@@ -107,8 +107,10 @@ def expand_copies(df: DataFrame, chunk: int = 100_000) -> DataFrame:
 
 
 def apply_delta(prev: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """The new version, from the previous one and its changes."""
-    kept = prev.join(changes.select(field(key)), key, "left_anti")
+    """The new version, from the previous one and its changes. A stored row without a key goes
+    where the changes delete the null key."""
+    gone = changes.select(field(key).alias("_changed"))
+    kept = prev.join(gone, field(key).eqNullSafe(F.col("_changed")), "left_anti")
     came = changes.filter(F.col(CHANGE) != DELETED)
     return kept.select(*[field(c) for c in prev.columns]).unionByName(
         came.select(*[field(c) for c in prev.columns])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowharbor.operators import publish
@@ -38,10 +38,16 @@ def copy_catalog_rows(
 
 
 def copy_data(
-    source: DataFrame, target: DataFrame, key: str | None = None, method: str = "upsert"
+    source: DataFrame, target: DataFrame, key: str | None = None, method: str = "upsert",
+    order: Column | None = None,
 ) -> DataFrame:
-    """The target after all visible rows of the source were published into it."""
+    """The target after all visible rows of the source were published into it. Of source rows that
+    repeat a key, an upsert takes the last by ``order``, or as they are read."""
     rows = drop_system_columns(source)
+    if method == "upsert" and key is not None:
+        at = F.monotonically_increasing_id() if order is None else order
+        ordered = drop_system_columns(source.withColumn("_order", at))
+        rows = publish.last_by_key(ordered, key, F.col("_order")).drop("_order")
     if method == "replace":
         return publish.replace(target, rows)
     if method == "upsert":

@@ -68,11 +68,12 @@ def extra_columns(spark, sf_dir):
 
 
 @query(f"""
-WITH {COLUMNS_SQL}, {HEADERS_SQL}, {ROW_ID_SQL}, {_EXTRA_SQL},
+WITH {COLUMNS_SQL}, all_{HEADERS_SQL.strip()}, {ROW_ID_SQL},
+headers AS (SELECT * FROM all_headers WHERE lower(trim(name)) NOT IN ('4-not specified', 'r')), {_EXTRA_SQL},
 absent AS (
-  SELECT f.file_id, c.* FROM (SELECT DISTINCT file_id, dataset_id FROM headers) f
+  SELECT f.file_id, c.* FROM (SELECT DISTINCT file_id, dataset_id FROM all_headers) f
   JOIN columns c ON c.dataset_id = f.dataset_id
-  WHERE NOT EXISTS (SELECT 1 FROM headers h WHERE h.file_id = f.file_id
+  WHERE NOT EXISTS (SELECT 1 FROM all_headers h WHERE h.file_id = f.file_id
                     AND lower(trim(h.name)) = lower(c.field_name))),
 gaps AS (
   SELECT file_id, dataset_id, string_agg(field_name, ', ' ORDER BY pos) AS listed
@@ -89,9 +90,11 @@ SELECT file_id, dataset_id, CASE WHEN row_id IS NULL THEN 'MISSING_COLUMNS' ELSE
 FROM judged WHERE row_id IS NULL OR no_id
 """)
 def check_columns(spark, sf_dir):
-    """All files against their datasets, for a replace; one field is ignored by every control."""
+    """All files against their datasets, for a replace; every control ignores one of the fields and
+    one header that no dataset has."""
     files = headers(spark, sf_dir)
-    ignored = files.select("file_id").distinct().withColumn("name", F.lit("4-NOT SPECIFIED"))
+    names = F.explode(F.array(F.lit("4-NOT SPECIFIED"), F.lit("R")))
+    ignored = files.select("file_id").distinct().withColumn("name", names)
     return checks.check_columns(files, id_columns(spark, sf_dir), ignored)
 
 
@@ -516,7 +519,7 @@ def _updates(spark, sf_dir):
     )
 
 
-@query("""
+_METADATA_SQL = """
 SELECT doc_id AS dataset_id,
   CASE WHEN rated THEN 'Rated ' || quality::VARCHAR ELSE 'Text ' || doc_id::VARCHAR END AS title,
   CASE WHEN rated THEN NULL ELSE lang END AS description,
@@ -528,16 +531,30 @@ SELECT doc_id AS dataset_id,
   CASE WHEN rated THEN 'desk@example.org' END AS contact_info
 FROM (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic, l.doc_id IS NOT NULL AS rated
       FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
-""")
+"""
+
+
+@query(_METADATA_SQL)
 def update_metadata(spark, sf_dir):
     """Ratings written over the catalogue records of their texts, and read back."""
     after = catalog.update_metadata(catalog_rows(spark, sf_dir), _updates(spark, sf_dir))
     return catalog.read_metadata(after).withColumn("keywords", F.array_join("keywords", ","))
 
 
+@query(_METADATA_SQL)
+def update_metadata_repeated(spark, sf_dir):
+    """The same ratings after earlier ones of the same texts; the later of two updates counts."""
+    later = _updates(spark, sf_dir).withColumn("at", F.lit(2))
+    earlier = later.withColumn("at", F.lit(1)).withColumn("title", F.lit("Not yet rated"))
+    after = catalog.update_metadata(
+        catalog_rows(spark, sf_dir), later.unionByName(earlier), F.col("at")
+    )
+    return catalog.read_metadata(after).withColumn("keywords", F.array_join("keywords", ","))
+
+
 @query("""
 SELECT doc_id AS dataset_id, 'PUBLISH_ERROR' AS status,
-       'Dataset with that ID does not exist or you do not have permission to publish to it' AS message
+       'No dataset has this id, or publishing to it is not allowed' AS message
 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
 """)
 def unknown_metadata(spark, sf_dir):

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-
-import pandas as pd
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rowharbor.control import Control
 from rowharbor.operators import geo, layers
@@ -17,7 +12,7 @@ from rowharbor.plans.publish_queries import upsert_sql, incoming_orders, stored_
 from rowharbor.plans.registry import query, table
 from rowharbor.plans.scan_queries import ORDERS, PLAIN
 from rowharbor.runtime import scratch_path
-from rowharbor.sources.geo import list_layers, scan_geojson, scan_kml
+from rowharbor.sources.geo import scan_geojson, scan_kml
 from rowharbor.sources.sinks import write_delimited
 from rowharbor.sources.store import DatasetStore
 from rowharbor.streaming.ingest import ingest_stream
@@ -131,37 +126,6 @@ def scan_kml_placemarks(spark, sf_dir):
     return scan_kml(spark, path, sequence=True).select("name", "geometry_type", "coordinates")
 
 
-@F.pandas_udf(T.BinaryType())
-def _archive(names: pd.Series) -> pd.Series:
-    """A zip archive with an empty entry for each name."""
-
-    def pack(entries):
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w") as z:
-            for entry in entries:
-                z.writestr(entry, b"")
-        return out.getvalue()
-
-    return names.map(pack)
-
-
-@query("""
-SELECT p_partkey::VARCHAR AS path, unnest([0, 1]) AS layer_no, unnest([p_brand, p_type]) AS layer FROM part
-""")
-def archive_layers(spark, sf_dir):
-    """Archives with two layers each, beside files that are none."""
-    entries = F.array(
-        F.concat(F.lit("data/"), "p_brand", F.lit(".shp")),
-        F.concat(F.lit("data/"), "p_brand", F.lit(".dbf")),
-        F.concat("p_type", F.lit(".shp")),
-        F.lit("readme.txt"),
-    )
-    archives = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("path"), _archive(entries).alias("content")
-    )
-    return list_layers(archives)
-
-
 # Layers: each customer is a geographic dataset; open orders give the layers of the file, filled
 # ones the layers that exist, both named after the priority.
 LAYERS_SQL = """file_layers AS (

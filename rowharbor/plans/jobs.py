@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowharbor.control import Control, ControlError, check_action, check_encoding, check_formats
@@ -208,13 +208,23 @@ def publish_file(
 
 
 def replace_by_delta(
-    store: DatasetStore, dataset_id: str, new: DataFrame, key: str | None
+    store: DatasetStore, dataset_id: str, new: DataFrame, key: str | None,
+    order: Column | None = None,
 ) -> PublishResult:
     """Make a dataset equal to ``new``, reporting only what changed. Without a key, equal rows
-    count by their copies."""
+    count by their copies. With one, the last row of a repeated key counts, by ``order`` or as the
+    rows are read; rows without a key are errors and left out."""
     prev = store.read(dataset_id)
     shaped = new.select(*[field(c) for c in prev.columns])
+    errors = 0
     if key is not None:
+        at = F.monotonically_increasing_id() if order is None else order
+        staged = materialise(
+            new.withColumn("_order", at).select(*[field(c) for c in prev.columns], "_order"), "new"
+        )
+        errors = staged.filter(field(key).isNull()).count()
+        last = publish.last_of_few_repeats(staged.filter(field(key).isNotNull()), key, F.col("_order"))
+        shaped = materialise(last.drop("_order"), "new-by-key")
         changes = materialise(delta.delta(prev, shaped, key), "delta")
         after = delta.apply_delta(prev, changes, key)
         tally = changes.groupBy(delta.CHANGE).count()
@@ -227,7 +237,7 @@ def replace_by_delta(
     store.publish(dataset_id, version, sent)
     return PublishResult(
         dataset_id, "replace", version, counts.get(delta.INSERTED, 0),
-        counts.get(delta.UPDATED, 0), counts.get(delta.DELETED, 0),
+        counts.get(delta.UPDATED, 0), counts.get(delta.DELETED, 0), errors,
     )
 
 

@@ -493,12 +493,63 @@ def run_log_of_publish(spark, sf_dir):
 
 @query(f"WITH {_NEW_SQL} SELECT * FROM fresh")
 def replace_by_changes(spark, sf_dir):
-    """A replace that writes through the changes only, as a whole job."""
+    """A replace whose changes are found first and reported, as a whole job."""
     store = store_with_orders(spark, sf_dir)
     jobs.replace_by_delta(store, "orde-rs01", fresh_orders(spark, sf_dir), "o_orderkey")
     return store.read("orde-rs01")
 
 
+def _repeating_orders(spark, sf_dir):
+    """Every order; open ones come again with another priority, pending ones without their key."""
+    orders = table(spark, sf_dir, "orders")
+    again = orders.filter("o_orderstatus = 'O'").withColumn("o_orderpriority", F.lit("LATER"))
+    lost = orders.filter("o_orderstatus = 'P'").withColumn("o_orderkey", F.lit(None).cast("bigint"))
+    parts = [d.withColumn("at", F.lit(i)) for i, d in enumerate((orders, again, lost))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _replace_repeating(spark, sf_dir):
+    store = DatasetStore(spark, scratch_path(spark, "store"))
+    jobs.create_dataset(store, "orde-rs01", table(spark, sf_dir, "orders"))
+    rows = _repeating_orders(spark, sf_dir)
+    return store, jobs.replace_by_delta(store, "orde-rs01", rows, "o_orderkey", F.col("at"))
+
+
+@query("""
+SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' THEN 'LATER' ELSE o_orderpriority END AS o_orderpriority)
+FROM orders
+""")
+def delta_repeated_keys(spark, sf_dir):
+    """A replace by changes from rows that repeat keys or lack them."""
+    return _replace_repeating(spark, sf_dir)[0].read("orde-rs01")
+
+
+@query("""
+SELECT 0::BIGINT AS rows_created, count(*) FILTER (WHERE o_orderstatus = 'O') AS rows_updated,
+       0::BIGINT AS rows_deleted, count(*) FILTER (WHERE o_orderstatus = 'P') AS errors FROM orders
+""")
+def delta_repeated_counts(spark, sf_dir):
+    """What that replace reports."""
+    result = _replace_repeating(spark, sf_dir)[1]
+    names = ("rows_created", "rows_updated", "rows_deleted", "errors")
+    # the counts are the job's result, drawn from the orders it published
+    return table(spark, sf_dir, "orders").limit(1).select(
+        *[F.lit(getattr(result, n)).cast("bigint").alias(n) for n in names]
+    )
+
+
+@query("""
+SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' THEN 'LATER' ELSE o_orderpriority END AS o_orderpriority)
+FROM orders
+""")
+def copy_repeated_keys(spark, sf_dir):
+    """A copy by upsert from a source that repeats keys."""
+    source = _repeating_orders(spark, sf_dir).filter("o_orderkey is not null")
+    ordered = source.withColumnRenamed("at", ":at")
+    target = table(spark, sf_dir, "orders").filter("o_orderpriority <> '5-LOW'")
+    return drop_system_columns(copy_data(ordered, target, "o_orderkey", order=F.col("`:at`")))
+
+
 @query("""
 SELECT o_custkey AS dataset_id, lower(o_orderstatus) AS method, count(*) AS runs,
        count(*) FILTER (WHERE o_orderpriority <> '5-LOW') AS succeeded,

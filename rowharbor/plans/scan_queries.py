@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rowharbor.control import NO_QUOTE, ColumnOverride, FileControl
 from rowharbor.functions import text
+from rowharbor.functions.patterns import DEFAULT_TIME_FORMATS
 from rowharbor.functions.temporal import parse_fixed, parse_floating
 from rowharbor.operators.shape import clean_cells, ignore_columns, map_columns
 from rowharbor.operators.typing import ERRORS, cast_types
@@ -189,9 +190,7 @@ def parse_floating_multi(spark, sf_dir):
         .when(kind == "5-LOW", F.date_format(d, "MM/dd/yyyy hh:mm:ss a"))
         .otherwise(F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss"))
     )
-    formats = ["ISO8601", "MM/dd/yy", "MM/dd/yyyy", "dd-MMM-yyyy", "MM/dd/yyyy hh:mm:ss a Z",
-               "MM/dd/yyyy hh:mm:ss a"]
-    read = parse_floating(F.col("text"), formats)
+    read = parse_floating(F.col("text"), DEFAULT_TIME_FORMATS)
     # a two-digit year means the 2000s
     century = F.when(
         (kind == "1-URGENT") & (F.year("o_orderdate") < 2000), F.expr("INTERVAL '100' YEAR")

@@ -193,3 +193,17 @@ def test_statistics(spark):
     assert got["d"].distinct_values == 1 and got["d"].smallest == "2.0"
     empty = {r.column_name: r for r in profile.column_statistics(df.limit(0)).collect()}
     assert empty["n"].rows == 0 and empty["n"].mean is None
+
+
+def test_datetimes_without_a_date_column(spark):
+    rows = spark.createDataFrame([("a",)], "name string")
+    found = checks.check_datetimes(rows, {"name": "text"}, FileControl())
+    assert found.columns == ["name", "column", "value", "status"] and found.count() == 0
+
+
+def test_ignored_headers_are_not_extra(spark):
+    headers = spark.createDataFrame([(1, 9, "id"), (1, 9, " Note ")], "file_id int, dataset_id int, name string")
+    columns = spark.createDataFrame([(9, "id", 0, True)], "dataset_id int, field_name string, pos int, is_row_id boolean")
+    ignored = spark.createDataFrame([(1, "note")], "file_id int, name string")
+    assert checks.check_columns(headers, columns).count() == 1
+    assert checks.check_columns(headers, columns, ignored).count() == 0

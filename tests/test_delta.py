@@ -90,3 +90,18 @@ def test_last_by_key_with_a_hot_key(spark):
     got = last_by_key(rows, "k", F.col("n"))
     assert got.count() == 66_667
     assert got.filter("k = -1").first().n == 99_999
+
+
+def test_replace_by_changes_with_repeated_and_null_keys(spark, tmp_path):
+    from rowharbor.plans import jobs
+    from rowharbor.sources.store import DatasetStore
+
+    store = DatasetStore(spark, str(tmp_path / "store"))
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "kept by nobody")], "id bigint, name string")
+    jobs.create_dataset(store, "aaaa-0001", old)
+    new = spark.createDataFrame(
+        [(1, "x", 1), (1, "y", 2), (2, "b", 3), (3, "c", 5), (3, "d", 4), (None, "n", 6)], "id bigint, name string, at int"
+    )
+    result = jobs.replace_by_delta(store, "aaaa-0001", new, "id", F.col("at"))
+    assert sorted(map(tuple, store.read("aaaa-0001").collect())) == [(1, "y"), (2, "b"), (3, "c")]
+    assert (result.rows_created, result.rows_updated, result.rows_deleted, result.errors) == (1, 1, 1, 1)
