@@ -132,7 +132,7 @@ LAYERS_SQL = """file_layers AS (
   SELECT DISTINCT o_custkey AS dataset_id, o_orderpriority AS layer FROM orders WHERE o_orderstatus = 'O'),
 existing AS (
   SELECT DISTINCT o_custkey AS dataset_id, o_orderpriority AS layer,
-         o_custkey::VARCHAR || '/' || o_orderpriority AS uid FROM orders WHERE o_orderstatus = 'F'),
+         o_custkey::VARCHAR || '/' || o_orderpriority AS uid FROM orders WHERE o_orderstatus <> 'O'),
 n AS (
   SELECT dataset_id, nf = 1 AND ne = 1 AS single
   FROM (SELECT dataset_id, count(*) AS nf FROM file_layers GROUP BY 1)
@@ -142,15 +142,15 @@ layer_map AS (
   JOIN n ON n.dataset_id = f.dataset_id WHERE n.single OR e.layer = f.layer)"""
 
 
-def _layers(spark, sf_dir, status):
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == status).select(
+def _layers(spark, sf_dir, rows):
+    return table(spark, sf_dir, "orders").filter(rows).select(
         F.col("o_custkey").alias("dataset_id"), F.col("o_orderpriority").alias("layer")
     ).distinct()
 
 
 def existing_layers(spark, sf_dir):
     uid = F.concat(F.col("dataset_id").cast("string"), F.lit("/"), F.col("layer"))
-    return _layers(spark, sf_dir, "F").withColumn("uid", uid)
+    return _layers(spark, sf_dir, F.col("o_orderstatus") != "O").withColumn("uid", uid)
 
 
 @query(f"""
@@ -159,7 +159,7 @@ SELECT f.dataset_id, f.layer, m.uid AS replaces FROM file_layers f
 LEFT JOIN layer_map m ON m.dataset_id = f.dataset_id AND m.layer = f.layer
 """)
 def map_layers(spark, sf_dir):
-    file_layers = _layers(spark, sf_dir, "O")
+    file_layers = _layers(spark, sf_dir, F.col("o_orderstatus") == "O")
     mapping = layers.map_layers(file_layers, existing_layers(spark, sf_dir))
     return layers.apply_layer_map(file_layers, mapping)
 
@@ -167,7 +167,7 @@ def map_layers(spark, sf_dir):
 @query(f"""
 WITH {LAYERS_SQL}
 SELECT o_custkey AS dataset_id, o_custkey::VARCHAR || '/' || o_orderpriority AS uid, o_orderkey AS feature
-FROM orders WHERE o_orderstatus = 'F'
+FROM orders WHERE o_orderstatus <> 'O'
 AND o_custkey::VARCHAR || '/' || o_orderpriority NOT IN (SELECT uid FROM layer_map)
 UNION ALL
 SELECT o_custkey, coalesce(m.uid, o_orderpriority), o_orderkey FROM orders
@@ -180,9 +180,9 @@ def replace_layers(spark, sf_dir):
         F.col("o_orderkey").alias("feature"), "o_orderstatus",
     )
     uid = F.concat(F.col("dataset_id").cast("string"), F.lit("/"), F.col("layer"))
-    target = orders.filter(F.col("o_orderstatus") == "F").select("dataset_id", uid.alias("uid"), "feature")
+    target = orders.filter(F.col("o_orderstatus") != "O").select("dataset_id", uid.alias("uid"), "feature")
     features = orders.filter(F.col("o_orderstatus") == "O").drop("o_orderstatus")
-    mapping = layers.map_layers(_layers(spark, sf_dir, "O"), existing_layers(spark, sf_dir))
+    mapping = layers.map_layers(_layers(spark, sf_dir, F.col("o_orderstatus") == "O"), existing_layers(spark, sf_dir))
     return layers.replace_layers(target, features, mapping)
 
 

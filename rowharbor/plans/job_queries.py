@@ -129,7 +129,7 @@ def port_datasets(spark, sf_dir):
 @query(f"""
 WITH {LAYERS_SQL}
 SELECT o_custkey AS dataset_id, o_custkey::VARCHAR || '/' || o_orderpriority AS uid, o_orderkey AS feature
-FROM orders WHERE o_orderstatus = 'F'
+FROM orders WHERE o_orderstatus <> 'O'
 AND o_custkey::VARCHAR || '/' || o_orderpriority NOT IN (SELECT uid FROM layer_map)
 UNION ALL
 SELECT o_custkey, coalesce(m.uid, o_orderpriority), o_orderkey FROM orders
@@ -144,7 +144,7 @@ def publish_layers(spark, sf_dir):
     )
     uid = F.concat(F.col("dataset_id").cast("string"), F.lit("/"), F.col("layer"))
     store = DatasetStore(spark, scratch_path(spark, "store"))
-    stored = orders.filter(F.col("o_orderstatus") == "F").select("dataset_id", uid.alias("uid"), "feature")
+    stored = orders.filter(F.col("o_orderstatus") != "O").select("dataset_id", uid.alias("uid"), "feature")
     jobs.create_dataset(store, "laye-rs01", stored)
     scanned = orders.filter(F.col("o_orderstatus") == "O").drop("o_orderstatus")
     jobs.replace_layers(store, "laye-rs01", scanned, existing_layers(spark, sf_dir))

@@ -83,9 +83,15 @@ def scan_quoted_html(spark, sf_dir):
     return typed_scan(spark, path, VERBATIM, types)
 
 
-@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+@query("""
+SELECT c_custkey, 'Käufer é ' || c_name AS c_name, replace(c_mktsegment, 'I', 'Ï') AS c_mktsegment FROM customer
+""")
 def scan_latin1(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    """A file whose cells hold accented letters in one byte each."""
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("Käufer é "), "c_name").alias("c_name"),
+        F.replace("c_mktsegment", F.lit("I"), F.lit("Ï")).alias("c_mktsegment"),
+    )
     path = scratch_path(spark, "latin1")
     rows.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
     control = PLAIN.with_options(encoding="ISO-8859-1")
