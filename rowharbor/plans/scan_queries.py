@@ -76,6 +76,25 @@ def scan_multiline_split(spark, sf_dir):
     return typed_scan(spark, path, VERBATIM, types, large_file=0)
 
 
+@query("""
+    SELECT doc_id, '5" ' || regexp_replace(coalesce(text, ''), '[",\\r\\n]', ' ', 'g') AS note, split
+    FROM documents, (VALUES (true), (false)) AS readers(split)
+""")
+def scan_stray_quotes(spark, sf_dir):
+    """Texts with a quote in an unquoted cell, read by both readers: such a file is not split."""
+    note = F.concat(F.lit('5" '), F.regexp_replace(F.coalesce("text", F.lit("")), r'[",\r\n]', " "))
+    path = scratch_path(spark, "stray")
+    lines = table(spark, sf_dir, "documents").select(F.concat_ws(",", "doc_id", note))
+    lines.write.text(path)
+    types = {"doc_id": "bigint", "note": "text"}
+    control = VERBATIM.with_options(has_header_row=False, columns=[*types])
+    read = [
+        typed_scan(spark, path, control, types, large_file=limit).withColumn("split", F.lit(split))
+        for split, limit in ((True, 0), (False, 1 << 62))
+    ]
+    return read[0].unionByName(read[1])
+
+
 @query("SELECT page_id, url, html FROM pages")
 def scan_quoted_html(spark, sf_dir):
     path = as_delimited(table(spark, sf_dir, "pages"), "pages")

@@ -135,7 +135,7 @@ def scan_delimited(
 
     ``multi_line=False`` promises that no quoted cell holds a line break, so that files are split
     by lines. Otherwise a file is read by one task, unless one of them is ``large_file`` bytes or
-    more: then all are split by records.
+    more: then all are split by records, if all are well-formed. The result is the same.
     """
     names = usable_names(names or control.columns or read_header(spark, path, control))
     lead = leading_records(control)
@@ -143,7 +143,9 @@ def scan_delimited(
         sizes = spark.read.format("binaryFile").load(path).select("length")
         largest = sizes.agg(F.max("length")).first()[0] or 0
         if largest >= large_file:
-            return _scan_split(spark, path, control, names, lead)
+            split = _scan_split(spark, path, control, names, lead)
+            if split is not None:
+                return split
     read = (
         spark.read.schema(csv_schema(names))
         .options(**reader_options(control))
@@ -159,15 +161,18 @@ def scan_delimited(
 
 def _scan_split(
     spark: SparkSession, path: str | list[str], control: FileControl, names: list[str], lead: int
-) -> DataFrame:
+) -> DataFrame | None:
     not_for_text = ("multiLine", "encoding", "columnPruning", "enforceSchema")
     options = {k: str(v) for k, v in reader_options(control).items() if k not in not_for_text}
     options["columnPruning"] = "false"
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in (*names, CORRUPT))
     cells = F.from_csv(F.col(multiline.RECORD), schema, options)
     found = multiline.records(
-        spark, path, _quote(control), _own_escape(control), _charset(control), lead
+        spark, path, _quote(control), _own_escape(control), _charset(control), lead,
+        _separator(control),
     )
+    if found is None:
+        return None
     return found.select(SRC_FILE, SRC_BLOCK, SRC_POS, cells.alias("_cells")).select(
         *[F.col("_cells")[n].alias(n) for n in (*names, CORRUPT)], SRC_FILE, SRC_BLOCK, SRC_POS
     )

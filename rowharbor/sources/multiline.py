@@ -7,8 +7,10 @@ split, a running sum over splits tells how each of them begins, and the lines of
 looked at on their own. Only records that cross the border of two splits are pieced together
 across them.
 
-The rule rests on quotes being balanced: cells that hold quotes are quoted, and double them or put
-the escape character before them.
+The rule holds for well-formed lines: a quote opens a cell at its start only, closes it at its end
+only, and is doubled or escaped inside; all lines of a file end alike. Every line is checked before
+any are put together. Where one is not so (a stray or unclosed quote, a lone carriage return) the
+file can't be cut safely, and the caller reads it whole.
 """
 
 from __future__ import annotations
@@ -22,37 +24,106 @@ from rowharbor.runtime import join_splits, materialise
 
 FILE, BLOCK, POS = "_src_file", "_src_block", "_src_pos"
 RECORD = "_record"
+BOM = "\ufeff"
 
 
 # Charsets in which a line break and a quote are the bytes they are in ASCII.
 CHARSETS = ("utf-8", "us-ascii", "iso-8859-1")
 
 
-def _lines(
-    spark: SparkSession, path: str | list[str], quote: str, escape: str | None, charset: str
-) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str], charset: str) -> DataFrame:
     raw = spark.read.option("lineSep", "\n").text(path)
     if charset == "iso-8859-1":
         raw = raw.withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
-    seen = F.col("value")
-    if escape:
-        seen = F.regexp_replace(seen, "(?s)" + re.escape(escape) + ".", "")
-    quotes = F.length(seen) - F.length(F.replace(seen, F.lit(quote), F.lit("")))
     return raw.select(
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(POS),
         "value",
-        (quotes % 2).alias("_odd"),
     )
 
 
+def _visible(line: Column, escape: str | None) -> Column:
+    """A line without its carriage return, byte order mark and escaped characters."""
+    seen = F.regexp_replace(line, f"^{BOM}|\r\\z", "")
+    return F.regexp_replace(seen, "(?s)" + re.escape(escape) + ".", "") if escape else seen
+
+
+def _odd(seen: Column, quote: str) -> Column:
+    """1 where a line holds an odd number of quotes."""
+    return (F.length(seen) - F.length(F.replace(seen, F.lit(quote), F.lit("")))) % 2
+
+
+def _stray(seen: Column, inside: Column, quote: str, separator: str, escape: str | None) -> Column:
+    """Whether quotes are left once all well-formed quoted cells are taken out of a line.
+
+    ``inside`` says that the line starts within a quoted cell; it is then given a quote to open it.
+    """
+    q, sep = re.escape(quote), re.escape(separator)
+    line = F.concat(F.when(inside, F.lit(quote)).otherwise(F.lit("")), seen)
+    if not escape:
+        line = F.regexp_replace(line, q + q, "")
+    left = F.regexp_replace(line, f"(?:^|{sep}){q}[^{q}]*+(?:{q}(?={sep}|\\z)|\\z)", "")
+    return F.contains(seen, F.lit(quote)) & F.contains(left, F.lit(quote))
+
+
 def _joined(pieces: Column) -> Column:
     """Lines of one record in order, with the breaks between them."""
     ordered = F.array_sort(F.collect_list(pieces))
     return F.array_join(F.transform(ordered, lambda p: p["text"]), "\n")
 
 
+def _splits(
+    lines: DataFrame, quote: str, separator: str, escape: str | None
+) -> tuple[DataFrame, bool]:
+    """Per split, whether it begins and ends inside a quoted cell (1) or between records (0); and
+    whether all files are well-formed.
+
+    How a split begins is known only once all earlier ones are summed up, so its lines are checked
+    for both cases.
+    """
+    at = [FILE, BLOCK]
+    in_split = Window.partitionBy(*at).orderBy(POS)
+    seen = _visible(F.col("value"), escape)
+    flagged = lines.withColumn("_seen", seen).withColumn("_odd", _odd(F.col("_seen"), quote)).select(
+        *at, POS, "_seen", "_odd",
+        (F.coalesce(F.sum("_odd").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2).alias("_flips"),
+        F.col("value").endswith("\r").cast("int").alias("_cr"),
+        # carriage returns within a line, or a byte order mark within the file
+        (F.col("value").rlike("(?s)\r.")
+         | (F.col("value").startswith(BOM) & ((F.row_number().over(in_split) > 1) | (F.col(BLOCK) > 0)))).alias("_torn"),
+    )
+    bad = [
+        F.count(F.when(_stray(F.col("_seen"), F.col("_flips") != begins, quote, separator, escape), 1))
+        for begins in (0, 1)
+    ]
+    sums = materialise(
+        flagged.groupBy(*at).agg(
+            F.sum("_odd").alias("_quotes"), bad[0].alias("_bad_0"), bad[1].alias("_bad_1"),
+            F.count(F.when(F.col("_torn"), 1)).alias("_torn"), F.sum("_cr").alias("_with_cr"),
+            F.count("*").alias("_n"), F.max_by("_cr", POS).alias("_last_cr"),
+        ),
+        "quotes",
+    )
+    in_file = Window.partitionBy(FILE).orderBy(BLOCK)  # one row per split
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    through = in_file.rowsBetween(Window.unboundedPreceding, 0)
+    splits = materialise(
+        sums.withColumn("_begins", F.coalesce(F.sum("_quotes").over(before), F.lit(0)) % 2)
+        .withColumn("_ends", F.sum("_quotes").over(through) % 2)
+        .withColumn("_bad", F.when(F.col("_begins") == 0, F.col("_bad_0")).otherwise(F.col("_bad_1"))),
+        "splits",
+    )
+    files = splits.groupBy(FILE).agg(
+        (F.sum("_bad") + F.sum("_torn")).alias("bad"), F.max_by("_ends", BLOCK).alias("open"),
+        F.sum("_with_cr").alias("cr"), F.sum("_n").alias("n"), F.max_by("_last_cr", BLOCK).alias("last_cr"),
+    )
+    # the last line of a file may have no end
+    alike = (F.col("cr") == 0) | (F.col("n") - F.col("cr") == 1 - F.col("last_cr"))
+    sound = files.filter((F.col("bad") > 0) | (F.col("open") == 1) | ~alike).isEmpty()
+    return splits.select(*at, "_begins", "_ends"), sound
+
+
 def records(
     spark: SparkSession,
     path: str | list[str],
@@ -60,25 +131,17 @@ def records(
     escape: str | None = None,
     charset: str = "utf-8",
     leading: int = 0,
-) -> DataFrame:
+    separator: str = ",",
+) -> DataFrame | None:
     """``(file, split, position, text)`` of every record; the first ``leading`` records of each
-    file are left out. No task holds more than one split, or one record that crosses splits."""
-    lines = _lines(spark, path, quote, escape, charset)
+    file are left out. No task holds more than one split, or one record that crosses splits.
+    None where some file is not well-formed and so can't be cut."""
+    lines = _lines(spark, path, charset)
     at = [FILE, BLOCK]
-
-    # how each split begins and ends: inside a quoted cell (1) or between records (0)
-    quotes = materialise(lines.groupBy(*at).agg(F.sum("_odd").alias("_quotes")), "quotes")
-    in_file = Window.partitionBy(FILE).orderBy(BLOCK)  # one row per split
-    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
-    through = in_file.rowsBetween(Window.unboundedPreceding, 0)
-    splits = materialise(
-        quotes.select(
-            *at,
-            (F.coalesce(F.sum("_quotes").over(before), F.lit(0)) % 2).alias("_begins"),
-            (F.sum("_quotes").over(through) % 2).alias("_ends"),
-        ),
-        "splits",
-    )
+    splits, sound = _splits(lines, quote, separator, escape)
+    if not sound:
+        return None
+    lines = lines.withColumn("_odd", _odd(_visible(F.col("value"), escape), quote))
     known = join_splits(lines, splits, at)
     # both scans must have cut the file in the same places
     begins = F.when(F.col("_begins").isNotNull(), F.col("_begins")).otherwise(
@@ -96,11 +159,11 @@ def records(
         F.min(POS).alias(POS), F.first("_ends").alias("_ends"), _joined(piece).alias(RECORD)
     )
     last = F.col("_no") == F.max("_no").over(Window.partitionBy(*at))
-    parts = parts.withColumn("_open", last & (F.col("_ends") == 1))
+    parts = materialise(parts.withColumn("_open", last & (F.col("_ends") == 1)), "parts")
 
     whole = parts.filter((F.col("_no") > 0) & ~F.col("_open"))
     # the end of one split and the beginnings of the next ones: at most two rows per split
-    torn = materialise(parts.filter((F.col("_no") == 0) | F.col("_open")), "torn")
+    torn = parts.filter((F.col("_no") == 0) | F.col("_open"))
     chains = torn.withColumn(
         "_chain",
         F.sum((F.col("_no") > 0).cast("int")).over(

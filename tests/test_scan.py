@@ -188,6 +188,51 @@ def test_split_reader_equals_stock_reader(spark, tmp_path, split_small, escape,
     assert sorted(whole) == sorted(tuple(r) for r in rows)
 
 
+ODD_FILES = [
+    'id,a\n1,5" pipe\n2,x\n3,"quoted"\n',  # a quote within an unquoted cell
+    'id,a\n1,"x" y\n2,"a"b,"c\nd"\n3,z\n',  # text after a closing quote
+    "id,a\r1,x\r2,y\r",  # lines that end with a carriage return alone
+    'id,a\n1,x\r\n2,"y\r\nz"\n3,w\n',  # mixed ends
+    'id,a\r\n1,x\n2,"y\nz"\r\n3,w\r\n',
+    'id,a\n1,x\ry\n2,z\n',
+    'id,a\n1,"never closed\n' + "2,x\n" * 200,
+    'id,a\n1,"open\n2,"shut"\n3,y\n',
+    'id,a\n1,"x""y"\n2,""\n3,"""z"""\n4,a""b\n5,""b,\n6,"\n",\n',
+    'id,a\n\ufeff"1",x\n2,y\n',
+    'id,a\n1,"x"\t,y\n2,"z"  \n',
+    'id,a\r\n1,"x\r\ny"\r\n2,z',
+    'id,a\n\n"",""\n1, "x"\n2,"y"\n',
+    'id,a\n1,"back\\"\n2,"slash \\\\"\n3,\\"x\n4,a\\,"b"\n',
+]
+
+
+@pytest.mark.parametrize("escape", [None, "\\"])
+def test_odd_files_are_read_alike_at_every_size(spark, tmp_path, split_small, escape):
+    control = CSV.with_options(escape=escape)
+    for i, text in enumerate(ODD_FILES):
+        path = write(tmp_path, text, f"odd{i}.csv")
+        names = ["id", "a"]
+        split_small(128 << 20)
+        whole = sorted(cells(scan_delimited(spark, path, control, names)), key=str)
+        split_small(20)
+        split = sorted(cells(scan_delimited(spark, path, control, names, large_file=0)), key=str)
+        assert split == whole, text
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_bytes_are_read_alike_at_every_size(spark, tmp_path, split_small, seed):
+    rng = random.Random(seed)
+    for i in (0, 2, 5):
+        pieces = ["a", '"', ",", "\n", '""', '"\n"', "b,", '","', "\r\n" if i % 3 == 2 else "\n", "\r" if i == 5 else " "]
+        text = "id,a\n" + "".join(rng.choices(pieces, k=40)) + "\n"
+        path = write(tmp_path, text, f"random{i}.csv")
+        split_small(128 << 20)
+        whole = sorted(cells(scan_delimited(spark, path, CSV, ["id", "a"])), key=str)
+        split_small(9)
+        split = sorted(cells(scan_delimited(spark, path, CSV, ["id", "a"], large_file=0)), key=str)
+        assert split == whole, text
+
+
 def test_java_charset(spark, tmp_path):
     path = write(tmp_path, "id,né\n1,€\n", encoding="windows-1252")
     control = CSV.with_options(encoding="windows-1252", multi_line=False)
