@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowharbor.llm import decontaminate, langid, lm, mixing, ordermin, secrets, sharding, simhash, suffixes, units
+from rowharbor.llm.twins import ORACLES as ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -64,7 +65,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return units.removal_report(units.repeated_units(table(spark, sf_dir, "documents")))
+    report = units.removal_report(units.repeated_units(table(spark, sf_dir, "documents")))
+    return report.withColumn("first_doc_ids", F.array_join(F.col("first_doc_ids").cast("array<string>"), ","))
 
 
 @query
