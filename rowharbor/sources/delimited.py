@@ -136,40 +136,95 @@ def scan_delimited(
     ``multi_line=False`` promises that no quoted cell holds a line break, so that files are split
     by lines. Otherwise a file is read by one task, unless one of them is ``large_file`` bytes or
     more: then all are split by records, if all are well-formed. The result is the same.
+
+    Where the names come from the header of a folder's first file, all files must have that header,
+    but for case: the scan fails on a file whose columns differ.
     """
-    names = usable_names(names or control.columns or read_header(spark, path, control))
+    named = names or control.columns
+    header = [] if named else _first_header(spark, path, control)
+    names = usable_names(named or [h.strip() for h in header])
     lead = leading_records(control)
+    shared = None  # the header that several files have to share
+    if not named and control.has_header_row and len(_listing(spark, path).head(2)) > 1:
+        shared = header
     if spans_lines(control) and _charset(control) in multiline.CHARSETS:
         sizes = spark.read.format("binaryFile").load(path).select("length")
         largest = sizes.agg(F.max("length")).first()[0] or 0
         if largest >= large_file:
-            split = _scan_split(spark, path, control, names, lead)
+            split = _scan_split(spark, path, control, names, lead, shared)
             if split is not None:
                 return split
+    spelt = names
+    if shared and lead == 1:
+        spelt = _reader_header(spark, path, control) or names
+    # the reader itself compares each file's header, unless a name stands in it twice
+    compared = shared is None or spelt is not names
     read = (
-        spark.read.schema(csv_schema(names))
+        spark.read.schema(csv_schema(spelt))
         .options(**reader_options(control))
-        .option("header", lead == 1)
+        .options(header=lead == 1 and compared, enforceSchema=shared is None)
         .csv(path)
     )
-    df = _with_source(read)
-    if lead > 1:
+    df = _with_source(read, [*names, CORRUPT])
+    if lead > 1 or not compared:
         numbered = with_record_no(df)
-        df = numbered.filter(F.col(RECORD_NO) >= lead).drop(RECORD_NO)
+        leads = F.col(RECORD_NO) < lead
+        if shared:
+            is_header = F.col(RECORD_NO) == lead - 1
+            fits = _is_header([field(n) for n in names], F.col(CORRUPT), shared)
+            leads = F.when(is_header & ~fits, _differs(F.col(SRC_FILE))).otherwise(leads)
+        df = numbered.filter(~leads).drop(RECORD_NO)
     return df
 
 
+def _is_header(cells: Sequence[Column], corrupt: Column, header: Sequence[str]) -> Column:
+    """Whether these cells are a header's, but for case; not where some are missing or too many."""
+    fits = corrupt.isNull()
+    for cell, name in zip(cells, header):
+        fits = fits & (F.lower(F.coalesce(cell, F.lit(""))) == name.lower())
+    return fits
+
+
+def _differs(file: Column) -> Column:
+    text = F.concat(F.lit("the header differs from that of the first file: "), file)
+    return F.raise_error(text).cast("boolean")
+
+
+def _reader_header(
+    spark: SparkSession, path: str | list[str], control: FileControl
+) -> list[str] | None:
+    """The first file's header as the reader spells it; None where names repeat."""
+    first = _listing(spark, path).agg(F.min("path")).first()[0]
+    head = spark.read.options(**reader_options(control)).option("header", False).csv(first).first()
+    spelt = [_IMPOSSIBLE if cell is None else cell for cell in head or ()]
+    return spelt if len({s.lower() for s in spelt}) == len(spelt) else None
+
+
+def _listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path")
+
+
 def _scan_split(
-    spark: SparkSession, path: str | list[str], control: FileControl, names: list[str], lead: int
+    spark: SparkSession,
+    path: str | list[str],
+    control: FileControl,
+    names: list[str],
+    lead: int,
+    shared: list[str] | None,
 ) -> DataFrame | None:
     not_for_text = ("multiLine", "encoding", "columnPruning", "enforceSchema")
     options = {k: str(v) for k, v in reader_options(control).items() if k not in not_for_text}
     options["columnPruning"] = "false"
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in (*names, CORRUPT))
     cells = F.from_csv(F.col(multiline.RECORD), schema, options)
+
+    def other_header(record: Column, file: Column) -> Column:
+        got = F.from_csv(record, schema, options)
+        return F.when(~_is_header([got[n] for n in names], got[CORRUPT], shared), _differs(file))
+
     found = multiline.records(
         spark, path, _quote(control), _own_escape(control), _charset(control), lead,
-        _separator(control),
+        _separator(control), other_header if shared else None,
     )
     if found is None:
         return None
@@ -178,9 +233,9 @@ def _scan_split(
     )
 
 
-def _with_source(read: DataFrame) -> DataFrame:
+def _with_source(read: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     return read.select(
-        *[field(c) for c in read.columns],
+        *[field(c).alias(n) for c, n in zip(read.columns, names or read.columns)],
         F.col("_metadata.file_path").alias(SRC_FILE),
         F.col("_metadata.file_block_start").alias(SRC_BLOCK),
         F.monotonically_increasing_id().alias(SRC_POS),
@@ -188,13 +243,17 @@ def _with_source(read: DataFrame) -> DataFrame:
 
 
 def read_header(spark: SparkSession, path: str | list[str], control: FileControl) -> list[str]:
-    """Names of the file's columns: the record after ``skip`` records, cells trimmed.
+    """Names of the file's columns: the record after ``skip`` records, cells trimmed."""
+    return [h.strip() for h in _first_header(spark, path, control)]
+
+
+def _first_header(spark: SparkSession, path: str | list[str], control: FileControl) -> list[str]:
+    """The header as it stands in the file.
 
     Records are counted, not lines. Of a folder, the first file by name is looked at; only its
     leading lines reach the driver.
     """
-    listing = spark.read.format("binaryFile").load(path).select("path")
-    first = listing.agg(F.min("path")).first()[0]
+    first = _listing(spark, path).agg(F.min("path")).first()[0]
     if first is None:
         raise FileNotFoundError(f"no file below {path}")
     want = control.skip
@@ -212,7 +271,7 @@ def read_header(spark: SparkSession, path: str | list[str], control: FileControl
         return placeholder_columns(len(header))
     if header and want == 0:
         header = [header[0].removeprefix("﻿"), *header[1:]]
-    return [h.strip() for h in header]
+    return header
 
 
 def _first_lines(spark: SparkSession, path: str, control: FileControl, n: int) -> list[str]:
@@ -310,7 +369,7 @@ def scan_head(
     needed are read; the driver holds ``n`` rows at most.
     """
     names = usable_names(control.columns or read_header(spark, path, control))
-    listing = spark.read.format("binaryFile").load(path).select("path")
+    listing = _listing(spark, path)
     head: list = []
     look = 4
     done = 0

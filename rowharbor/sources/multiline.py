@@ -16,6 +16,7 @@ file can't be cut safely, and the caller reads it whole.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -132,10 +133,12 @@ def records(
     charset: str = "utf-8",
     leading: int = 0,
     separator: str = ",",
+    refuse: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame | None:
     """``(file, split, position, text)`` of every record; the first ``leading`` records of each
     file are left out. No task holds more than one split, or one record that crosses splits.
-    None where some file is not well-formed and so can't be cut."""
+    None where some file is not well-formed and so can't be cut. ``refuse``, an expression that
+    fails, is given the last leading record of each file, and the file."""
     lines = _lines(spark, path, charset)
     at = [FILE, BLOCK]
     splits, sound = _splits(lines, quote, separator, escape)
@@ -178,9 +181,13 @@ def records(
 
     every = whole.select(FILE, BLOCK, POS, "_no", RECORD).unionByName(mended)
     text = F.regexp_replace(F.replace(RECORD, F.lit("\r\n"), F.lit("\n")), "\r$", "")
-    first_split = (F.col(BLOCK) == 0) & (F.col("_no") <= leading)
+    text = F.regexp_replace(text, "^﻿", "")
+    left_out = (F.col(BLOCK) == 0) & (F.col("_no") <= leading)
+    if refuse is not None:
+        at_last = (F.col(BLOCK) == 0) & (F.col("_no") == leading)
+        left_out = F.coalesce(F.when(at_last, refuse(text, F.col(FILE))), left_out)
     return (
-        every.filter(~first_split)
-        .select(FILE, BLOCK, POS, F.regexp_replace(text, "^﻿", "").alias(RECORD))
+        every.filter(~left_out)
+        .select(FILE, BLOCK, POS, text.alias(RECORD))
         .filter(F.col(RECORD) != "")
     )

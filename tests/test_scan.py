@@ -242,3 +242,31 @@ def test_java_charset(spark, tmp_path):
         assert data_columns(df) == ["id", "né"] and cells(df) == [("1", "€")]
     finally:
         spark.conf.unset("spark.sql.legacy.javaCharsets")
+
+
+@pytest.mark.parametrize("large_file", [0, 10**9])
+@pytest.mark.parametrize("skip", [0, 1])
+@pytest.mark.parametrize("names", ["id,name,day", "id,name,ID", "id,,"])
+def test_files_of_a_folder_share_their_header(spark, tmp_path, large_file, skip, names):
+    control = CSV.with_options(skip=skip)
+    lead = "about\n" * skip
+    write(tmp_path, f"{lead}{names}\n1,a,b\n", "a.csv")
+    write(tmp_path, f"{lead}{names.replace('id', 'Id', 1)}\n2,c,d\n", "b.csv")
+    write(tmp_path, f"{lead}{names}\n", "c.csv")
+    rows = scan_delimited(spark, str(tmp_path), control, large_file=large_file)
+    assert sorted(c[:3] for c in cells(rows)) == [("1", "a", "b"), ("2", "c", "d")]
+    first, second, *rest = names.split(",")
+    write(tmp_path, f"{lead}{','.join([second, first, *rest])}\n3,e,f\n", "d.csv")
+    mixed = scan_delimited(spark, str(tmp_path), control, large_file=large_file)
+    with pytest.raises(Exception, match="(?i)header"):
+        mixed.collect()
+
+
+@pytest.mark.parametrize("large_file", [0, 10**9])
+def test_a_file_with_fewer_columns_is_refused(spark, tmp_path, large_file):
+    write(tmp_path, "id,name\n1,a\n", "a.csv")
+    write(tmp_path, "id\n2\n", "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_delimited(spark, str(tmp_path), CSV, large_file=large_file).collect()
+    named = scan_delimited(spark, str(tmp_path), CSV, ["id", "name"], large_file=large_file)
+    assert sorted(cells(named)) == [("1", "a"), ("2", None)]
