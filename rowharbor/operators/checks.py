@@ -75,24 +75,90 @@ def _verdict(df: DataFrame, status: str, message: Column) -> DataFrame:
     return df.select("file_id", "dataset_id", F.lit(status).alias("status"), message.alias("message"))
 
 
+def _beside(headers: DataFrame, columns: DataFrame, left_out: DataFrame | None) -> DataFrame:
+    """One row per file: its header, its dataset's columns and the names its control leaves out.
+    The lists are as long as a header or a dataset is wide; each relation is read once."""
+    files = headers.groupBy("file_id", "dataset_id").agg(
+        F.transform(
+            F.collect_list(F.struct(normalise_header(F.col("name")).alias("name"))),
+            lambda h: h["name"],
+        ).alias("_names")
+    )
+    lists = columns.groupBy("dataset_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "field_name", "is_row_id"))).alias("_columns")
+    )
+    # a file of an unknown dataset has only extra columns
+    both = files.join(lists, "dataset_id", "left")
+    if left_out is None:
+        return both.withColumn("_left_out", F.array().cast("array<string>"))
+    outs = left_out.groupBy("file_id").agg(F.collect_set("name").alias("_outs"))
+    held = F.coalesce(F.col("_outs"), F.array().cast("array<string>"))
+    return both.join(outs, "file_id", "left").withColumn("_left_out", held).drop("_outs")
+
+
+def _within(value: Column, values: Column | str) -> Column:
+    return F.coalesce(F.array_contains(values, value), F.lit(False))
+
+
+def _fault(status: str, message: Column) -> Column:
+    return F.struct(F.lit(status).alias("status"), message.alias("message"))
+
+
+def _extra() -> Column:
+    """Faults of a row of ``_beside``: names that no column bears, or given twice."""
+    known = F.transform(F.col("_columns"), lambda c: F.lower(c["field_name"]))
+    ignored = F.transform(F.col("_left_out"), normalise_header)
+    judged = F.filter(F.col("_names"), lambda n: ~_within(n, ignored))
+    wrong = F.filter(
+        F.array_distinct(judged),
+        lambda n: ~_within(n, known) | (F.size(F.filter(judged, lambda m: m.eqNullSafe(n))) > 1),
+    )
+    return F.transform(
+        wrong,
+        lambda n: _fault(
+            "PUBLISH_ERROR",
+            F.concat(
+                F.lit("Extra Columns Specified: the file contains column '"), n,
+                F.lit("', but the dataset does not."),
+            ),
+        ),
+    )
+
+
+def _missing() -> Column:
+    """Faults of a row of ``_beside``: at most one, what a replace would leave unfilled."""
+    absent = F.filter(F.col("_columns"), lambda c: ~_within(F.lower(c["field_name"]), "_names"))
+    gaps = F.filter(absent, lambda c: ~_within(c["field_name"], "_left_out"))
+    row_ids = F.filter(F.col("_columns"), lambda c: F.coalesce(c["is_row_id"], F.lit(False)))
+    row_id = F.get(row_ids, F.lit(0))["field_name"]
+    no_id = F.exists(absent, lambda c: F.coalesce(c["is_row_id"], F.lit(False)))
+    listed = F.array_join(F.transform(gaps, lambda c: c["field_name"]), ", ")
+    unmapped = _fault(
+        "MISSING_COLUMNS", F.concat(F.lit("Missing Fields: not mapped: "), listed)
+    )
+    no_key = _fault(
+        "PUBLISH_ERROR",
+        F.concat(
+            F.lit("Missing Row Identifier: column '"), row_id, F.lit("' must be present in the file."),
+        ),
+    )
+    some = F.size(gaps) > 0
+    return F.filter(
+        F.array(F.when(some & row_id.isNull(), unmapped).when(some & no_id, no_key)),
+        lambda fault: fault.isNotNull(),
+    )
+
+
+def _faults(beside: DataFrame, faults: Column) -> DataFrame:
+    return beside.select("file_id", "dataset_id", F.inline(faults))
+
+
 def extra_columns(
     headers: DataFrame, columns: DataFrame, left_out: DataFrame | None = None
 ) -> DataFrame:
-    """Header names the dataset does not have. A name given twice is extra the second time; names
-    that the control ignores (``left_out``) are never extra."""
-    named = headers.withColumn("_name", normalise_header(F.col("name")))
-    if left_out is not None:
-        ignored = left_out.select("file_id", normalise_header(F.col("name")).alias("_name"))
-        named = named.join(ignored, ["file_id", "_name"], "left_anti")
-    known = columns.select("dataset_id", F.lower("field_name").alias("_name")).distinct()
-    per_name = named.groupBy("file_id", "dataset_id", "_name").agg(F.count(F.lit(1)).alias("_n"))
-    judged = per_name.join(known.withColumn("_known", F.lit(True)), ["dataset_id", "_name"], "left")
-    text = F.concat(
-        F.lit("Extra Columns Specified: the file contains column '"), F.col("_name"),
-        F.lit("', but the dataset does not."),
-    )
-    extra = judged.filter(F.col("_known").isNull() | (F.col("_n") > 1))
-    return _verdict(extra, "PUBLISH_ERROR", text)
+    """Header names the dataset does not have. A name given twice is extra; names that the control
+    ignores (``left_out``) are never extra."""
+    return _faults(_beside(headers, columns, left_out), _extra())
 
 
 def missing_columns(
@@ -101,46 +167,7 @@ def missing_columns(
     """What a replace would leave unfilled. With a row identifier in the header, partial files
     are fine; without one in the dataset, the missing fields are listed; where the dataset has
     one and the header does not, that is the fault."""
-    row_ids = columns.filter("is_row_id").select("dataset_id", F.col("field_name").alias("_row_id"))
-    described = columns.join(row_ids, "dataset_id", "left").withColumn(
-        "_name", F.lower("field_name")
-    )
-    have = headers.select(
-        "file_id", "dataset_id", normalise_header(F.col("name")).alias("_name")
-    ).distinct()
-    files = headers.select("file_id", "dataset_id").distinct()
-    absent = files.join(described, "dataset_id").join(
-        have, ["file_id", "dataset_id", "_name"], "left_anti"
-    )
-    if left_out is None:
-        judged = absent.withColumn("_waived", F.lit(None).cast("boolean"))
-    else:
-        waived = left_out.select(
-            "file_id", F.col("name").alias("field_name"), F.lit(True).alias("_waived")
-        ).distinct()
-        judged = absent.join(waived, ["file_id", "field_name"], "left")
-    gap = F.when(F.col("_waived").isNull(), F.struct("pos", "field_name"))
-    per_file = judged.groupBy("file_id", "dataset_id").agg(
-        F.array_sort(F.collect_list(gap)).alias("_gaps"),  # a dataset's width bounds the list
-        F.first("_row_id").alias("_row_id"),
-        F.max("is_row_id").alias("_no_id"),
-    )
-    listed = F.array_join(F.transform("_gaps", lambda g: g["field_name"]), ", ")
-    no_key = F.col("_row_id").isNull()
-    return per_file.filter((F.size("_gaps") > 0) & (no_key | F.col("_no_id"))).select(
-        "file_id",
-        "dataset_id",
-        F.when(no_key, "MISSING_COLUMNS").otherwise("PUBLISH_ERROR").alias("status"),
-        F.when(
-            no_key,
-            F.concat(F.lit("Missing Fields: not mapped: "), listed),
-        ).otherwise(
-            F.concat(
-                F.lit("Missing Row Identifier: column '"), F.col("_row_id"),
-                F.lit("' must be present in the file."),
-            )
-        ).alias("message"),
-    )
+    return _faults(_beside(headers, columns, left_out).filter("_columns IS NOT NULL"), _missing())
 
 
 def check_columns(
@@ -150,10 +177,13 @@ def check_columns(
     method: str = "replace",
 ) -> DataFrame:
     """Extra columns, and for a replace also missing ones."""
-    extra = extra_columns(headers, columns, left_out)
+    beside = _beside(headers, columns, left_out)
     if method.lower() != "replace":
-        return extra
-    return extra.unionByName(missing_columns(headers, columns, left_out))
+        return _faults(beside, _extra())
+    missing = F.when(F.col("_columns").isNotNull(), _missing()).otherwise(
+        F.array().cast("array<struct<status string, message string>>")
+    )
+    return _faults(beside, F.concat(_extra(), missing))
 
 
 def check_synthetic(headers: DataFrame, columns: DataFrame, synthetic: DataFrame) -> DataFrame:

@@ -32,11 +32,12 @@ def test_check_columns(spark):
         header_rows("partial", "k", [" ID ", "Name"]) + header_rows("no id", "k", ["name"])
         + header_rows("extra", "k", ["id", "other"]) + header_rows("twice", "k", ["id", "id"])
         + header_rows("gap", "n", ["a"]) + header_rows("full", "n", ["A", "b", "c"])
-        + header_rows("waived", "n", ["a", "b"]), HEADERS)
+        + header_rows("waived", "n", ["a", "b"]) + header_rows("lost", "unknown", ["q"]), HEADERS)
     left_out = spark.createDataFrame([("waived", "c")], "file_id string, name string")
     assert verdicts(checks.check_columns(headers, columns, left_out)) == [
         ("extra", "PUBLISH_ERROR", "Extra Columns Specified"),
         ("gap", "MISSING_COLUMNS", "Missing Fields"),
+        ("lost", "PUBLISH_ERROR", "Extra Columns Specified"),
         ("no id", "PUBLISH_ERROR", "Missing Row Identifier"),
         ("twice", "PUBLISH_ERROR", "Extra Columns Specified"),
     ]
@@ -44,6 +45,7 @@ def test_check_columns(spark):
     assert gap.message.endswith("b, c")
     assert verdicts(checks.check_columns(headers, columns, method="upsert")) == [
         ("extra", "PUBLISH_ERROR", "Extra Columns Specified"),
+        ("lost", "PUBLISH_ERROR", "Extra Columns Specified"),
         ("twice", "PUBLISH_ERROR", "Extra Columns Specified"),
     ]
 

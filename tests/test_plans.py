@@ -104,6 +104,7 @@ def test_header_checks_join_by_equality(spark):
         "dataset_id string, pos int, field_name string, type string, is_row_id boolean")
     text = plan(checks.check_columns(headers, columns))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+    assert text.count("ExistingRDD") == 2  # each relation is read once
 
 
 def fake(master, configured):
