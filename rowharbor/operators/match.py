@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowharbor.functions.names import (
@@ -11,7 +11,6 @@ from rowharbor.functions.names import (
     field_name_distances,
     may_be_field,
 )
-from rowharbor.runtime import materialise
 
 
 def score_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
@@ -53,38 +52,27 @@ def match_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
     """One-to-one assignment, best pairs first: ``(file_id, dataset_id, header_pos, header,
     field_name, badness)``, nulls where a header stays unmatched.
 
-    Taking the best pair of a file over and over gives the same result as taking, in each round,
-    every pair that is the best one for its header and for its column: order is total (badness,
-    then header, then column), so nothing can overtake such a pair. Rounds run over all files
-    together, and no task holds more than one header's or one column's candidates.
+    The candidates of a file, a list no longer than its header times the dataset's width, are put
+    in order (badness, then header, then column) and walked through once; a pair counts unless its
+    header or its column is taken. All files are matched in one job, and their lists meet the
+    headers by one more join.
     """
-    left = materialise(score_columns(headers, columns), "candidates")
     file = ["file_id", "dataset_id"]
-    of_header = Window.partitionBy(*file, "header_pos")
-    of_column = Window.partitionBy(*file, "column_pos")
-    matched: DataFrame | None = None
-    while left.head(1):
-        best = left.withColumn(
-            "_h", F.min(F.struct("badness", "column_pos")).over(of_header)
-        ).withColumn("_c", F.min(F.struct("badness", "header_pos")).over(of_column))
-        won = (F.col("_h.column_pos") == F.col("column_pos")) & (
-            F.col("_c.header_pos") == F.col("header_pos")
-        )
-        judged = (
-            best.withColumn("_won", won)
-            .withColumn("_gone", F.max("_won").over(of_column))
-            .withColumn("_done", F.max("_won").over(of_header))
-            .drop("_h", "_c")
+    pair = F.struct("badness", "header_pos", "column_pos", "field_name")
+    ranked = score_columns(headers, columns).groupBy(*file).agg(
+        F.array_sort(F.collect_list(pair)).alias("_pairs")
+    )
+
+    def take(taken: Column, p: Column) -> Column:
+        free = ~F.exists(
+            taken,
+            lambda t: (t["header_pos"] == p["header_pos"]) | (t["column_pos"] == p["column_pos"]),
         )
-        judged = materialise(judged.filter(F.col("_won") | ~(F.col("_gone") | F.col("_done"))), "round")
-        now = judged.filter("_won").select(*file, "header_pos", "field_name", "badness")
-        matched = now if matched is None else matched.unionByName(now)
-        left = judged.filter(~F.col("_won")).drop("_won", "_gone", "_done")
+        return F.when(free, F.array_append(taken, p)).otherwise(taken)
+
+    start = F.filter(F.col("_pairs"), lambda p: F.lit(False))
+    matched = ranked.select(*file, F.inline(F.aggregate("_pairs", start, take)))
     out = headers.select(*file, F.col("pos").alias("header_pos"), F.col("name").alias("header"))
-    if matched is None:
-        return out.withColumn("field_name", F.lit(None).cast("string")).withColumn(
-            "badness", F.lit(None).cast("double")
-        )
     return out.join(matched, [*file, "header_pos"], "left").select(
         *file, "header_pos", "header", "field_name", "badness"
     )

@@ -80,3 +80,14 @@ def test_nothing_matches(spark):
     c = spark.createDataFrame([(1, 0, "xyz", "Xyz")],
                               "dataset_id int, pos int, field_name string, display_name string")
     assert [r.field_name for r in match_columns(h, c).collect()] == [None]
+
+
+def test_equal_headers_take_columns_in_order(spark):
+    width = 40
+    h = spark.createDataFrame([(1, 1, i, "value") for i in range(width)],
+                              "file_id int, dataset_id int, pos int, name string")
+    c = spark.createDataFrame([(1, i, "value", "Value") for i in range(width)],
+                              "dataset_id int, pos int, field_name string, display_name string")
+    got = match_columns(h, c).collect()
+    assert len(got) == width and all(r.field_name == "value" for r in got)
+    assert match_columns(h, c.limit(3)).filter("field_name IS NOT NULL").count() == 3
