@@ -96,7 +96,7 @@ def failure_details(log: DataFrame) -> DataFrame:
 
 def progress(status: DataFrame) -> DataFrame:
     """Whole percent of each status report, and the outcome its text announces."""
-    done = F.floor(F.col("rows") * 100 / F.nullif(F.col("total"), F.lit(0)))
+    done = F.expr("CAST(rows AS DECIMAL(20, 0)) * 100 DIV nullif(CAST(total AS DECIMAL(20, 0)), 0)")
     outcome = F.when(F.col("english").startswith("SUCCESS"), "SUCCESS").when(
         F.col("english").startswith("FAILURE"), "PUBLISH_ERROR"
     )

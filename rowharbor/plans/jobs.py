@@ -124,9 +124,9 @@ def publish_rows(
 ) -> PublishResult:
     """Publish scanned text rows by the control's action.
 
-    Of rows with the same key the last one counts. The rows are parsed once, into scratch space; bad rows are skipped, set aside or refused as
-    the control says, and the rest is merged into a new version that is checked before it is
-    published.
+    Of rows with the same key the last one counts. The rows are parsed once, into scratch space;
+    bad rows are skipped, set aside or refused as the control says, and the rest is merged into a
+    new version that is checked before it is published.
     """
     method = control.action.lower()
     if batch is not None and store.has_batch(dataset_id, batch):
