@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from rowharbor.llm import decontaminate
+from rowharbor.llm import decontaminate, ordermin
 
 
 def slow_score(doc, item):
@@ -33,3 +33,26 @@ def test_all_copies_at_the_threshold_are_found(spark):
     docs = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(texts)], "doc_id bigint, text string")
     bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id bigint, text string")
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()} == want
+
+
+def test_edits_of_texts_without_blanks_and_of_few_words(spark):
+    rng = np.random.default_rng(7)
+
+    def run(low, high, n=2000):
+        return "".join(map(chr, rng.integers(low, high, n)))
+
+    def changed(text, at):
+        return text[:at] + "Q" + text[at + 1:]
+
+    long = [run(0x4E00, 0x9000), run(0xE01, 0xE2F), run(97, 123), run(0x20000, 0x20200)]
+    words = [run(97, 123, 6) for _ in range(64 + 1)]
+    pairs = [(t, changed(t, at)) for t in long for at in (0, 700, 1999)]  # one letter of 2,000
+    pairs += [(t, t[:1500] + run(0x3041, 0x3091, 500)) for t in long]  # three quarters are the same
+    pairs += [(t, changed(t, 7)) for t in ("three short words", "supercalifragilistic", "one, two and three fours")]
+    pairs += [(" ".join(words[:n]), " ".join(words[:n + 1])) for n in (7, 15, 64 - 1, 64)]  # no length parts them
+    pairs += [(a, b) for a, b in zip(long, long[1:], strict=False)]
+    docs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    near = ordermin.likeness(ordermin.sketch(docs["a"]), ordermin.sketch(docs["b"]))
+    got = [r[0] for r in docs.orderBy("i").select(near).collect()]
+    assert min(got[:12]) > 0.9 and min(got[12:16]) > 0.3 and min(got[16:19]) > 0.1 and min(got[19:23]) > 0.5
+    assert max(got[23:]) < 0.1
