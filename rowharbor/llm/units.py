@@ -97,8 +97,8 @@ def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
 
 
 def removal_report(removed: DataFrame) -> DataFrame:
-    """One row per document that loses units: how many, and their spans by start."""
-    return removed.groupBy("doc_id").agg(
+    """One row per text that loses units, also where ids repeat or are null: how many, and their spans by start."""
+    return removed.groupBy("row", "doc_id").agg(
         F.count("*").alias("n_removed"), F.sum("words").alias("words_removed"),
         F.sort_array(F.collect_list(F.struct("start", "end", "unit", "first_doc_id"))).alias("_spans"),
     ).select(

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from rowharbor.llm import decontaminate, ordermin
+from rowharbor.llm import decontaminate, ordermin, units
 
 
 def slow_score(doc, item):
@@ -56,3 +56,11 @@ def test_edits_of_texts_without_blanks_and_of_few_words(spark):
     got = [r[0] for r in docs.orderBy("i").select(near).collect()]
     assert min(got[:12]) > 0.9 and min(got[12:16]) > 0.3 and min(got[16:19]) > 0.1 and min(got[19:23]) > 0.5
     assert max(got[23:]) < 0.1
+
+
+def test_removals_are_reported_by_text(spark):
+    line = "a b c d e"
+    texts = [(1, line), (None, f"x\n{line}"), (None, f"one more\n{line}"), (2, f"y\n{line}"), (2, f"yyy\n{line}")]
+    removed = units.repeated_units(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    got = [(r["doc_id"] or 0, r["n_removed"], r["spans"]) for r in units.removal_report(removed).collect()]
+    assert sorted(got) == [(0, 1, "2:11"), (0, 1, "9:18"), (2, 1, "2:11"), (2, 1, "4:13")]
