@@ -28,13 +28,14 @@ BUCKET_BYTES = 8 << 20
 
 def squeeze(values: np.ndarray) -> bytes:
     """Numbers by byte planes, compressed: high bytes that are all zero take no room."""
-    wide = values.view(np.uint8).reshape(len(values), -1)
+    wide = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
     return zstandard.compress(np.ascontiguousarray(wide.T).tobytes(), 1)
 
 
 def unsqueeze(blob: bytes, dtype: type) -> np.ndarray:
     size = np.dtype(dtype).itemsize
-    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(size, -1)
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    planes = raw.reshape(size, len(raw) // size)
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 

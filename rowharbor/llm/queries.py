@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowharbor.llm import decontaminate, langid, lm, mixing, ordermin, secrets, sharding, simhash, suffixes, units
+from rowharbor.llm import alignment, decontaminate, langid, lm, mixing, ordermin, secrets, sharding, simhash, suffixes, units
 from rowharbor.llm.twins import ORACLES as ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op9_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
