@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowharbor.llm import alignment, decontaminate, langid, lm, mixing, ordermin, secrets, sharding, simhash, suffixes, units, variants
+from rowharbor.llm import (
+    alignment, decontaminate, langid, lm, mixing, ordermin, pages, secrets, sharding, simhash, suffixes, units, variants)
 from rowharbor.llm.twins import ORACLES as ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +75,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(table(spark, sf_dir, "documents"))
