@@ -46,6 +46,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def row_digest() -> Column:
+    """A number for a row's id and text; null differs from zero and from empty."""
+    return F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull())
+
+
 def spare(docs: DataFrame, name: str) -> str:
     """A column name like ``name`` that ``docs`` doesn't have."""
     taken = {c.lower() for c in docs.columns}

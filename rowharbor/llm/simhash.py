@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.llm.common import materialise, spare, text_of
+from rowharbor.llm.common import materialise, row_digest, spare, text_of
 from rowharbor.llm.components import components
 
 BITS = 64
@@ -41,17 +41,21 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``(doc_id, fp)`` of every row, fp as a signed 64-bit number; null text counts as empty."""
+    """``(doc_id, fp, digest)`` of every row, fp as a signed 64-bit number; null text counts as empty.
+
+    ``digest`` is of id and text, to find the row again.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64))],
-                names=["doc_id", "fp"])
+                [batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), batch.column("digest")],
+                names=["doc_id", "fp", "digest"])
 
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().cast("binary").alias("text"))
-    return slim.mapInArrow(each, "doc_id bigint, fp bigint")
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().cast("binary").alias("text"),
+                       row_digest().alias("digest"))
+    return slim.mapInArrow(each, "doc_id bigint, fp bigint, digest bigint")
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -209,10 +213,10 @@ def _compared(members: DataFrame, radius: int, block: int) -> DataFrame:
 
 
 def near_groups(prints: DataFrame, radius: int = 2) -> DataFrame:
-    """``prints(doc_id, fp)`` -> ``(fp, component_id)``, one row per distinct fingerprint.
+    """``prints(doc_id, fp)`` -> ``(fp, root, component_id)``, one row per distinct fingerprint.
 
-    ``component_id`` is the least id of the documents that are linked, directly or through
-    others; null if none of them has an id.
+    ``root`` names the group, also where no document of it has an id. ``component_id`` is the
+    least id of the documents that are linked, directly or through others; null if none has one.
     """
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
     roots = components(near_links(distinct.select("fp"), radius))
@@ -222,7 +226,7 @@ def near_groups(prints: DataFrame, radius: int = 2) -> DataFrame:
         "simhash-roots",
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
@@ -237,17 +241,15 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFr
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` that have the least id of their group of near copies.
+    """One row of ``docs`` for each group of near copies: the one of the least id.
 
-    Rows that repeat an id and its text become one; other texts under the same id stay. Rows
-    without an id can't be ranked and stay.
+    Rows without an id come after those that have one; among rows of one id, and among those without,
+    a digest of the text decides. Rows that repeat an id and its text become one.
     """
     prints = materialise(fingerprints(docs, shingle), "simhash")
     groups = materialise(near_groups(prints, radius), "simhash-components")
-    own, digest = spare(docs, "_id"), spare(docs, "_text")
-    kept = prints.join(groups, "fp").filter("doc_id = component_id").select(F.col("doc_id").alias(own))
-    named = (
-        docs.join(kept, F.col("doc_id") == F.col(own), "left_semi")
-        .withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest]).drop(digest)
-    )
-    return named.unionByName(docs.filter("doc_id is null"))
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "digest")
+    own = spare(docs, "_digest")
+    first = prints.join(groups, "fp").groupBy("root").agg(F.min(rank).alias("first"))
+    kept = first.select(F.col("first.digest").alias(own))
+    return docs.withColumn(own, row_digest()).join(kept, own, "left_semi").dropDuplicates([own]).drop(own)
