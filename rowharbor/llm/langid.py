@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rowharbor.llm.common import materialise, spare
+from rowharbor.llm.common import materialise, row_digest, spare
 
 # Symbols of the spectrum: 0 for all that is no letter, 1-26 for a-z, the rest by code point.
 SYMBOLS = 64
@@ -116,18 +116,20 @@ def score(texts: list[str | None], model: Model, batch: int = 128) -> tuple[list
 def train(labelled: DataFrame, rows_per_label: int = 150, landmarks_per_label: int = 24, ridge: float = 1e-3) -> Model:
     """Fit on at most ``rows_per_label`` texts of each label of ``labelled(doc_id, text, lang)``.
 
-    The rows with the least MD5 of their id are taken, whole. Tasks turn them into presence bits
+    The rows with the least MD5 of their id are taken, whole; those of one id, or without one, by a
+    digest of the text, and repeated rows count once. Tasks turn them into presence bits
     of a fixed size (33 KB), and only those come to the driver. Longer texts hold more n-grams,
     so a document counts once, whatever its length; texts without a letter are left out.
     """
-    order = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    chosen = materialise(  # ids only; a task sends at most rows_per_label of each label on
-        usable.select("doc_id", "lang").withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") <= rows_per_label),
+    order = Window.partitionBy("lang").orderBy("_place", "doc_id", "_row")
+    usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", "doc_id", row_digest().alias("_row"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_place"))
+    chosen = materialise(  # digests only; a task sends at most rows_per_label of each label on, and their copies
+        usable.select("lang", "doc_id", "_row", "_place").withColumn("_n", F.dense_rank().over(order))
+        .filter(F.col("_n") <= rows_per_label).select("lang", "_row", "_n").distinct(),
         "langid-sample",
     )
-    sample = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
+    sample = usable.select("_row", "lang", "text").join(chosen, ["_row", "lang"]).dropDuplicates(["_row", "lang"])
 
     def spectra(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -170,8 +172,16 @@ def identify(docs: DataFrame, **options) -> DataFrame:
     return predict(slim, model, belief="score").drop("text")
 
 
-def keep_identified(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that have a language: text with at least one letter."""
+def keep_identified(docs: DataFrame, wanted: Collection[str] | None = None, least: float = 0.0, **options) -> DataFrame:
+    """The rows of ``docs`` whose predicted language is wanted, with a score of ``least`` or more.
+
+    By default every language of the labelled rows is wanted, so those go that have none: no text, or no
+    letter in it. Where ``lang`` is null, the predicted one takes its place. If no row is labelled,
+    nothing can be predicted, and the rows with a letter stay as they are.
+    """
     model = train(docs.filter(~held_out()), **options)
+    if not model.labels:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     label, belief = spare(docs, "_lang"), spare(docs, "_belief")
-    return predict(docs, model, label, belief).filter(F.col(label) != UNKNOWN).drop(label, belief)
+    fits = F.col(label).isin(*(model.labels if wanted is None else wanted)) & (F.col(belief) >= least)
+    return predict(docs, model, label, belief).filter(fits).withColumn("lang", F.coalesce("lang", label)).drop(label, belief)
