@@ -16,7 +16,10 @@ RESULT = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 @dataclass(frozen=True)
 class Node:
-    """A shard (``shard`` set) or a region or rack with children; weights count within the parent."""
+    """A shard (``shard`` set) or a region or rack with children.
+
+    A node weighs what its children weigh together; another weight scales all that is below it.
+    """
 
     name: str
     weight: float = 1.0
@@ -24,15 +27,6 @@ class Node:
     shard: int | None = None
 
 
-@dataclass(frozen=True)
-class Growth:
-    """A shard added later, below the node its name starts with, with its weight in shards."""
-
-    name: str
-    shard: int
-    weight: float = 1.0
-
-
 def even_tree(shards: int, regions: int = 2, racks: int = 2) -> Node:
     """Shards dealt over regions and racks in turn; a node weighs as many shards as it holds."""
     places: dict[tuple[int, int], list[int]] = {}
@@ -59,38 +53,25 @@ def _draw(key: Column, name: str, weight: float) -> Column:
     return -F.log(u) / F.lit(float(weight))
 
 
-def _descend(key: Column, node: Node) -> Column:
-    """The shard reached by going down to the child with the least draw at each level."""
+def _winner(key: Column, node: Node, scale: float = 1.0) -> Column:
+    """The least draw below a node, with its shard."""
     if node.shard is not None:
-        return F.lit(node.shard)
-    if len(node.children) == 1:
-        return _descend(key, node.children[0])
-    draws = [_draw(key, child.name, child.weight) for child in node.children]
-    best = F.least(*draws)
-    out = _descend(key, node.children[-1])
-    for child, draw in list(zip(node.children, draws, strict=True))[-2::-1]:
-        out = F.when(draw == best, _descend(key, child)).otherwise(out)
-    return out
-
-
-def place(key: Column, tree: Node, added: Sequence[Growth] = ()) -> Column:
+        return F.struct(_draw(key, node.name, node.weight * scale).alias("draw"), F.lit(node.shard).alias("shard"))
+    below = scale * node.weight / sum(child.weight for child in node.children)
+    winners = [_winner(key, child, below) for child in node.children]
+    return F.least(*winners) if len(winners) > 1 else winners[0]
+
+
+def place(key: Column, tree: Node) -> Column:
     """The shard of a key.
 
     At each level the child with the least weighted draw wins, so a child gets its weight's
-    share. A grown tree keeps its old draws: an added shard has one draw of its own weight, which
-    competes with the least draw at the top, and a key whom it wins goes straight down to that
-    shard through the subtrees that grew. All other keys stay where they are.
+    share. A node's draw is the least of the draws of its shards, which is again a draw of their joint weight: a
+    shard that is added, or whose weight rises, wins keys for itself only, and one that goes or weighs
+    less leaves only its own keys to others. Scaling a region or rack moves keys into it or out
+    of it and none between others or within it.
     """
-    out = _descend(key, tree)
-    if not added:
-        return out
-    top = F.least(*[_draw(key, c.name, c.weight) for c in tree.children]) \
-        if len(tree.children) > 1 else _draw(key, tree.children[0].name, tree.weight)
-    draws = [_draw(key, g.name, g.weight) for g in added]
-    best = F.least(top, *draws)
-    for growth, draw in zip(added, draws, strict=True):
-        out = F.when(draw == best, F.lit(growth.shard)).otherwise(out)
-    return out
+    return _winner(key, tree)["shard"]
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, keep: Sequence[str] = ()) -> DataFrame:
@@ -98,25 +79,24 @@ def shard_documents(docs: DataFrame, shards: int = 16, keep: Sequence[str] = ())
 
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard``, one row per row of
     ``docs``. ``size`` is the UTF-8 length plus 1, ``slot`` the place in the shard, gapless from 0
-    in the order of the id's MD5; ``grown_shard`` is the shard with one more shard in the first
-    rack. Null text counts as empty, rows without id share one shard, rows that repeat an id share
-    its shard in slots side by side. Slots come from counts of small hash ranges, so a shard of any
+    in the order of the MD5 of id and ``text_crc32``; ``grown_shard`` is the shard that the same law
+    gives with one more shard. Null text counts as empty, rows without id share one shard, rows that repeat an id share
+    its shard. Slots come from counts of small hash ranges, so a shard of any
     size is numbered by many tasks. Columns of ``docs`` named in ``keep`` are carried along, unless
     they have the name of a result column.
     """
     keep = [c for c in keep if c not in RESULT]
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    tree = even_tree(shards)
-    grown = Growth(f"region0/rack0/shard{shards}", shards)
+    crc = F.crc32(text_of().cast("binary")).cast("bigint")
     placed = materialise(
         docs.select(
             "doc_id",
             (F.octet_length(text_of()).cast("bigint") + 1).alias("size"),
-            F.crc32(text_of().cast("binary")).cast("bigint").alias("text_crc32"),
+            crc.alias("text_crc32"),
             F.lit("key").alias("law"),
-            place(key, tree).cast("int").alias("shard"),
-            place(key, tree, [grown]).cast("int").alias("grown_shard"),
-            F.md5(key).alias("_key"),
+            place(key, even_tree(shards)).cast("int").alias("shard"),
+            place(key, even_tree(shards + 1)).cast("int").alias("grown_shard"),
+            F.md5(F.concat(key, F.lit("/"), crc.cast("string"))).alias("_key"),
             F.lit(1).cast("bigint").alias("_one"),
             *[F.col(f"`{c}`").alias(f"_kept_{i}") for i, c in enumerate(keep)],
         ),

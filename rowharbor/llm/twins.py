@@ -40,7 +40,8 @@ SELECT doc_id, size, source_size, target, p.source,
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
 """,
     # CRC-32 by the table of its polynomial, byte by byte; the tree's nodes come from the shard
-    # numbers: two regions, two racks in each, shards dealt over them in turn.
+    # numbers: two regions, two racks in each, shards dealt over them in turn. As a node's draw is the
+    # least of its shards', the shard of the least draw wins.
     "op7_sharding": r"""
 WITH RECURSIVE cells(i, v, step) AS (
     SELECT range, range, 0 FROM range(256)
@@ -54,26 +55,14 @@ WITH RECURSIVE cells(i, v, step) AS (
 ), tree AS (
     SELECT range AS shard, 'region' || (range % 2) AS region,
            'region' || (range % 2) || '/rack' || (range // 2 % 2) AS rack
-    FROM range(16)
-), nodes AS (
-    SELECT 'root' AS parent, region AS name, count(*)::DOUBLE AS weight, NULL AS shard FROM tree GROUP BY region
-    UNION ALL SELECT region, rack, count(*)::DOUBLE, NULL FROM tree GROUP BY region, rack
-    UNION ALL SELECT rack, rack || '/shard' || shard, 1.0, shard FROM tree
-    UNION ALL SELECT 'added', 'region0/rack0/shard16', 1.0, 16
+    FROM range(17)
 ), draws AS (
-    SELECT row, parent, name, shard,
-           -ln((('0x' || substr(md5(key || '/' || name), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) / weight AS draw
-    FROM docs, nodes
-), winners AS (
-    SELECT row, parent, min(draw) AS draw, arg_min(name, draw) AS name, arg_min(shard, draw) AS shard
-    FROM draws GROUP BY row, parent
+    SELECT row, shard, -ln((('0x' || substr(md5(key || '/' || rack || '/shard' || shard), 1, 13))::BIGINT
+                            + 0.5::DOUBLE) / 4503599627370496) AS draw
+    FROM docs, tree
 ), landed AS (
-    SELECT top.row, leaf.shard, CASE WHEN new.draw < top.draw THEN 16 ELSE leaf.shard END AS grown_shard
-    FROM winners top
-    JOIN winners middle ON middle.row = top.row AND middle.parent = top.name
-    JOIN winners leaf ON leaf.row = top.row AND leaf.parent = middle.name
-    JOIN winners new ON new.row = top.row AND new.parent = 'added'
-    WHERE top.parent = 'root'
+    SELECT row, arg_min(shard, draw) FILTER (shard < 16) AS shard, arg_min(shard, draw) AS grown_shard
+    FROM draws GROUP BY row
 ), summed AS (
     SELECT row, doc_id, key, octet_length(body) + 1 AS size,
            xor(list_reduce(list_transform(regexp_extract_all(hex(body), '..'), lambda x: ('0x' || x)::BIGINT),
