@@ -66,7 +66,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = units.removal_report(units.repeated_units(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents")
+    report = units.removal_report(docs, units.repeated_units(docs))
     return report.withColumn("first_doc_ids", F.array_join(F.col("first_doc_ids").cast("array<string>"), ","))
 
 

@@ -71,29 +71,40 @@ WITH RECURSIVE cells(i, v, step) AS (
     FROM docs, crc
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
-       row_number() OVER (PARTITION BY shard ORDER BY md5(key), doc_id, size, text_crc32) - 1 AS slot,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(key || '/' || text_crc32), doc_id, size, text_crc32) - 1 AS slot,
        CAST(grown_shard AS INTEGER) AS grown_shard
 FROM summed JOIN landed USING (row)
 """,
     "op9_repeated_lines": r"""
-WITH cut AS (
-    SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL
-), units AS (
-    SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS unit FROM cut
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, string_split(regexp_replace(text, '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) AS parts
+    FROM documents
+), cut AS (
+    SELECT row, doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM docs
 ), placed AS (
-    SELECT doc_id, unit, length(part) AS size,
-           coalesce(sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY unit
+    SELECT row, doc_id, place, length(part) AS size,
+           coalesce(sum(length(part) + 1) OVER (PARTITION BY row ORDER BY place
                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
            regexp_extract_all(lower(part), '\S+') AS words
-    FROM units
+    FROM cut
+), units AS (
+    SELECT *, row_number() OVER (PARTITION BY row ORDER BY place) AS unit FROM placed WHERE len(words) > 0
 ), ranked AS (
     SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, unit) AS turn,
            first_value(doc_id) OVER (PARTITION BY words ORDER BY doc_id, unit) AS first_doc_id
-    FROM placed WHERE len(words) >= 5
+    FROM units
+), gone AS (
+    SELECT *, unit - row_number() OVER (PARTITION BY row ORDER BY unit) AS island FROM ranked WHERE turn > 1
+), runs AS (
+    SELECT *, sum(len(words)) OVER (PARTITION BY row, island) AS run FROM gone
+), summed AS (
+    SELECT row, count(*) AS n_removed, CAST(sum(len(words)) AS BIGINT) AS words_removed, CAST(max(run) AS BIGINT) AS longest_run,
+           string_agg(start || ':' || (start + size), ',' ORDER BY start) AS spans,
+           string_agg(first_doc_id::VARCHAR, ',' ORDER BY start) AS first_doc_ids
+    FROM runs GROUP BY row
 )
-SELECT doc_id, count(*) AS n_removed, CAST(sum(len(words)) AS BIGINT) AS words_removed,
-       string_agg(start || ':' || (start + size), ',' ORDER BY start) AS spans,
-       string_agg(first_doc_id::VARCHAR, ',' ORDER BY start) AS first_doc_ids
-FROM ranked WHERE turn > 1 GROUP BY doc_id
+SELECT doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(words_removed, 0) AS words_removed,
+       coalesce(longest_run, 0) AS longest_run, coalesce(spans, '') AS spans, coalesce(first_doc_ids, '') AS first_doc_ids
+FROM docs LEFT JOIN summed USING (row)
 """,
 }

@@ -1,27 +1,38 @@
-"""Line deduplication: the first occurrence of each unit in the whole corpus stays."""
+"""Line deduplication: the first occurrence of each unit in the whole corpus stays.
+
+A unit is a sentence of a line: it ends where the line does, or at a blank behind a full stop, exclamation
+or question mark. So a passage that many documents share is found within longer lines too.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.llm.common import materialise, spare, text_of
+from rowharbor.llm.common import materialise, row_digest, spare, text_of
 
 UNIT_SCHEMA = ("row bigint, doc_id bigint, unit bigint, `start` bigint, `end` bigint, words bigint, "
                "hi bigint, lo bigint")
 
 
+SENTENCE_END = re.compile(r"([.!?]) ")
+
+
 def text_units(text: str, separator: str = "\n") -> Iterator[tuple[int, int, str]]:
-    """``(start, end, unit)`` of each stretch between separators, by code points, end exclusive."""
+    """``(start, end, unit)`` of each stretch between separators and sentence ends, by code points, end exclusive.
+
+    The separator is one character, and so is the blank that ends a sentence.
+    """
     at = 0
-    for unit in text.split(separator):
+    for unit in SENTENCE_END.sub(rf"\1{separator}", text).split(separator):
         yield at, at + len(unit), unit
-        at += len(unit) + len(separator)
+        at += len(unit) + 1
 
 
 def normal(unit: str) -> list[str]:
@@ -29,30 +40,31 @@ def normal(unit: str) -> list[str]:
     return unit.lower().split()
 
 
-def units(docs: DataFrame, separator: str = "\n", min_words: int = 5) -> DataFrame:
-    """One row per unit of ``min_words`` or more: place, offsets and a 128-bit digest of its words."""
+def units(docs: DataFrame, separator: str = "\n") -> DataFrame:
+    """One row per unit with a word: place among them, offsets and a 128-bit digest of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             digests = []
             for row, doc, text in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                for number, (start, end, unit) in enumerate(text_units(text, separator)):
-                    words = normal(unit)
-                    if words and len(words) >= min_words:
+                number = 0
+                for start, end, unit in text_units(text, separator):
+                    if words := normal(unit):
                         for into, value in zip(out, (row, doc, number, start, end, len(words)), strict=False):
                             into.append(value)
                         digests.append(hashlib.md5(" ".join(words).encode("utf-8", "surrogatepass")).digest())
+                        number += 1
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(v, pa.int64()) for v in out[:6]), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
                 names=["row", "doc_id", "unit", "start", "end", "words", "hi", "lo"])
 
-    slim = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    slim = docs.select(row_digest().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
     return slim.mapInArrow(run, UNIT_SCHEMA)
 
 
-def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = 5) -> DataFrame:
+def repeated_units(docs: DataFrame, separator: str = "\n") -> DataFrame:
     """The units to remove: all but the first of each digest, by document id, then place.
 
     Returns ``doc_id, unit, start, end, words, first_doc_id``, offsets in code points of the
@@ -60,11 +72,11 @@ def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = 5) -
     unit that is everywhere reaches the shuffle once per task; only digests that repeat are joined
     back, and that join can be split at a hot digest.
 
-    Null and empty texts have no units. Shorter units are left alone. Rows without an id come
+    ``unit`` counts the units with a word of a text. Null and empty texts have no units. Rows without an id come
     after all others; rows that repeat an id and a text count as one, so that text keeps its
     first occurrence in each of them.
     """
-    all_units = materialise(units(docs, separator, min_words), "units")
+    all_units = materialise(units(docs, separator), "units")
     rank = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "row", "unit")
     firsts = materialise(
         all_units.groupBy("hi", "lo").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
@@ -81,7 +93,7 @@ def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     row, doc, spans = spare(docs, "_row"), spare(docs, "_id"), spare(docs, "_cuts")
     cuts = removed.groupBy(F.col("row").alias(row), F.col("doc_id").alias(doc)).agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias(spans))
-    own = (F.xxhash64("doc_id", "text") == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(doc))
+    own = (row_digest() == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(doc))
     pieces = F.aggregate(
         spans, F.struct(F.lit("").alias("kept"), F.lit(0).cast("bigint").alias("at")),
         lambda acc, cut: F.struct(
@@ -96,13 +108,28 @@ def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     )
 
 
-def removal_report(removed: DataFrame) -> DataFrame:
-    """One row per text that loses units, also where ids repeat or are null: how many, and their spans by start."""
-    return removed.groupBy("row", "doc_id").agg(
-        F.count("*").alias("n_removed"), F.sum("words").alias("words_removed"),
-        F.sort_array(F.collect_list(F.struct("start", "end", "unit", "first_doc_id"))).alias("_spans"),
-    ).select(
-        "doc_id", "n_removed", "words_removed",
-        F.array_join(F.transform("_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans"),
-        F.transform("_spans", lambda s: s["first_doc_id"]).alias("first_doc_ids"),
+def removal_report(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: how many units and words go, their spans by start, and what tells
+    a shared passage from single lines: ``longest_run``, the most words in neighbouring units that go.
+
+    Rows that repeat an id and a text, or have no id, have rows of their own.
+    """
+    own = F.struct("start", "end", "unit", "words", "first_doc_id")
+    cuts = removed.groupBy(F.col("row").alias("_row")).agg(F.sort_array(F.collect_set(own)).alias("_spans"))
+    zero = F.lit(0).cast("bigint")
+    runs = F.aggregate(
+        "_spans", F.struct(zero.alias("longest"), zero.alias("run"), F.lit(-2).cast("bigint").alias("unit")),
+        lambda acc, s: _step(acc, s), lambda acc: acc["longest"])
+    words = F.aggregate("_spans", zero, lambda acc, s: acc + s["words"])
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_digest().alias("_row"))
+    return slim.join(cuts, "_row", "left").select(
+        "doc_id", F.greatest(F.size("_spans"), F.lit(0)).cast("bigint").alias("n_removed"),
+        F.coalesce(words, zero).alias("words_removed"), F.coalesce(runs, zero).alias("longest_run"),
+        F.coalesce(F.array_join(F.transform("_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ","), F.lit("")).alias("spans"),
+        F.coalesce(F.transform("_spans", lambda s: s["first_doc_id"]), F.array().cast("array<bigint>")).alias("first_doc_ids"),
     )
+
+
+def _step(acc: Column, span: Column) -> Column:
+    run = F.when(span["unit"] == acc["unit"] + 1, acc["run"]).otherwise(0) + span["words"]
+    return F.struct(F.greatest(acc["longest"], run).alias("longest"), run.alias("run"), span["unit"].alias("unit"))

@@ -247,6 +247,27 @@ def test_shards(spark, sf_dir, texts):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and set(slots) <= set(range(16))
 
 
+@pytest.mark.parametrize("shards", [1, 3, 16, 21])
+def test_one_more_shard_takes_rows_only_into_itself(spark, shards):
+    docs = spark.range(2000).selectExpr("id as doc_id", "'x' as text")
+    before, after = (rows(sharding.shard_documents(docs, n)) for n in (shards, shards + 1))
+    assert all(after[d]["shard"] == r["grown_shard"] and r["grown_shard"] in (r["shard"], shards) for d, r in before.items())
+    assert any(r["shard"] != r["grown_shard"] for r in before.values())
+
+
+def test_a_changed_weight_moves_rows_of_its_subtree_only(spark):
+    from pyspark.sql import functions as F
+
+    def tree(first, second):
+        leaf = sharding.Node
+        racks = [leaf(f"r/k{k}", w, tuple(leaf(f"r/k{k}/s{i}", 1.0, (), 3 * k + i) for i in range(3))) for k, w in ((0, first), (1, second))]
+        return leaf("root", 9 + first + second, (leaf("q", 9, tuple(leaf(f"q/s{i}", 3, (), 10 + i) for i in range(3))), leaf("r", first + second, tuple(racks))))
+
+    key = F.col("id").cast("string")
+    moves = spark.range(5000).select(sharding.place(key, tree(3, 3)).alias("a"), sharding.place(key, tree(6, 3)).alias("b")).filter("a != b").collect()
+    assert moves and all(r["a"] not in (0, 1, 2) and r["b"] in (0, 1, 2) for r in moves)
+
+
 def test_shares_follow_weights(spark):
     from pyspark.sql import functions as F
 
@@ -266,18 +287,57 @@ def test_languages(spark, sf_dir, documents):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_language_sample_is_bounded_by_row(spark, monkeypatch):
+    """Many rows of one id, copies, and tables without ids: the sample holds, and all is learned from."""
+    sizes = []
+    real = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda sample, *a: sizes.append(len(sample)) or real(sample, *a))
+    words = {"en": "the house and the garden", "de": "das Haus und der Garten wächst"}
+    for ids in ([1] * 400, [None] * 400, range(400)):
+        data = [(i, f"{words[lang]} {n if n % 4 else ''}", lang) for n, i in enumerate(ids) for lang in words]
+        docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+        got = langid.identify(docs, rows_per_label=50)
+        assert got.filter("lang_pred = 'und'").count() == 0 and sizes[-1] == 100
+        assert langid.keep_identified(docs).count() == 800
+        assert langid.keep_identified(docs, ["de"]).select("lang").distinct().collect() == [("de",)]
+    unlabelled = spark.createDataFrame([(1, "some words", None), (2, "12", None)], "doc_id bigint, text string, lang string")
+    assert [r["doc_id"] for r in langid.keep_identified(unlabelled).collect()] == [1]
+    mixed = docs.unionByName(spark.createDataFrame([(7, "der Garten und das Haus", None), (8, "?", None)], docs.schema))
+    assert [r["lang"] for r in langid.keep_identified(mixed).filter("text = 'der Garten und das Haus'").collect()] == ["de"]
+
+
+def test_one_row_of_a_group_stays_without_ids(spark):
+    text = "many words that stand in a row and make a text"
+    docs = spark.createDataFrame([(None, text)] * 3 + [(None, "another text of its own altogether here")] * 2
+                                 + [(5, "a third one with an id to keep"), (None, "a third one with an id to keep"), (None, None), (None, "")],
+                                 "doc_id bigint, text string")
+    left = simhash.keep_one_per_group(docs).collect()
+    assert sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in left) == [(0, 0), (0, 39), (0, len(text)), (5, 30)]
+
+
+def plain_units(text):
+    at = 0
+    for unit in re.sub(r"([.!?]) ", r"\1\n", text).split("\n"):
+        if unit.split():
+            yield at, at + len(unit), " ".join(unit.lower().split())
+        at += len(unit) + 1
+
+
 def test_repeated_lines(spark, sf_dir, texts):
     seen, want = set(), {}
     for doc in sorted(texts):
-        at = 0
-        for line in texts[doc].split("\n"):
-            key = " ".join(line.lower().split())
-            if len(key.split()) >= 5:
-                if key in seen:
-                    want.setdefault(doc, []).append(f"{at}:{at + len(line)}")
-                seen.add(key)
-            at += len(line) + 1
-    assert {d: r["spans"] for d, r in rows(q.op9_repeated_lines(spark, sf_dir)).items()} == {d: ",".join(v) for d, v in want.items()}
+        spans, words, run, longest = [], 0, 0, 0
+        for start, end, key in plain_units(texts[doc]):
+            if key in seen:
+                spans.append(f"{start}:{end}")
+                words, run = words + len(key.split()), run + len(key.split())
+                longest = max(longest, run)
+            else:
+                run = 0
+            seen.add(key)
+        want[doc] = (len(spans), words, longest, ",".join(spans))
+    got = {d: (r["n_removed"], r["words_removed"], r["longest_run"], r["spans"]) for d, r in rows(q.op9_repeated_lines(spark, sf_dir)).items()}
+    assert got == want
 
 
 def test_lines_are_cut(spark):
@@ -286,6 +346,19 @@ def test_lines_are_cut(spark):
     assert {r[0]: r[1] for r in left.collect()} == {1: "a b c d e\nfirst", 2: "x\ny", 3: "é a\n"}
 
 
+def test_unspaced_short_and_inner_units(spark):
+    """Lines without blanks, lines of one word, and a passage within a longer line."""
+    long, passage = "語" * 400, "One shared sentence stands here. Another one comes behind it! And a third"
+    docs = spark.createDataFrame(
+        [(1, f"{long}\nYes\nStart. {passage} ends."), (2, f"other\n{long}\nyes"), (3, f"Own words go first. {passage} stops here.")],
+        "doc_id bigint, text string")
+    got = rows(units.removal_report(docs, units.repeated_units(docs)))
+    assert [got[d]["n_removed"] for d in (1, 2, 3)] == [0, 2, 2]
+    assert [got[d]["longest_run"] for d in (1, 2, 3)] == [0, 2, 10]
+    left = units.without_units(docs, units.repeated_units(docs))
+    assert {r[0]: r[1] for r in left.collect() if r[0] > 1} == {2: "other\n", 3: "Own words go first. And a third stops here."}
+
+
 def test_leaks(spark, sf_dir, texts):
     items = {r[0]: " ".join(r[1].lower().split()) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
     want = {(d, i) for d, t in texts.items() for i, x in items.items() if x in " ".join(t.lower().split())}
@@ -321,8 +394,9 @@ def test_odd_rows_give_a_row_each(odd, empty, name):
 
 def test_odd_rows_in_lines_and_leaks(odd, empty, spark):
     # doc 2 repeats the first line of doc 1; its two rows are equal and count as one
-    cut = rows(units.removal_report(units.repeated_units(odd)))
-    assert set(cut) == {2} and units.repeated_units(empty).count() == 0
+    cut = units.removal_report(odd, units.repeated_units(odd)).collect()
+    assert sorted((r["doc_id"], r["spans"]) for r in cut if r["n_removed"]) == [(2, "0:48"), (2, "0:48")]
+    assert len(cut) == odd.count() and units.removal_report(empty, units.repeated_units(empty)).count() == 0
     bench = spark.createDataFrame([(1, "Wörter sind hier und dort zu lesen wie immer"), (None, None)], "item_id bigint, text string")
     assert {r["doc_id"] for r in decontaminate.leaks(odd, bench).collect()} == {6}
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(odd, bench.limit(0)).count() == 0
