@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowharbor.runtime import field, materialise
+from rowharbor.sources.store import signature_of
 
 CHANGE = "change"
 INSERTED, UPDATED, DELETED, UNCHANGED = "inserted", "updated", "deleted", "unchanged"
@@ -15,16 +16,15 @@ COPIES = "copies"
 
 
 def row_signature(columns: Sequence[str]) -> Column:
-    """Digest of a row. Nulls are part of it: (1, null) differs from (1)."""
-    row = F.struct(*[field(c).alias(c) for c in columns])
-    return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
+    """Digest of a row in hexadecimal digits."""
+    return F.lower(F.hex(signature_of(columns)))
 
 
 def signatures(df: DataFrame, key: str) -> DataFrame:
     """Key and 32-byte digest of every row: what can be kept beside a version, to compare the next
     one with."""
     rest = [c for c in df.columns if c != key]
-    return df.select(field(key), F.unhex(row_signature(rest)).alias("signature"))
+    return df.select(field(key), signature_of(rest).alias("signature"))
 
 
 def compare_signatures(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -50,14 +50,17 @@ def delta(
     prev: DataFrame, new: DataFrame, key: str, prev_signatures: DataFrame | None = None
 ) -> DataFrame:
     """Changed rows: inserted and updated ones with their new values, deleted ones with the key
-    and nulls. Unchanged rows are left out.
+    and nulls. Unchanged rows are left out."""
+    old = signatures(prev, key) if prev_signatures is None else prev_signatures
+    return changed_rows(new, compare_signatures(old, signatures(new, key), key), key)
+
 
-    The changed keys are found first, from digests (those of the previous version may have been
-    kept), and written to scratch space; whole rows are fetched for them alone, without shuffling
+def changed_rows(new: DataFrame, judged: DataFrame, key: str) -> DataFrame:
+    """The changed rows for the changes of keys, from ``compare_signatures``.
+
+    The changed keys are written to scratch space; whole rows are fetched for them alone, without shuffling
     the table where the changed keys are few enough for Catalyst to broadcast.
     """
-    old = signatures(prev, key) if prev_signatures is None else prev_signatures
-    judged = compare_signatures(old, signatures(new, key), key)
     changed = materialise(judged.filter(F.col(CHANGE) != UNCHANGED), "changes")
     came = new.join(changed.filter(F.col(CHANGE) != DELETED), key)
     gone = changed.filter(F.col(CHANGE) == DELETED)

@@ -210,7 +210,7 @@ def ingest_files(spark, sf_dir):
     """Files of changed orders that arrive in a folder, published batch by batch."""
     root = scratch_path(spark, "ingest")
     store = DatasetStore(spark, f"{root}/store")
-    jobs.create_dataset(store, "orde-rs01", stored_orders(spark, sf_dir))
+    jobs.create_dataset(store, "orde-rs01", stored_orders(spark, sf_dir), "o_orderkey")
     arriving = incoming_orders(spark, sf_dir).repartitionByRange(4, "o_orderkey")
     write_delimited(arriving, f"{root}/incoming")
     file = PLAIN.with_options(columns=list(ORDERS), skip=1)

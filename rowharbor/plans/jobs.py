@@ -14,7 +14,7 @@ from rowharbor.operators.errors import drop_uninterpretable, split_errors
 from rowharbor.operators.geo import add_synthetic_columns
 from rowharbor.operators.shape import clean_cells, fit_names, ignore_columns, trim_stored
 from rowharbor.operators.typing import ERRORS, cast_types, field_types
-from rowharbor.runtime import field, materialise
+from rowharbor.runtime import field, fits_broadcast, materialise
 from rowharbor.sources.delimited import (
     SOURCE_COLUMNS,
     data_columns,
@@ -23,12 +23,9 @@ from rowharbor.sources.delimited import (
     usable_names,
 )
 from rowharbor.sources.sinks import write_set_aside
-from rowharbor.sources.store import DatasetStore
+from rowharbor.sources.store import SIGNATURE, DatasetStore, Layout, Version, buckets_for, digest_sum
 
-
-# Up to this many incoming rows a merge tries not to shuffle the table. Whether they are in fact
-# broadcast is left to Catalyst, by their size in bytes.
-FEW_ROWS = 1_000_000
+PART_ROWS = 2_000_000  # stored rows of a bucket that one task of a merge takes
 
 
 class PublishRefused(ValueError):
@@ -126,13 +123,16 @@ def publish_rows(
 
     Of rows with the same key the last one counts. The rows are parsed once, into scratch space;
     bad rows are skipped, set aside or refused as the control says, and the rest is merged into a
-    new version that is checked before it is published.
+    new version that is checked before it is published. Of a dataset stored by the same key, only
+    the buckets that incoming keys fall in are read and written; rows appended to a dataset without a
+    key are written alone.
     """
     method = control.action.lower()
     if batch is not None and store.has_batch(dataset_id, batch):
         return PublishResult(dataset_id, method, store.current_version(dataset_id))
     file = control.file
-    target = trim_stored(store.read(dataset_id), file)
+    base = store.published(dataset_id)
+    target = trim_stored(store.read(dataset_id, base), file)
     types = {**field_types(target), **(types or {})}
     if method == "delete":
         prepared = prepare_ids(rows, control, types, key)
@@ -146,7 +146,7 @@ def publish_rows(
     parsed = materialise(prepared, "parsed")
 
     good, bad = split_errors(parsed)
-    rows_in, errors = _tally(parsed)
+    errors = parsed.filter(F.size(ERRORS) > 0).count()
     if file.drop_uninterpretable_rows:
         good = drop_uninterpretable(parsed, file.drop_uninterpretable_rows)
     if file.set_aside_errors and set_aside and errors:
@@ -157,19 +157,27 @@ def publish_rows(
         good = last(good, key, source_order(good))
     incoming = good.select(*[field(c) for c in good.columns if c not in SOURCE_COLUMNS])
 
+    parts = None
+    if method != "replace" and key is not None and base.layout.key == (key,):
+        parts = touched_parts(base, good, key)
+        target = trim_stored(store.read(dataset_id, base, parts), file)
+    alone = method == "append" and key is None and not base.layout.key
     if method == "replace":
         merged = publish.replace(target, incoming)
+    elif alone:
+        merged = publish.append(target.limit(0), incoming)
     elif method == "delete":
-        merged = publish.delete(target, incoming, key)
-    elif method == "append":
-        merged = publish.append(target, incoming, key)
+        merged = publish.delete(*meeting(base, parts, target, incoming, key, fits_broadcast(parsed)), key)
+    elif key is None:
+        merged = publish.append(target, incoming)
     else:
-        few = rows_in <= FEW_ROWS
-        merged = publish.upsert(target, incoming, key, few=few)
+        few = fits_broadcast(parsed)
+        merged = publish.upsert(*meeting(base, parts, target, incoming, key, few), key, few=few)
 
-    version, sent = store.stage(merged, dataset_id)
-    counts = _written_actions(store, dataset_id, version)
-    deleted = target.count() - sent.rows if method == "delete" else 0
+    version, sent = store.stage(merged, dataset_id, parts=parts, append=alone)
+    counts = _written_actions(store, dataset_id, version) if sent.rows else {}
+    before = sum(base.rows if parts is None else [base.rows[i] for i in parts])
+    deleted = before - sent.rows if method == "delete" else 0
     store.publish(dataset_id, version, sent, batch)
     return PublishResult(
         dataset_id, method, version,
@@ -177,15 +185,34 @@ def publish_rows(
     )
 
 
-def _tally(parsed: DataFrame) -> tuple[int, int]:
-    """Rows and bad rows."""
-    seen = parsed.agg(F.count(F.lit(1)), F.count_if(F.size(ERRORS) > 0)).first()
-    return seen[0], seen[1]
+def touched_parts(base: Version, rows: DataFrame, key: str) -> list[int]:
+    """The buckets that the keys of ``rows`` fall in; a number for each at most."""
+    stored = field(key).try_cast(base.schema[key].dataType)
+    found = rows.select(base.layout.bucket([stored]).alias("part")).distinct()
+    return sorted(r[0] for r in found.collect())
+
+
+def meeting(
+    base: Version, parts: list[int] | None, target: DataFrame, incoming: DataFrame, key: str, few: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a merge by buckets, partitioned alike by the key.
+
+    The number of partitions is a multiple of the number of buckets, so the one shuffle of the
+    merge also leaves the rows of a bucket in few tasks, to be written as they are. Where the
+    incoming rows are few, the stored ones are not shuffled.
+    """
+    if parts is None or few:
+        return target, incoming
+    largest = max((base.rows[i] for i in parts), default=0)
+    number = base.layout.buckets * -(-max(1, largest) // PART_ROWS)
+    first = incoming.columns[0] if key not in incoming.columns else key
+    as_stored = incoming.withColumn(first, field(first).try_cast(base.schema[key].dataType))
+    return target.repartition(number, field(key)), as_stored.repartition(number, field(first))
 
 
 def _written_actions(store: DatasetStore, dataset_id: str, version: int) -> dict[str, int]:
     """What happened, counted from the one written column that says so."""
-    written = store.read_version(dataset_id, version).groupBy(field(publish.ACTION)).count()
+    written = store.read_staged(dataset_id, version).groupBy(field(publish.ACTION)).count()
     return {r[0]: r[1] for r in written.collect()}  # a handful of actions
 
 
@@ -214,9 +241,10 @@ def replace_by_delta(
     """Make a dataset equal to ``new``, reporting only what changed. Without a key, equal rows
     count by their copies. With one, the last row of a repeated key counts, by ``order`` or as the
     rows are read; rows without a key are errors and left out."""
-    prev = store.read(dataset_id)
+    base = store.published(dataset_id)
+    prev = store.read(dataset_id, base)
     shaped = new.select(*[field(c) for c in prev.columns])
-    errors = 0
+    errors, parts = 0, None
     if key is not None:
         at = F.monotonically_increasing_id() if order is None else order
         staged = materialise(
@@ -225,7 +253,10 @@ def replace_by_delta(
         errors = staged.filter(field(key).isNull()).count()
         last = publish.last_of_few_repeats(staged.filter(field(key).isNotNull()), key, F.col("_order"))
         shaped = materialise(last.drop("_order"), "new-by-key")
-        changes = materialise(delta.delta(prev, shaped, key), "delta")
+        changes = materialise(changed_rows(store, dataset_id, base, prev, shaped, key), "delta")
+        if base.layout.key == (key,):
+            parts = touched_parts(base, changes, key)
+            prev = store.read(dataset_id, base, parts)
         after = delta.apply_delta(prev, changes, key)
         tally = changes.groupBy(delta.CHANGE).count()
     else:
@@ -233,7 +264,7 @@ def replace_by_delta(
         after = delta.apply_delta_multiset(prev, changes)
         tally = changes.groupBy(delta.CHANGE).agg(F.sum(delta.COPIES))
     counts = {r[0]: r[1] for r in tally.collect()}  # one row per kind of change
-    version, sent = store.stage(after, dataset_id)
+    version, sent = store.stage(after, dataset_id, parts=parts)
     store.publish(dataset_id, version, sent)
     return PublishResult(
         dataset_id, "replace", version, counts.get(delta.INSERTED, 0),
@@ -241,10 +272,54 @@ def replace_by_delta(
     )
 
 
-def create_dataset(store: DatasetStore, dataset_id: str, rows: DataFrame) -> int:
-    """First version of a dataset."""
+def changed_rows(
+    store: DatasetStore, dataset_id: str, base: Version, prev: DataFrame, new: DataFrame, key: str
+) -> DataFrame:
+    """``delta.delta`` of the stored rows and ``new``.
+
+    Where signatures are stored, the stored rows are not read: the digests of the buckets of ``new`` are
+    compared with the stored ones first, and signatures only in buckets that differ.
+    """
+    layout = base.layout
+    if layout.key != (key,) or not layout.signed:
+        return delta.delta(prev, new, key)
+    typed = new.withColumn(key, field(key).cast(base.schema[key].dataType))
+    signed = materialise(
+        delta.signatures(typed, key).withColumn("_part", layout.bucket()).withColumnRenamed("signature", SIGNATURE), "signed"
+    )
+    now = {r[0]: int(r[1]) for r in signed.groupBy("_part").agg(digest_sum([key])).collect()}  # one row per bucket
+    unlike = [i for i in range(layout.buckets) if now.get(i) != base.digests[i]]
+    here = signed.filter(F.col("_part").isin(unlike)).select(field(key), field(SIGNATURE).alias("signature"))
+    old = store.read_signatures(dataset_id, base, unlike).withColumnRenamed(SIGNATURE, "signature")
+    return delta.changed_rows(typed, delta.compare_signatures(old, here, key), key)
+
+
+def version_changes(store: DatasetStore, dataset_id: str, older: int, newer: int) -> DataFrame:
+    """``(key, change)`` between two versions of a signed dataset, for the keys that changed. Buckets
+    that both versions share, or whose digests are equal, are not read."""
+    old, new = store.version(dataset_id, older), store.version(dataset_id, newer)
+    if old is None or new is None:
+        raise LookupError(f"'{dataset_id}' has no version {older if old is None else newer}")
+    unlike, (key,) = old.parts_unlike(new), old.layout.key
+    was, now = (store.read_signatures(dataset_id, v, unlike).withColumnRenamed(SIGNATURE, "signature") for v in (old, new))
+    changes = delta.compare_signatures(was, now, key)
+    return changes.filter(F.col(delta.CHANGE) != delta.UNCHANGED)
+
+
+def create_dataset(
+    store: DatasetStore, dataset_id: str, rows: DataFrame, key: str | None = None,
+    buckets: int | None = None, signed: bool = False,
+) -> int:
+    """First version of a dataset. With a ``key``, a row identifier, it is stored by buckets of that, so
+    that merges write only what they touch; ``signed`` keeps a digest of every row, so that a replace
+    by changes reads only what may differ."""
     store.register(dataset_id)
-    version, sent = store.stage(rows, dataset_id)
+    layout = Layout()
+    if key is not None:
+        layout = Layout((key,), buckets or buckets_for(rows.count()), signed)
+    number = layout.buckets if key is not None else 0
+    shaped = rows.repartition(number, field(key)) if number else rows
+    version, sent = store.stage(shaped, dataset_id, layout)
     store.publish(dataset_id, version, sent)
     return version
 

@@ -451,9 +451,9 @@ def copy_upsert(spark, sf_dir):
     return drop_system_columns(copy_data(source, sink, "o_orderkey"))
 
 
-def store_with_orders(spark, sf_dir):
+def store_with_orders(spark, sf_dir, signed=False):
     store = DatasetStore(spark, scratch_path(spark, "store"))
-    jobs.create_dataset(store, "orde-rs01", stored_orders(spark, sf_dir))
+    jobs.create_dataset(store, "orde-rs01", stored_orders(spark, sf_dir), "o_orderkey", signed=signed)
     return store
 
 
@@ -494,11 +494,31 @@ def run_log_of_publish(spark, sf_dir):
 @query(f"WITH {_NEW_SQL} SELECT * FROM fresh")
 def replace_by_changes(spark, sf_dir):
     """A replace whose changes are found first and reported, as a whole job."""
-    store = store_with_orders(spark, sf_dir)
+    store = store_with_orders(spark, sf_dir, signed=True)
     jobs.replace_by_delta(store, "orde-rs01", fresh_orders(spark, sf_dir), "o_orderkey")
     return store.read("orde-rs01")
 
 
+@query(f"""
+WITH {STORED_SQL}, {INCOMING_SQL}, touched AS (
+  SELECT i.o_orderkey, CASE WHEN s.o_orderkey IS NULL THEN 'inserted' ELSE 'updated' END AS change,
+         s.o_orderkey IS NOT NULL AND s.o_orderstatus IS NOT DISTINCT FROM coalesce(i.o_orderstatus, s.o_orderstatus)
+         AND s.o_custkey IS NOT DISTINCT FROM coalesce(i.o_custkey, s.o_custkey)
+         AND s.o_totalprice IS NOT DISTINCT FROM coalesce(i.o_totalprice, s.o_totalprice)
+         AND s.o_orderdate IS NOT DISTINCT FROM coalesce(i.o_orderdate, s.o_orderdate)
+         AND s.o_orderpriority IS NOT DISTINCT FROM coalesce(i.o_orderpriority, s.o_orderpriority) AS same
+  FROM incoming i LEFT JOIN stored s ON s.o_orderkey = i.o_orderkey
+)
+SELECT o_orderkey, change FROM touched WHERE NOT same
+""")
+def version_changes(spark, sf_dir):
+    """The keys that an upsert of a file really changed, from the signatures kept beside two versions."""
+    store = store_with_orders(spark, sf_dir, signed=True)
+    path = as_delimited(incoming_orders(spark, sf_dir), "incoming")
+    jobs.publish_file(store, "orde-rs01", path, generate_control("incoming.csv", "upsert"), ORDERS, "o_orderkey")
+    return jobs.version_changes(store, "orde-rs01", 1, 2)
+
+
 def _repeating_orders(spark, sf_dir):
     """Every order; open ones come again with another priority, pending ones without their key."""
     orders = table(spark, sf_dir, "orders")
@@ -510,7 +530,7 @@ def _repeating_orders(spark, sf_dir):
 
 def _replace_repeating(spark, sf_dir):
     store = DatasetStore(spark, scratch_path(spark, "store"))
-    jobs.create_dataset(store, "orde-rs01", table(spark, sf_dir, "orders"))
+    jobs.create_dataset(store, "orde-rs01", table(spark, sf_dir, "orders"), "o_orderkey", signed=True)
     rows = _repeating_orders(spark, sf_dir)
     return store, jobs.replace_by_delta(store, "orde-rs01", rows, "o_orderkey", F.col("at"))
 

@@ -59,3 +59,11 @@ def join_splits(rows: DataFrame, splits: DataFrame, keys: list[str]) -> DataFram
     """Attach a materialised one-row-per-split table to the rows of the splits."""
     small = splits.count() <= SPLITS_TO_BROADCAST  # read from file footers
     return rows.join(F.broadcast(splits) if small else splits, keys, "left")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark would send a written table whole to every task, by its size in bytes."""
+    session = df.sparkSession._jsparkSession
+    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= int(str(limit))
