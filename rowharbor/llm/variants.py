@@ -79,20 +79,20 @@ def word_counts(docs: DataFrame, least: int = 7, every: int = 31) -> DataFrame:
 
 
 def rare_grams(words: DataFrame) -> DataFrame:
-    """``word, start, size`` of the grams of each word that ``LIST`` places or fewer share."""
-    rare, frequent = [], None
+    """``word, start, size`` of the grams of each word that ``LIST`` places or fewer share.
+
+    Each level shuffles the places that are still open once, to their counts; the dictionary grows with
+    the vocabulary, so it is never broadcast, whatever its size.
+    """
+    out, at = None, words.select("word", F.explode(F.sequence(F.lit(1), F.length("word") + (3 - SHORTEST))).alias("start"))
     for size in range(SHORTEST, LONGEST + 1):
-        at = words.select("word", F.concat(F.lit("^"), "word", F.lit("$")).alias("_w"))
-        at = at.select("word", "_w", F.explode(F.sequence(F.lit(1), F.length("_w") - (size - 1))).alias("start"))
-        if frequent is not None:
-            at = at.withColumn("gram", F.expr(f"substring(_w, start, {size - 1})")).join(frequent, "gram", "left_semi")
-        at = at.withColumn("gram", F.expr(f"substring(_w, start, {size})"))
-        frequent = materialise(at.groupBy("gram").agg(F.count("*").alias("_n")).filter(F.col("_n") > LIST).select("gram"),
-                               f"grams-{size}")
-        rare.append(at.join(frequent, "gram", "left_anti").select("word", "start", F.lit(size).alias("size")))
-    out = rare[0]
-    for more in rare[1:]:
-        out = out.unionAll(more)
+        at = at.withColumn("gram", F.substring(F.concat(F.lit("^"), "word", F.lit("$")), F.col("start"), F.lit(size)))
+        frequent = at.groupBy("gram").agg(F.count("*").alias("_n")).filter(F.col("_n") > LIST)
+        told = materialise(at.join(frequent.hint("merge"), "gram", "left").select("word", "start", F.col("_n").isNotNull().alias("more")),
+                           f"grams-{size}")
+        rare = told.filter("not more").select("word", "start", F.lit(size).alias("size"))
+        out = rare if out is None else out.unionAll(rare)
+        at = told.filter(F.col("more") & (F.col("start") + size <= F.length("word") + 2)).select("word", "start")
     return out
 
 
