@@ -73,20 +73,39 @@ def changed_rows(new: DataFrame, judged: DataFrame, key: str) -> DataFrame:
     )
 
 
+def row_digests(df: DataFrame) -> list[Column]:
+    """128 bits of a row as two numbers; nulls count by their place, and so does the order of columns."""
+    same = [field(f.name) + F.lit(0.0).cast(f.dataType) if f.dataType.typeName() in ("double", "float") else field(f.name)
+            for f in df.schema.fields]  # -0.0 equals 0.0
+    nulls = F.array_compact(F.array(*[F.when(field(c).isNull(), F.lit(i)) for i, c in enumerate(df.columns)]))
+    return [F.xxhash64(*same, nulls).alias("_d1"), F.xxhash64(F.lit(1), nulls, *same[::-1]).alias("_d2")]
+
+
+def changed_digests(prev: DataFrame, new: DataFrame) -> DataFrame:
+    """``_d1, _d2, _net``: the digests of which one table has more copies than the other. Only digests
+    are shuffled, one per task and digest."""
+    both = new.select(*row_digests(new), F.lit(1).alias("_n")).unionByName(
+        prev.select(*[field(c) for c in new.columns]).select(*row_digests(new), F.lit(-1).alias("_n"))
+    )
+    return both.groupBy("_d1", "_d2").agg(F.sum("_n").alias("_net")).filter(F.col("_net") != 0)
+
+
 def delta_multiset(prev: DataFrame, new: DataFrame) -> DataFrame:
     """Changes between two tables without a key: each distinct row with how many copies came
     (``inserted``) or went (``deleted``).
 
-    One aggregate over both tables with map-side combine, so a row repeated any number of times
-    shuffles as one row per task. Copies stay a count (see ``expand_copies``).
+    Copies are counted by digest, with map-side combine, so a row repeated any number of times
+    shuffles as one digest per task. The digests whose counts differ are written to scratch space, and rows are
+    fetched for them alone: unchanged rows are not shuffled where those digests are few enough for
+    Catalyst to broadcast. Copies stay a count (see ``expand_copies``).
     """
     columns = new.columns
-    signed = new.select("*", F.lit(1).alias("_n")).unionByName(
-        prev.select(*[field(c) for c in columns], F.lit(-1).alias("_n"))
-    )
-    net = signed.groupBy(*[field(c) for c in columns]).agg(F.sum("_n").alias("_net"))
-    return net.filter(F.col("_net") != 0).select(
-        *[field(c) for c in columns],
+    net = materialise(changed_digests(prev, new), "digests")
+    either = new.unionByName(prev.select(*[field(c) for c in columns]))
+    met = either.select("*", *row_digests(new)).join(net, ["_d1", "_d2"])
+    one = met.groupBy("_d1", "_d2", "_net").agg(F.first(F.struct(*[field(c) for c in columns])).alias("_row"))
+    return one.select(
+        *[F.col("_row").getField(c).alias(c) for c in columns],
         F.when(F.col("_net") > 0, INSERTED).otherwise(DELETED).alias(CHANGE),
         F.abs("_net").alias(COPIES),
     )
@@ -121,14 +140,19 @@ def apply_delta(prev: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 
 def apply_delta_multiset(prev: DataFrame, changes: DataFrame) -> DataFrame:
-    """The new version of a table without a key."""
+    """The new version of a table without a key. Rows that don't change pass by; only copies of
+    changed rows are counted and written out anew."""
     columns = prev.columns
     by = F.when(F.col(CHANGE) == INSERTED, F.col(COPIES)).otherwise(-F.col(COPIES))
-    counted = prev.select("*", F.lit(1).cast("bigint").alias("_n")).unionByName(
-        changes.select(*[field(c) for c in columns], by.alias("_n"))
-    )
-    left = counted.groupBy(*[field(c) for c in columns]).agg(F.sum("_n").alias(COPIES))
-    return expand_copies(left.filter(F.col(COPIES) > 0))
+    judged = changes.select(*[field(c) for c in columns], by.cast("bigint").alias("_n"))
+    changed = materialise(judged.select(*row_digests(prev), "_n", F.struct(*[field(c) for c in columns]).alias("_row")), "changed")
+    signed = prev.select("*", *row_digests(prev))
+    keys = changed.select("_d1", "_d2")
+    kept = signed.join(keys, ["_d1", "_d2"], "left_anti").select(*[field(c) for c in columns])
+    had = signed.join(keys, ["_d1", "_d2"], "left_semi").groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_had"))
+    left = changed.join(had, ["_d1", "_d2"], "left").withColumn(COPIES, F.col("_n") + F.coalesce("_had", F.lit(0)))
+    again = left.filter(F.col(COPIES) > 0).select(*[F.col("_row").getField(c).alias(c) for c in columns], COPIES)
+    return kept.unionByName(expand_copies(again))
 
 
 def latest_snapshot(listing: DataFrame) -> DataFrame:

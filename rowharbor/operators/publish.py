@@ -89,6 +89,33 @@ def last_of_few_repeats(
     return once.unionByName(again)
 
 
+def last_positions(staged: DataFrame, key: str | Sequence[str], position: str) -> DataFrame:
+    """``key, _last`` of the keys that repeat: their greatest position, a ``bigint`` that no two rows share.
+
+    A hash aggregate of numbers with map-side combine: nothing is sorted, and no row but its key and
+    position is shuffled.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    seen = staged.groupBy(*[field(k) for k in keys]).agg(
+        F.max(field(position)).alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    return seen.filter(F.col("_n") > 1).select(*[field(k) for k in keys], "_last")
+
+
+def last_by_position(staged: DataFrame, key: str | Sequence[str], position: str) -> DataFrame:
+    """The last row of each key, by ``position``, without that column. Keys are not null.
+
+    Rows are looked up for repeated keys only; all others pass by unshuffled where Catalyst can
+    broadcast the repeated keys, which are written out so that their size is known. Pass staged
+    rows: they are read twice.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    repeated = materialise(last_positions(staged, keys, position), "repeated")
+    met = staged.join(repeated, keys, "left")
+    last = met.filter(F.col("_last").isNull() | (F.col("_last") == field(position)))
+    return last.select(*[field(c) for c in staged.columns if c != position])
+
+
 def upsert(
     target: DataFrame,
     incoming: DataFrame,

@@ -145,7 +145,7 @@ def publish_layers(spark, sf_dir):
     uid = F.concat(F.col("dataset_id").cast("string"), F.lit("/"), F.col("layer"))
     store = DatasetStore(spark, scratch_path(spark, "store"))
     stored = orders.filter(F.col("o_orderstatus") != "O").select("dataset_id", uid.alias("uid"), "feature")
-    jobs.create_dataset(store, "laye-rs01", stored)
+    jobs.create_layers(store, "laye-rs01", stored)
     scanned = orders.filter(F.col("o_orderstatus") == "O").drop("o_orderstatus")
     jobs.replace_layers(store, "laye-rs01", scanned, existing_layers(spark, sf_dir))
     return store.read("laye-rs01")

@@ -19,12 +19,13 @@ from rowharbor.sources.delimited import (
     SOURCE_COLUMNS,
     data_columns,
     scan_delimited,
-    source_order,
     usable_names,
+    with_position,
 )
 from rowharbor.sources.sinks import write_set_aside
 from rowharbor.sources.store import SIGNATURE, DatasetStore, Layout, Version, buckets_for, digest_sum
 
+POSITION = "_position"
 PART_ROWS = 2_000_000  # stored rows of a bucket that one task of a merge takes
 
 
@@ -152,9 +153,7 @@ def publish_rows(
     if file.set_aside_errors and set_aside and errors:
         write_set_aside(bad, set_aside)
     if key is not None:
-        # a replace is not shuffled afterwards, a merge is: there the shuffle serves both
-        last = publish.last_of_few_repeats if method == "replace" else publish.last_by_key
-        good = last(good, key, source_order(good))
+        good = publish.last_by_position(with_position(good, POSITION), key, POSITION)
     incoming = good.select(*[field(c) for c in good.columns if c not in SOURCE_COLUMNS])
 
     parts = None
@@ -357,14 +356,43 @@ def port_dataset(
     )
 
 
+LAYER = ("dataset_id", "uid")
+
+
+def create_layers(store: DatasetStore, dataset_id: str, rows: DataFrame, buckets: int | None = None) -> int:
+    """First version of a geographic dataset, stored by buckets of its layers."""
+    store.register(dataset_id)
+    layout = Layout(LAYER, buckets or buckets_for(rows.count()))
+    version, sent = store.stage(rows.repartition(layout.buckets, *LAYER), dataset_id, layout)
+    store.publish(dataset_id, version, sent)
+    return version
+
+
 def replace_layers(
     store: DatasetStore, dataset_id: str, features: DataFrame, existing: DataFrame
 ) -> int:
-    """Replace the layers of a geographic dataset by those of a scanned file."""
-    file_layers = features.select("dataset_id", "layer").distinct()
+    """Replace the layers of a geographic dataset by those of a scanned file.
+
+    The features are scanned once. Of a dataset stored by layers, only the buckets of layers that go
+    or come are read and written; files of other layers stay as they are, and so do the rows that
+    readers of the old version see.
+    """
+    scanned = materialise(features, "features")
+    file_layers = scanned.select("dataset_id", "layer").distinct()
     mapping = materialise(layers.map_layers(file_layers, existing), "layers")
-    target = store.read(dataset_id)
-    version, sent = store.stage(layers.replace_layers(target, features, mapping), dataset_id)
+    base = store.published(dataset_id)
+    parts = None
+    if base.layout.key == LAYER:
+        uids = mapping.select("dataset_id", "uid").unionByName(
+            layers.apply_layer_map(file_layers, mapping)
+            .select("dataset_id", F.coalesce("replaces", "layer").alias("uid"))
+        )
+        typed = uids.select(*[field(c).cast(base.schema[c].dataType).alias(c) for c in LAYER])
+        parts = sorted(r[0] for r in typed.select(base.layout.bucket()).distinct().collect())
+    replaced = layers.replace_layers(store.read(dataset_id, base, parts), scanned, mapping)
+    if parts is not None:
+        replaced = replaced.repartition(base.layout.buckets, *LAYER)
+    version, sent = store.stage(replaced, dataset_id, parts=parts)
     store.publish(dataset_id, version, sent)
     return version
 

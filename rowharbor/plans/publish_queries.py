@@ -14,7 +14,7 @@ from rowharbor.plans import jobs
 from rowharbor.plans.registry import as_delimited, in_order, query, table
 from rowharbor.plans.scan_queries import ORDERS, PLAIN
 from rowharbor.runtime import materialise, scratch_path
-from rowharbor.sources.delimited import scan_delimited, with_record_no
+from rowharbor.sources.delimited import scan_delimited, with_position, with_record_no
 from rowharbor.sources.sinks import (
     append_run_log,
     read_run_log,
@@ -207,6 +207,17 @@ def last_of_few_repeats(spark, sf_dir):
     return publish.last_of_few_repeats(lines, ["l_orderkey", "l_linenumber"], order)
 
 
+@query(_LAST_LINES_SQL)
+def last_write_wins_scan(spark, sf_dir):
+    """Repeated keys of a file: the record that stands last counts."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_LINE_ORDER)
+    path = as_delimited(lines.repartitionByRange(4, *_LINE_ORDER).sortWithinPartitions(*_LINE_ORDER), "lines")
+    kinds = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
+    staged = materialise(scan_delimited(spark, path, PLAIN), "lines-scanned")
+    last = publish.last_by_position(with_position(staged, "_at"), ["l_orderkey", "l_linenumber"], "_at")
+    return last.select(*[F.col(c).cast(kinds[c]).alias(c) for c in table(spark, sf_dir, "lineitem").columns])
+
+
 def _actions(spark, sf_dir):
     """Damaged orders against the stored ones."""
     numbered = with_record_no(damaged_orders(spark, sf_dir), whole_folder=True)

@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Most splits whose one-row-per-split table is sent to every task: a path and two numbers each,
-# some 200 MB at most. At 128 MB a split this is 64 TB in one scan; larger ones are joined by shuffle.
-SPLITS_TO_BROADCAST = 500_000
+# Bytes up to which a written table of one row per split or file is sent to every task; a larger one is
+# joined by shuffle.
+BYTES_TO_BROADCAST = 64 << 20
 
 
 _own_folders: dict[str, str] = {}
@@ -55,15 +55,18 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_splits(rows: DataFrame, splits: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach a materialised one-row-per-split table to the rows of the splits."""
-    small = splits.count() <= SPLITS_TO_BROADCAST  # read from file footers
-    return rows.join(F.broadcast(splits) if small else splits, keys, "left")
+def written_bytes(df: DataFrame) -> int:
+    """Size of a table that was written, as Catalyst knows it from the files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark would send a written table whole to every task, by its size in bytes."""
-    session = df.sparkSession._jsparkSession
-    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= int(str(limit))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return written_bytes(df) <= int(str(limit))
+
+
+def join_splits(rows: DataFrame, splits: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach a materialised one-row-per-split table to the rows of the splits."""
+    small = written_bytes(splits) <= BYTES_TO_BROADCAST
+    return rows.join(F.broadcast(splits) if small else splits, keys, "left")

@@ -59,11 +59,6 @@ def data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in SOURCE_COLUMNS and c != "_errors"]
 
 
-def source_order(df: DataFrame) -> Column:
-    """Sort key of the records of a scan."""
-    return F.struct(*[c for c in (SRC_TIME, SRC_FILE, SRC_BLOCK, SRC_POS) if c in df.columns])
-
-
 def _separator(control: FileControl) -> str:
     return control.separator or ","
 
@@ -167,13 +162,8 @@ def scan_delimited(
     )
     df = _with_source(read, [*names, CORRUPT])
     if lead > 1 or not compared:
-        numbered = with_record_no(df)
-        leads = F.col(RECORD_NO) < lead
-        if shared:
-            is_header = F.col(RECORD_NO) == lead - 1
-            fits = _is_header([field(n) for n in names], F.col(CORRUPT), shared)
-            leads = F.when(is_header & ~fits, _differs(F.col(SRC_FILE))).otherwise(leads)
-        df = numbered.filter(~leads).drop(RECORD_NO)
+        fits = _is_header([field(n) for n in names], F.col(CORRUPT), shared) if shared else None
+        df = drop_leading(df, lead, fits)
     return df
 
 
@@ -345,6 +335,46 @@ def with_record_no(
     )
 
 
+def with_position(staged: DataFrame, name: str) -> DataFrame:
+    """Adds the place of each record among all records of a staged scan, files in the order of their
+    times and names: one number, so that the last of several records is found without sorting."""
+    order = [c for c in (SRC_TIME, SRC_FILE, SRC_BLOCK) if c in staged.columns]
+    at = [SRC_FILE, SRC_BLOCK]
+    times = [F.min(SRC_TIME).alias(SRC_TIME)] if SRC_TIME in order else []
+    splits = materialise(
+        staged.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"), F.min(SRC_POS).alias("_first"), *times), "splits"
+    )
+    # a window over one row per split, not per record
+    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    shift = splits.select(
+        *at, (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
+    )
+    joined = join_splits(staged, materialise(shift, "shift"), at)
+    return joined.select(*[field(c) for c in staged.columns], (F.col(SRC_POS) + F.col("_shift")).alias(name))
+
+
+def drop_leading(df: DataFrame, lead: int, check: Column | None = None) -> DataFrame:
+    """The scan without the first ``lead`` records of each file.
+
+    They stand in a file's first split, so one small row per file, of where that split begins, is all
+    that is joined: the records themselves are not staged. Spark plans the splits of a listing alike each time.
+    Where a first split holds fewer records, all records are numbered. ``check`` looks at each last leading
+    record, and fails the scan unless it is true.
+    """
+    first = df.filter(F.col(SRC_BLOCK) == 0)
+    heads = materialise(
+        first.groupBy(SRC_FILE).agg(F.min(SRC_POS).alias("_first"), F.count(F.lit(1)).alias("_n")), "heads"
+    )
+    if heads.filter(F.col("_n") <= lead).isEmpty():
+        met = join_splits(df, heads, [SRC_FILE]).withColumn("_at", F.when(F.col(SRC_BLOCK) == 0, F.col(SRC_POS) - F.col("_first")))
+    else:
+        met = with_record_no(df).withColumnRenamed(RECORD_NO, "_at")
+    leads = F.coalesce(F.col("_at") < lead, F.lit(False))
+    if check is not None:
+        leads = F.when((F.col("_at") == lead - 1) & ~check, _differs(F.col(SRC_FILE))).otherwise(leads)
+    return met.filter(~leads).select(*[field(c) for c in df.columns])
+
+
 def blank_row(columns: Sequence[str]) -> Column:
     """True for a record with nothing in any cell."""
     empty = F.lit(True)

@@ -36,6 +36,19 @@ def test_multiset_round_trip(spark):
     assert same(delta.apply_delta_multiset(prev, delta.delta_multiset(prev, new)), new)
 
 
+def test_multiset_counts_copies_like_a_group_by(spark):
+    """Nulls in different places, signed zeros, and rows of equal values in other columns."""
+    cols = "a int, b int, x double"
+    prev = spark.createDataFrame([(1, None, 0.0), (None, 1, 0.0), (1, 1, -0.0), (1, 1, 0.0), (2, 2, 1.0)], cols)
+    new = spark.createDataFrame([(None, 1, 0.0), (None, 1, 0.0), (1, 1, 0.0), (1, 1, 0.0), (2, 2, float("nan"))], cols)
+    got = sorted(map(str, delta.delta_multiset(prev, new).select("a", "b", "change", "copies").collect()))
+    assert got == sorted(map(str, spark.createDataFrame(
+        [(1, None, "deleted", 1), (None, 1, "inserted", 1), (2, 2, "deleted", 1), (2, 2, "inserted", 1)],
+        "a int, b int, change string, copies bigint").collect()))
+    after = delta.apply_delta_multiset(prev, delta.delta_multiset(prev, new))
+    assert after.count() == 5 and delta.delta_multiset(after, new).count() == 0
+
+
 def test_hot_row_stays_one_row(spark):
     """A row repeated very often is one counted row, and expands in chunks."""
     new = spark.range(250_000).select(F.lit(1).alias("a"))
@@ -92,6 +105,16 @@ def test_last_by_key_with_a_hot_key(spark):
     assert got.filter("k = -1").first().n == 99_999
 
 
+def test_last_by_position(spark):
+    from rowharbor.operators.publish import last_by_position
+
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"), F.lit("x").alias("v")
+    )
+    got = last_by_position(rows.withColumn("at", F.col("n")), "k", "at")
+    assert got.columns == ["k", "n", "v"] and got.count() == 66_667 and got.filter("k = -1").first().n == 99_999
+
+
 def test_replace_by_changes_with_repeated_and_null_keys(spark, tmp_path):
     from rowharbor.plans import jobs
     from rowharbor.sources.store import DatasetStore

@@ -66,10 +66,40 @@ def test_delta_shuffles_digests_of_the_old_side(spark, sf_dir, shuffled):
     assert count(got, "SortMergeJoin.*FullOuter") == 1 and count(got, "Exchange") <= 2
 
 
-def test_multiset_delta_is_one_aggregate(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber")
-    got = delta.delta_multiset(lines, lines)
-    assert count(got, "Exchange") == 1 and "partial_sum" in plan(got) and "Join" not in plan(got)
+def test_multiset_delta_shuffles_digests_and_changed_rows_only(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    counted = delta.changed_digests(lines, lines.filter("l_linenumber > 1"))
+    assert count(counted, "Exchange") == 1 and "partial_sum" in plan(counted)
+    assert "l_shipdate" not in re.search(r"Exchange hashpartitioning.*", plan(counted))[0]
+    got = delta.delta_multiset(lines, lines.filter("l_orderkey <> 1"))
+    # whole rows meet the few changed digests by broadcast, before they are shuffled
+    assert count(got, "BroadcastHashJoin.*Inner") >= 1 and "SortMergeJoin" not in plan(got)
+    assert count(got, "Exchange hashpartitioning") == 1
+    assert plan(got).index("Exchange hashpartitioning") < plan(got).index("BroadcastHashJoin")
+
+
+def test_last_by_position_is_a_hash_aggregate(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumn("at", F.monotonically_increasing_id())
+    found = publish.last_positions(lines, ["l_orderkey", "l_linenumber"], "at")
+    assert count(found, "HashAggregate") == 2 and "SortAggregate" not in plan(found) and "Sort " not in plan(found)
+    assert count(found, "Exchange") == 1 and "l_shipdate" not in plan(found)
+    rows = publish.last_by_position(lines, ["l_orderkey", "l_linenumber"], "at")
+    assert "Aggregate" not in plan(rows) and "Exchange hashpartitioning" not in plan(rows)
+
+
+def test_leading_records_are_dropped_without_staging(spark, tmp_path):
+    for n, name in enumerate("ab"):
+        (tmp_path / f"{name}.csv").write_text("note\n" * 2 + "id,v\n" + "".join(f"{i},{n}\n" for i in range(5)))
+    got = scan_delimited(spark, str(tmp_path), FileControl(separator=",", skip=2))
+    assert got.columns[:2] == ["id", "v"] and got.count() == 10
+    assert "/records-" not in plan(got) and count(got, "BroadcastHashJoin") == 1 and "hashpartitioning" not in plan(got)
+    # a first split that holds no more than the leading records
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8")
+    try:
+        small = scan_delimited(spark, str(tmp_path), FileControl(separator=",", skip=2, multi_line=False))
+        assert sorted(r["id"] for r in small.collect()) == sorted("01234" * 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_cleaning_and_typing_are_narrow_and_compiled(spark, tmp_path):

@@ -192,3 +192,19 @@ def test_layouts_are_checked(spark, store):
     with pytest.raises(PublishFailed):
         store.publish("d", version, sent)
     assert buckets_for(0) == 16 and buckets_for(20_000_000) == 32 and buckets_for(10**15) == 1 << 16
+
+
+def test_layers_that_stay_keep_their_files(spark, tmp_path):
+    """A replaced, a new and an empty-handed layer; buckets of other layers are not touched."""
+    store = DatasetStore(spark, str(tmp_path / "store"))
+    rows = [(1, f"u{i % 40}", i) for i in range(400)]
+    jobs.create_layers(store, "l", spark.createDataFrame(rows, "dataset_id int, uid string, f int"), buckets=64)
+    features = spark.createDataFrame([(1, "roads", 1000), (1, "roads", 1001), (1, "rivers", 2000)], "dataset_id int, layer string, f int")
+    existing = spark.createDataFrame([(1, "roads", "u7"), (1, "parks", "u8")], "dataset_id int, layer string, uid string")
+    jobs.replace_layers(store, "l", features, existing)
+    got = sorted((r["uid"], r["f"]) for r in store.read("l").collect())
+    assert got == sorted([(u, f) for _, u, f in rows if u != "u7"] + [("u7", 1000), ("u7", 1001), ("rivers", 2000)])
+    old, new = store.version("l", 1), store.version("l", 2)
+    changed = [i for i, (a, b) in enumerate(zip(old.folders, new.folders)) if a != b]
+    touched = spark.createDataFrame([(1, "u7"), (1, "rivers")], "dataset_id int, uid string").select(old.layout.bucket())
+    assert changed == sorted({r[0] for r in touched.collect()}) and len(changed) == 2
