@@ -2,68 +2,77 @@
 
 from __future__ import annotations
 
-import functools
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 INFINITE = float("inf")
+MOST_BITS = 62  # letters of a field name that one number holds, with room to add
+
+
+def _word(c: Column) -> Column:
+    return c.rlike(r"^[\p{L}\p{Nd}]$")
+
+
+def _lost(field_name: Column, header: Column) -> Column:
+    """Letters of the field name that the header doesn't have in this order; ``_`` is had by any
+    character that is neither letter nor digit.
 
+    A longest common subsequence with one bit for each letter of the field name: a step for each letter
+    of the header adds the bits that it has to the row of bits not reached yet.
+    """
+    n = F.length(field_name)
+    places = F.transform(F.split(field_name, ""), lambda c, i: F.struct(c.alias("c"), F.call_function("shiftleft", F.lit(1).cast("bigint"), i).alias("bit")))
+    zero, all_bits = F.lit(0).cast("bigint"), F.call_function("shiftleft", F.lit(1).cast("bigint"), n) - 1
 
-def _word(c: str) -> bool:
-    return c.isalpha() or c.isdecimal()
+    def step(row: Column, b: Column) -> Column:
+        has = F.filter(places, lambda p: (p["c"] == b) | ((p["c"] == "_") & ~_word(b)))
+        hit = row.bitwiseAND(F.aggregate(has, zero, lambda bits, p: bits.bitwiseOR(p["bit"])))
+        return (row + hit).bitwiseOR(row - hit).bitwiseAND(all_bits)
 
+    return F.bit_count(F.aggregate(F.split(header, ""), all_bits, step))
 
-# Costs of turning a header into a field name ...
-def _header_substitution(a: str, b: str) -> float:
-    if b == "_" and not _word(a):
-        return 0.1
-    return 0.1 if a.isupper() and b.islower() else 1.0
 
+def _lost_of_long(field_name: Column, header: Column) -> Column:
+    """The same for names of any length, over a row of counts."""
+    letters = F.transform(F.split(field_name, ""), lambda c, i: F.struct(c.alias("c"), i.alias("i")))
+    start = F.sequence(F.lit(0), F.length(field_name)).cast("array<int>")
 
-def _header_deletion(c: str) -> float:
-    return 1.0 if _word(c) or c == "_" else 0.1
+    def row(above: Column, b: Column) -> Column:
+        return F.aggregate(letters, F.array(F.lit(0)), lambda out, p: F.array_append(out, F.least(
+            F.element_at(out, -1) + 1, F.get(above, p["i"] + 1),
+            F.get(above, p["i"]) + F.when((p["c"] == b) | ((p["c"] == "_") & ~_word(b)), 0).otherwise(1))))
 
+    return F.element_at(F.aggregate(F.split(header, ""), start, row), -1)
 
-# ... and of turning a field name back into the header, where insertions are free.
-def _field_substitution(a: str, b: str) -> float:
-    return 0.0 if a == "_" and not _word(b) else 1.0
 
+def _cost(header: Column, field_name: Column) -> Column:
+    """Weighted edit distance, over two rows of the table at a time.
 
-def _weighted(source: str, target: str, substitution, deletion, insertion: float) -> float:
-    """Edit distance with costs, over two rows of the table."""
-    if source == target:
-        return 0.0
-    if not source or not target:
-        return float(len(source) or len(target))
-    above = [j * insertion for j in range(len(target) + 1)]
-    for a in source:
-        drop = deletion(a)
-        row = [above[0] + drop]
-        for j, b in enumerate(target):
-            change = 0.0 if a == b else substitution(a, b)
-            row.append(min(row[j] + insertion, above[j + 1] + drop, above[j] + change))
-        above = row
-    return above[-1]
+    Fixed values: 0.1 for a character that is no letter or digit where the field name has ``_`` or nothing,
+    and for a capital where it has a small letter; 1 for all other changes.
+    """
+    letters = F.transform(F.split(field_name, ""), lambda c, i: F.struct(c.alias("c"), i.alias("i"), c.rlike(r"^\p{IsLowercase}$").alias("low")))
+    first = F.transform(F.sequence(F.lit(0), F.length(field_name)), lambda j: j.cast("double"))
 
+    def row(above: Column, a: Column) -> Column:
+        drop = F.when(_word(a) | (a == "_"), 1.0).otherwise(0.1)
+        cheap, capital = ~_word(a), a.rlike(r"^\p{IsUppercase}$")
+        return F.aggregate(letters, F.array(F.get(above, F.lit(0)) + drop), lambda out, p: F.array_append(out, F.least(
+            F.element_at(out, -1) + 1.0, F.get(above, p["i"] + 1) + drop,
+            F.get(above, p["i"]) + F.when(p["c"] == a, 0.0)
+            .when(((p["c"] == "_") & cheap) | (capital & p["low"]), 0.1).otherwise(1.0))))
 
-@functools.lru_cache(maxsize=65536)
-def field_name_distance(header: str, field_name: str) -> float:
-    """Cost of reading ``header`` as ``field_name``; infinite where more than a quarter of the
-    field name would be lost or changed."""
-    lost = _weighted(field_name, header, _field_substitution, lambda c: 1.0, 0.0)
-    if lost >= len(field_name) * 0.25:
-        return INFINITE
-    return _weighted(header, field_name, _header_substitution, _header_deletion, 1.0)
+    return F.element_at(F.aggregate(F.split(header, ""), first, row), -1)
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def field_name_distances(header: pd.Series, field_names: pd.Series) -> pd.Series:
-    """Distances of one header to each field name of its dataset."""
-    return pd.Series(
-        [[field_name_distance(h, f) for f in names] for h, names in zip(header, field_names)]
+def field_name_distance(header: Column, field_name: Column) -> Column:
+    """Cost of reading ``header`` as ``field_name``; infinite where a quarter of the field name or
+    more would be lost or changed."""
+    lost = F.when(F.length(field_name) <= MOST_BITS, _lost(field_name, header)).otherwise(_lost_of_long(field_name, header))
+    never = (header == "") | (field_name == "") | ~may_be_field(header, field_name)
+    return (
+        F.when(never, INFINITE).when(header == field_name, 0.0)
+        .when(lost >= F.length(field_name) * 0.25, INFINITE).otherwise(_cost(header, field_name))
     )
 
 

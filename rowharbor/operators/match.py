@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.functions.names import (
-    INFINITE,
-    display_name_distance,
-    field_name_distances,
-    may_be_field,
-)
+from rowharbor.functions.names import INFINITE, display_name_distance, field_name_distance
 
 
 def score_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
@@ -18,30 +13,26 @@ def score_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
 
     ``headers(file_id, dataset_id, pos, name)`` meets
     ``columns(dataset_id, pos, field_name, display_name)``. Each distinct header text of a dataset
-    is scored once against the dataset's column list (as wide as the dataset, no wider), and only
-    pairs that can match at all leave that row.
+    is scored once against the dataset's column list (as wide as the dataset, no wider), with
+    built-in functions, and only pairs that can match at all leave that row.
     """
     lists = columns.groupBy("dataset_id").agg(
         F.array_sort(F.collect_list(F.struct("pos", "field_name", "display_name"))).alias("_cols")
     )
     texts = headers.select("dataset_id", "name").distinct().join(lists, "dataset_id")
-    near = texts.withColumn(
-        "_near", F.filter("_cols", lambda c: may_be_field(F.col("name"), c["field_name"]))
-    )
-    weights = F.map_from_arrays("_near.pos", field_name_distances("name", F.col("_near.field_name")))
-    weighed = near.withColumn("_weights", weights)
 
     def candidate(c: Column) -> Column:
-        by_field = F.coalesce(F.try_element_at("_weights", c["pos"]), F.lit(INFINITE))
-        by_display = display_name_distance(F.col("name"), c["display_name"])
         return F.struct(
             c["pos"].alias("column_pos"),
             c["field_name"].alias("field_name"),
-            F.least(by_field, by_display).alias("badness"),
+            F.least(
+                field_name_distance(F.col("name"), c["field_name"]),
+                display_name_distance(F.col("name"), c["display_name"]),
+            ).alias("badness"),
         )
 
     finite = F.filter(F.transform("_cols", candidate), lambda p: p["badness"] < F.lit(INFINITE))
-    scored = weighed.select("dataset_id", "name", F.inline(finite))
+    scored = texts.select("dataset_id", "name", F.inline(finite))
     return headers.withColumnRenamed("pos", "header_pos").join(scored, ["dataset_id", "name"]).select(
         "file_id", "dataset_id", "header_pos", F.col("name").alias("header"),
         "column_pos", "field_name", "badness",
@@ -53,8 +44,8 @@ def match_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
     field_name, badness)``, nulls where a header stays unmatched.
 
     The candidates of a file, a list no longer than its header times the dataset's width, are put
-    in order (badness, then header, then column) and walked through once; a pair counts unless its
-    header or its column is taken. All files are matched in one job, and their lists meet the
+    in order (badness, then header, then column; positions count from 0) and walked through once; a
+    pair counts unless the flag of its header or of its column is set. All files are matched in one job, and their lists meet the
     headers by one more join.
     """
     file = ["file_id", "dataset_id"]
@@ -63,15 +54,28 @@ def match_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(pair)).alias("_pairs")
     )
 
-    def take(taken: Column, p: Column) -> Column:
-        free = ~F.exists(
-            taken,
-            lambda t: (t["header_pos"] == p["header_pos"]) | (t["column_pos"] == p["column_pos"]),
+    def flags(name: str) -> Column:
+        widest = F.array_max(F.transform("_pairs", lambda p: p[name]))
+        return F.array_repeat(F.lit(False), widest.cast("int") + 1)
+
+    def marked(taken: Column, at: Column) -> Column:
+        return F.transform(taken, lambda x, i: x | (i == at))
+
+    def take(acc: Column, p: Column) -> Column:
+        used = F.get(acc["headers"], p["header_pos"].cast("int")) | F.get(acc["columns"], p["column_pos"].cast("int"))
+        more = F.struct(
+            marked(acc["headers"], p["header_pos"]).alias("headers"),
+            marked(acc["columns"], p["column_pos"]).alias("columns"),
+            F.array_append(acc["pairs"], p).alias("pairs"),
         )
-        return F.when(free, F.array_append(taken, p)).otherwise(taken)
+        return F.when(used, acc).otherwise(more)
 
-    start = F.filter(F.col("_pairs"), lambda p: F.lit(False))
-    matched = ranked.select(*file, F.inline(F.aggregate("_pairs", start, take)))
+    start = F.struct(
+        flags("header_pos").alias("headers"), flags("column_pos").alias("columns"),
+        F.filter(F.col("_pairs"), lambda p: F.lit(False)).alias("pairs"),
+    )
+    chosen = F.aggregate("_pairs", start, take, lambda acc: acc["pairs"])
+    matched = ranked.select(*file, F.inline(chosen))
     out = headers.select(*file, F.col("pos").alias("header_pos"), F.col("name").alias("header"))
     return out.join(matched, [*file, "header_pos"], "left").select(
         *file, "header_pos", "header", "field_name", "badness"
