@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.functions.names import INFINITE, display_name_distance, field_name_distance
+from rowharbor.functions.names import (
+    INFINITE,
+    display_name_distance,
+    field_letters,
+    field_name_distance,
+    header_letters,
+    may_be_field,
+)
+from rowharbor.runtime import materialise
 
 
 def score_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
@@ -13,26 +21,25 @@ def score_columns(headers: DataFrame, columns: DataFrame) -> DataFrame:
 
     ``headers(file_id, dataset_id, pos, name)`` meets
     ``columns(dataset_id, pos, field_name, display_name)``. Each distinct header text of a dataset
-    is scored once against the dataset's column list (as wide as the dataset, no wider), with
-    built-in functions, and only pairs that can match at all leave that row.
+    meets the dataset's columns once; of the pairs that can match at all, each distinct pair of texts of
+    all datasets is scored once, with built-in functions.
     """
-    lists = columns.groupBy("dataset_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "field_name", "display_name"))).alias("_cols")
+    texts = headers.select("dataset_id", "name").distinct()
+    listed = columns.select("dataset_id", F.col("pos").alias("column_pos"), "field_name", "display_name")
+    by_display = display_name_distance(F.col("name"), F.col("display_name"))
+    met = texts.join(listed, "dataset_id").withColumn("_display", by_display)
+    met = met.filter((F.col("_display") < INFINITE) | may_be_field(F.col("name"), F.col("field_name")))
+    met = materialise(met.drop("display_name"), "pairs")
+    letters = (
+        met.select("name", "field_name").distinct()
+        .withColumn("_letters", header_letters(F.col("name"))).withColumn("_field", field_letters(F.col("field_name")))
     )
-    texts = headers.select("dataset_id", "name").distinct().join(lists, "dataset_id")
-
-    def candidate(c: Column) -> Column:
-        return F.struct(
-            c["pos"].alias("column_pos"),
-            c["field_name"].alias("field_name"),
-            F.least(
-                field_name_distance(F.col("name"), c["field_name"]),
-                display_name_distance(F.col("name"), c["display_name"]),
-            ).alias("badness"),
-        )
-
-    finite = F.filter(F.transform("_cols", candidate), lambda p: p["badness"] < F.lit(INFINITE))
-    scored = texts.select("dataset_id", "name", F.inline(finite))
+    cost = field_name_distance(F.col("name"), F.col("field_name"), F.col("_letters"), F.col("_field"))
+    costs = materialise(letters.select("name", "field_name", cost.alias("_cost")), "costs")
+    finite = costs.filter(F.col("_cost") < INFINITE)
+    badness = F.least("_display", F.coalesce("_cost", F.lit(INFINITE)))
+    scored = met.join(finite, ["name", "field_name"], "left").withColumn("badness", badness)
+    scored = scored.filter(F.col("badness") < INFINITE).drop("_display", "_cost")
     return headers.withColumnRenamed("pos", "header_pos").join(scored, ["dataset_id", "name"]).select(
         "file_id", "dataset_id", "header_pos", F.col("name").alias("header"),
         "column_pos", "field_name", "badness",
