@@ -19,6 +19,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ from rowharbor.llm.packs import squeeze, unsqueeze
 
 FOLDER = "/opt/tokenizers"
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-PACK_CHARS = 4 << 20
+PACK_CHARS = 8 << 20
 SLICE_CHARS = 1 << 20
+FRESH = 1 << 15  # new pieces that are tokenized at once
 FRAME = 1 << 13  # pairs in a zstd frame of a run
 BUCKET_PAIRS = 1 << 21  # pairs of all runs that a bucket takes
 SLICES = 64  # shares of a B id by its A ids, so that a B id in every link is spread
@@ -73,6 +75,8 @@ class Sides:
         for number in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(number)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode())
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in own], np.int64) for own in (self.a_bytes, self.b_bytes))
+        self.a_names, self.b_names = ([str(i) for i in range(len(own))] for own in (self.a_bytes, self.b_bytes))
 
     @classmethod
     def load(cls, folder: str) -> Sides:
@@ -117,25 +121,30 @@ class Segments:
                 at = number[piece] = len(number)
                 self.fresh.append(piece)
             out.append(at)
-        if self.fresh:
-            self._encode(self.fresh)
-            self.fresh = []
         return out
 
-    def _encode(self, fresh: list[str]) -> None:
+    def encode(self) -> None:
+        """Tokenize the pieces that are new, all at once."""
+        if not self.fresh:
+            return
+        fresh, self.fresh = self.fresh, []
         sides, first = self.sides, len(self.groups)
-        ids_a = [e.ids for e in sides.a.encode_batch([" " + p for p in fresh], add_special_tokens=False)]
+        whole = [" " + p for p in fresh]
+        ids_a = [e.ids for e in sides.a.encode_batch_fast(whole, add_special_tokens=False)]
         ids_b = sides.b.encode(fresh, num_threads=1)
-        for i, piece in enumerate(fresh):
-            whole = (" " + piece).encode()
-            if (b"".join([sides.a_bytes[t] for t in ids_a[i]]) != whole
-                    or b"".join([sides.b_bytes[t] for t in ids_b[i]]) != whole):
-                self.bad.add(first + i)
-                ids_a[i], ids_b[i] = [], []
+        flat_a, flat_b = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
+        body = "".join(whole).encode()
+        if body != b"".join([sides.a_bytes[t] for t in flat_a]) or body != b"".join([sides.b_bytes[t] for t in flat_b]):
+            for i, piece in enumerate(whole):
+                own = piece.encode()
+                if own != b"".join([sides.a_bytes[t] for t in ids_a[i]]) or own != b"".join([sides.b_bytes[t] for t in ids_b[i]]):
+                    self.bad.add(first + i)
+                    ids_a[i], ids_b[i] = [], []
+            flat_a, flat_b = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
         n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        flat_a, flat_b = (np.array([t for x in ids for t in x], np.int64) for ids in (ids_a, ids_b))
-        ends_a = np.cumsum(np.array([len(x) for x in sides.a_bytes], np.int64)[flat_a])
-        ends_b = np.cumsum(np.array([len(x) for x in sides.b_bytes], np.int64)[flat_b])
+        a, b = [sides.a_names[t] for t in flat_a], [sides.b_names[t] for t in flat_b]
+        flat_a, flat_b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        ends_a, ends_b = np.cumsum(sides.a_sizes[flat_a]), np.cumsum(sides.b_sizes[flat_b])
         # Between two neighbouring ends of either side lies one link; where both end, a group does.
         ends = np.union1d(ends_a, ends_b)
         both = np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -147,7 +156,6 @@ class Segments:
         n_groups = np.bincount(owner[last_a], minlength=size)
         n_links = np.bincount(owner[at_a], minlength=size)
         self.counts.append(np.stack([n_a, n_b, n_groups, n_links], 1))
-        a, b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
         texts, from_a, from_b = [], 0, 0
         for to_a, to_b in zip((last_a + 1).tolist(), (last_b + 1).tolist(), strict=True):
             texts.append(",".join(a[from_a:to_a]) + "|" + ",".join(b[from_b:to_b]))
@@ -182,23 +190,33 @@ class _Pack:
         self.ends, self.used = [], array("i")
 
     def add(self, doc: int | None, text: str) -> None:
-        segments, digest, own, good = self.segments, hashlib.sha256(), array("i"), bool(text)
         for found in pieces(text):
-            indexes = segments.indexes(found)
-            if segments.bad and not segments.bad.isdisjoint(indexes):
-                good = False
-                break
-            if own:
-                digest.update(b";")
-            digest.update(";".join([segments.groups[i] for i in indexes]).encode())
-            own.extend(indexes)
+            self.used.extend(self.segments.indexes(found))
+            if len(self.segments.fresh) > FRESH:
+                self.segments.encode()
         self.ids.append(doc)
-        if good:
-            self.used.extend(own)
-        self.sha.append(digest.hexdigest() if good else "")
         self.ends.append(len(self.used))
 
+    def _digests(self) -> None:
+        """The digest of each text's groups; texts with a piece that can't be given back lose all pieces."""
+        segments, every, start = self.segments, self.used, 0
+        self.used = array("i")
+        for i, end in enumerate(self.ends):
+            own, start = every[start:end], end
+            digest = hashlib.sha256()
+            if own and (not segments.bad or segments.bad.isdisjoint(own)):
+                for at in range(0, len(own), FRESH):
+                    digest.update((";" if at else "").encode())
+                    digest.update(";".join([segments.groups[k] for k in own[at:at + FRESH]]).encode())
+                self.used.extend(own)
+                self.sha.append(digest.hexdigest())
+            else:
+                self.sha.append("")
+            self.ends[i] = len(self.used)
+
     def batch(self, number: int) -> pa.RecordBatch:
+        self.segments.encode()
+        self._digests()
         segments, used = self.segments, np.frombuffer(self.used, np.int32)
         counts = np.concatenate(segments.counts or [np.zeros((0, 4), np.int64)])
         links = np.concatenate(segments.links or [np.zeros(0, np.int64)])
@@ -231,7 +249,8 @@ def bucket_of(pairs: np.ndarray, buckets: int) -> np.ndarray:
 def _runs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pack, packed, times in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for k in range(batch.num_rows):  # a pack at a time
+                pack, packed, times = (batch.column(i)[k].as_py() for i in range(3))
                 pairs, weight = np.cumsum(unsqueeze(packed, np.int64)), unsqueeze(times, np.int64)
                 bucket = bucket_of(pairs, buckets)
                 order = np.argsort(bucket, kind="stable")  # pairs stay in order within a bucket
@@ -311,7 +330,8 @@ def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _documents(buckets: int, top: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):  # a pack at a time
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
                 pairs, ends = np.cumsum(unsqueeze(row["pairs"], np.int64)), unsqueeze(row["doc_ends"], np.int64)
                 count = np.zeros(len(pairs), np.int64)
                 bucket = bucket_of(pairs, buckets)
