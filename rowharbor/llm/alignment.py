@@ -36,6 +36,7 @@ PACK_CHARS = 8 << 20
 SLICE_CHARS = 1 << 20
 FRESH = 1 << 15  # new pieces that are tokenized at once
 FRAME = 1 << 13  # pairs in a zstd frame of a run
+PACKS_A_TASK = 12
 BUCKET_PAIRS = 1 << 21  # pairs of all runs that a bucket takes
 SLICES = 64  # shares of a B id by its A ids, so that a B id in every link is spread
 PACK_SCHEMA = ("pack bigint, ids array<bigint>, totals binary, sha array<string>, doc_ends binary, segments binary, "
@@ -370,8 +371,12 @@ def align(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
     top = np.zeros(1 << 16, np.int64)
     for b, most in tops.groupBy("b").agg(F.max("top")).collect():
         top[b] = most
-    own = answers.filter("pack is not null").groupBy("pack").agg(F.collect_list(F.struct("bucket", "counts")).alias("answers"))
-    return packs.drop("n_pairs", "times").join(own, "pack", "left").mapInArrow(_documents(buckets, top), RESULT_SCHEMA)
+    # Packs meet their counts by shuffle at every size, in as many tasks as there are dozens of packs.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), packs.count() // PACKS_A_TASK + 1)
+    own = answers.filter("pack is not null").repartition(tasks, "pack").groupBy("pack").agg(
+        F.collect_list(F.struct("bucket", "counts")).alias("answers"))
+    met = packs.drop("n_pairs", "times").repartition(tasks, "pack").join(own.hint("merge"), "pack", "left")
+    return met.mapInArrow(_documents(buckets, top), RESULT_SCHEMA)
 
 
 if sys.byteorder != "little":  # frames are written as they lie in memory
