@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowharbor.control import GEOCODED_PARTS, LOCATION_PARTS, FileControl, Synthetic
+from rowharbor.operators.skew import join_hot
 from rowharbor.operators.typing import add_error
-from rowharbor.runtime import field
+from rowharbor.runtime import field, materialise
 
 
 def _put(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -54,18 +55,21 @@ def geocode_join(
     """A point per row, looked up in a gazetteer by its address parts.
 
     The gazetteer has the part columns plus ``latitude`` and ``longitude``. It is reduced to one
-    place per address, so no row is multiplied. Catalyst broadcasts it when it is small; otherwise
-    this is a left join whose hot addresses (blank ones, say) adaptive execution can split.
+    place per address, so no row is multiplied. Rows whose address is blank are not looked up, and
+    addresses that many rows share are spread (see ``join_hot``).
     """
     used = [p for p in GEOCODED_PARTS if parts.get(p)]
-    places = (
+    marks = [f"_g_{p}" for p in used]
+    places = materialise(
         gazetteer.groupBy(*[address_part(field(p)).alias(f"_g_{p}") for p in used])
-        .agg(F.min(F.struct("longitude", "latitude")).alias("_point"))
+        .agg(F.min(F.struct("longitude", "latitude")).alias("_point")),
+        "places",
     )
     keyed = df
     for p in used:
         keyed = keyed.withColumn(f"_g_{p}", address_part(field(parts[p])))
-    found = keyed.join(places, [f"_g_{p}" for p in used], "left")
+    blank = F.concat(*[field(m) for m in marks]) == ""
+    found = join_hot(keyed, places.filter(~blank), marks, blank)
     kept = [c for c in df.columns if c.lower() != name.lower()]
     return found.select(*[field(c) for c in kept], F.col("_point").alias(name))
 

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowharbor.operators.skew import join_hot
+from rowharbor.runtime import materialise
+
 COMMITTING, COMMITTED, FINISHED, FAILURE = (
     "committing-job", "committed-job", "finished", "failure",
 )
@@ -50,11 +53,9 @@ def commit_state(
         .agg(F.min_by("job_id", "pos").alias("job_id"))
     )
     jobs = job_log.groupBy("job_id").agg(F.max(of_type(COMMITTED)).alias("_committed"))
-    judged = (
-        submissions.join(readable, "dataset_id", "left")
-        .join(taken, ["dataset_id", "opaque"], "left")
-        .join(jobs, "job_id", "left")
-    )
+    known = submissions.join(readable, "dataset_id", "left").join(taken, ["dataset_id", "opaque"], "left")
+    # submissions that no job took have no job id; they and jobs of very many submissions are no hot spot
+    judged = join_hot(materialise(known, "submissions"), materialise(jobs, "job-states"), ["job_id"])
     state = (
         F.when(F.col("_read").isNull(), "UNKNOWN")
         .when(F.col("job_id").isNull(), "NOT_COMMITTING")

@@ -16,7 +16,8 @@ from rowharbor.sources.geo import scan_geojson, scan_kml
 from rowharbor.sources.sinks import write_delimited
 from rowharbor.sources.store import DatasetStore
 from rowharbor.streaming.ingest import ingest_stream
-from rowharbor.streaming.status import current_status, status_stream, write_status
+from rowharbor.streaming.status import closed_jobs as closed_stream
+from rowharbor.streaming.status import current_status, status_stream, write_closed, write_status
 
 
 @query("""
@@ -100,7 +101,7 @@ def scan_geojson_features(spark, sf_dir):
     path = scratch_path(spark, "geojson")
     collection.write.json(path)
     return scan_geojson(spark, path, sequence=True).select(
-        "layer", "reference_system", F.col("properties")["title"].alias("title"),
+        "layer", "reference_system", F.variant_get("properties", "$.title", "string").alias("title"),
         "geometry_type", "coordinates",
     )
 
@@ -126,6 +127,77 @@ def scan_kml_placemarks(spark, sf_dir):
     return scan_kml(spark, path, sequence=True).select("name", "geometry_type", "coordinates")
 
 
+@query("""
+SELECT p_brand AS layer, p_partkey AS id, p_size AS size, typeof(p_size) = 'INTEGER' AS whole, p_name AS title,
+       CASE p_size % 3 WHEN 0 THEN 'Point' WHEN 1 THEN 'MultiPoint' ELSE 'GeometryCollection' END AS geometry_type,
+       CASE p_size % 3 WHEN 0 THEN '[' || p_size || ',1]' WHEN 1 THEN '[[0,0],[' || p_size || ',1]]' END AS coordinates,
+       unnest(CASE p_size % 3 WHEN 0 THEN ['Point [' || p_size || ',1]'] WHEN 1 THEN ['MultiPoint [[0,0],[' || p_size || ',1]]']
+              ELSE ['Point [' || p_size || ',1]', 'LineString [[0,0],[2,' || p_size || ']]'] END) AS part
+FROM part
+""")
+def scan_geojson_documents(spark, sf_dir):
+    """Whole documents, one per brand, with typed properties and geometries of several parts."""
+    part = table(spark, sf_dir, "part")
+    size, kind = F.col("p_size"), F.col("p_size") % 3
+    point = F.format_string('{"type": "Point", "coordinates": [%d, 1]}', size)
+    shape = (
+        F.when(kind == 0, point)
+        .when(kind == 1, F.format_string('{"type": "MultiPoint",\n "coordinates": [[0, 0], [%d, 1]]}', size))
+        .otherwise(F.concat(F.lit('{"type": "GeometryCollection", "geometries": ['), point,
+                            F.format_string(', {"type": "LineString", "coordinates": [[0, 0], [2, %d]]}]}', size)))
+    )
+    feature = F.concat(
+        F.format_string('{"type": "Feature", "id": %d, "properties": {"size": %d, "title": ', "p_partkey", "p_size"),
+        F.to_json(F.struct(F.col("p_name").alias("t")).alias("s")).substr(F.lit(6), F.length("p_name") + 2), F.lit('},\n "geometry": '), shape, F.lit("}"))
+    listed = part.groupBy("p_brand").agg(F.array_join(F.collect_list(feature), ",\n").alias("f"))  # a document of each brand
+    whole = F.concat(F.lit('{"type": "FeatureCollection",\n "name": "'), "p_brand", F.lit('", "features": [\n'), "f", F.lit("]}"))
+    path = scratch_path(spark, "geojson")
+    listed.select(whole.alias("value"), "p_brand").write.partitionBy("p_brand").text(path)
+    found = scan_geojson(spark, path)
+    size_type = F.schema_of_variant(F.variant_get("properties", "$.size", "variant"))
+    return found.select(
+        "layer", F.col("feature_id").cast("bigint").alias("id"), F.variant_get("properties", "$.size", "int").alias("size"),
+        (size_type == "BIGINT").alias("whole"), F.variant_get("properties", "$.title", "string").alias("title"),
+        "geometry_type", "coordinates", F.explode("parts").alias("p"),
+    ).select("layer", "id", "size", "whole", "title", "geometry_type", "coordinates",
+             F.concat_ws(" ", "p.type", "p.coordinates").alias("part"))
+
+
+@query("""
+SELECT s_name AS name, s_nationkey::VARCHAR AS nation,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'MultiGeometry' ELSE 'Polygon' END AS geometry_type,
+       CASE WHEN s_suppkey % 2 = 0 THEN 3 ELSE 1 END::INT AS parts,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'Point ' || s_suppkey || ',1|LineString 0,0 ' || s_suppkey || ',1|Point 9,9'
+            ELSE 'Polygon 0,0 5,0 ' || s_suppkey || ',5 0,0' END AS shapes,
+       CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE '1,1 2,1 1,2 1,1' END AS hole
+FROM supplier
+""")
+def scan_kml_geometries(spark, sf_dir):
+    """Whole documents, one per nation: geometries of several parts, polygons with holes, extended data."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("string")
+    ring = "<LinearRing><coordinates>{}</coordinates></LinearRing>"
+    polygon = F.concat(
+        F.lit("<Polygon><outerBoundaryIs><LinearRing><coordinates> 0,0 5,0 "), key, F.lit(",5 0,0</coordinates></LinearRing></outerBoundaryIs>"),
+        F.lit(f"<innerBoundaryIs>{ring.format('1,1 2,1 1,2 1,1')}</innerBoundaryIs></Polygon>"))
+    several = F.concat(
+        F.lit("<MultiGeometry><LineString><coordinates>0,0 "), key, F.lit(",1</coordinates></LineString>\n<Point><coordinates>"), key,
+        F.lit(",1 </coordinates></Point><MultiGeometry><Point><coordinates>9,9</coordinates></Point></MultiGeometry></MultiGeometry>"))
+    mark = F.concat(
+        F.lit("<Placemark><name>"), "s_name", F.lit('</name><ExtendedData><Data name="nation"><value>'),
+        F.col("s_nationkey").cast("string"), F.lit("</value></Data></ExtendedData>"),
+        F.when(F.col("s_suppkey") % 2 == 0, several).otherwise(polygon), F.lit("</Placemark>\n"))
+    document = s.groupBy("s_nationkey").agg(F.array_join(F.collect_list(mark), "").alias("marks"))
+    path = scratch_path(spark, "kml")
+    whole = F.concat(F.lit("<kml><Document>\n"), "marks", F.lit("</Document></kml>"))
+    document.select(whole.alias("value"), "s_nationkey").write.partitionBy("s_nationkey").text(path)
+    return scan_kml(spark, path).select(
+        "name", F.col("properties")["nation"].alias("nation"), "geometry_type", F.size("parts").alias("parts"),
+        F.array_join(F.transform("parts", lambda p: F.concat_ws(" ", p["type"], p["coordinates"])), "|").alias("shapes"),
+        F.get(F.get("parts", F.lit(0))["holes"], F.lit(0)).alias("hole"),
+    )
+
+
 # Layers: each customer is a geographic dataset; open orders give the layers of the file, filled
 # ones the layers that exist, both named after the priority.
 LAYERS_SQL = """file_layers AS (
@@ -239,3 +311,40 @@ def latest_status_stream(spark, sf_dir):
     )
     _finish(write_status(status_stream(arriving, ["at"]), f"{root}/status", f"{root}/checkpoint"))
     return current_status(spark.read.parquet(f"{root}/status"))
+
+
+CLOSED_SQL = """
+WITH marked AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens
+  FROM events),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM marked)
+SELECT user_id AS job_id, min(ts) AS first_at, max(ts) AS last_at, count(*) AS events,
+       arg_max(event_type, (ts, event_id)) AS type
+FROM numbered GROUP BY user_id, session
+HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
+"""
+
+
+@query(CLOSED_SQL)
+def closed_jobs(spark, sf_dir):
+    """Events that come late, out of order and repeated: jobs closed after six hours of silence."""
+    root = scratch_path(spark, "closed")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("job_id"), F.col("ts").cast("timestamp").alias("at"), F.col("event_type").alias("type")
+    )
+    bounds = events.agg(F.min(F.unix_micros("at")).alias("a"), F.max(F.unix_micros("at")).alias("b")).first()
+    span = max(1, (bounds["b"] - bounds["a"]) // 6 + 1)
+    own = F.floor((F.unix_micros("at") - bounds["a"]) / span)
+    # an event in five comes with the files of an hour later, and one in seven comes again
+    late = F.floor((F.unix_micros("at") + 3_600_000_000 - bounds["a"]) / span)
+    arriving = events.withColumn("file", F.when(F.col("event_id") % 5 == 0, late).otherwise(own))
+    again = arriving.filter("event_id % 7 = 0").withColumn("file", late)
+    sent = arriving.unionByName(again).withColumn("file", F.col("file").cast("int"))
+    for number in range(8):  # files are taken in the order they were written
+        sent.filter(F.col("file") == number).drop("file").coalesce(1).write.mode("append").parquet(f"{root}/events")
+    stream = (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    )
+    _finish(write_closed(closed_stream(stream, "at", "6 hours", "2 hours"), f"{root}/closed", f"{root}/checkpoint"))
+    found = spark.read.schema("job_id bigint, first_at timestamp, last_at timestamp, events bigint, type string").parquet(f"{root}/closed")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_at", "last_at")})

@@ -1,34 +1,33 @@
-"""Geographic files: GeoJSON, KML, and archives of layers."""
+"""Geographic files: GeoJSON and KML, geometry of any kind as nested parts."""
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GEOJSON_SCHEMA = (
     "type string, name string, crs struct<properties:struct<name:string>>, "
-    "features array<struct<type:string, id:string, properties:map<string,string>, "
-    "geometry:struct<type:string, coordinates:string>>>"
+    "features array<struct<type:string, id:string, properties:variant, geometry:variant>>"
 )
 
+_LINE = "struct<coordinates:string>"
+_POLYGON = f"struct<outerBoundaryIs:struct<LinearRing:{_LINE}>, innerBoundaryIs:array<struct<LinearRing:array<{_LINE}>>>>"
+_SHAPES = f"Point:array<{_LINE}>, LineString:array<{_LINE}>, Polygon:array<{_POLYGON}>"
 KML_SCHEMA = (
-    "name string, description string, "
-    "Point struct<coordinates:string>, LineString struct<coordinates:string>, "
-    "Polygon struct<outerBoundaryIs:struct<LinearRing:struct<coordinates:string>>>"
+    f"name string, description string, Point {_LINE}, LineString {_LINE}, Polygon {_POLYGON}, "
+    f"MultiGeometry struct<{_SHAPES}, MultiGeometry:array<struct<{_SHAPES}>>>, "
+    "ExtendedData struct<Data:array<struct<_name:string, value:string>>>"
 )
 
 
 def scan_geojson(
     spark: SparkSession, path: str | list[str], sequence: bool = False
 ) -> DataFrame:
-    """One row per feature: file, layer name, reference system, properties, geometry type and
-    its coordinates as JSON text. A file is one collection, or a ``sequence`` of one collection
-    per line, which Spark can split."""
+    """One row per feature: file, layer name, reference system, ``properties`` with the types they have
+    in the file, geometry type, its coordinates as JSON text (null for a collection), and its ``parts``:
+    ``(type, coordinates)`` of each member of a collection, or of the geometry itself. A collection within
+    a collection is one part, with its members as JSON text. A file is one collection of features, or a
+    ``sequence`` of one per line, which Spark can split."""
     whole = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", not sequence).json(path)
     return geojson_features(whole.select("*", F.col("_metadata.file_path").alias("file")))
 
@@ -40,18 +39,33 @@ def geojson_features(collections: DataFrame) -> DataFrame:
         F.col("crs.properties.name").alias("reference_system"),
         F.posexplode("features").alias("feature_no", "_f"),
     )
-    f = F.col("_f")
+    shape = F.col("_f.geometry")
+    members = F.try_variant_get(shape, "$.geometries", "array<variant>")
+    parts = F.when(members.isNotNull(), F.transform(members, _part)).when(_kind(shape).isNotNull(), F.array(_part(shape)))
     return exploded.select(
         "file", "layer", "reference_system", "feature_no",
-        f["properties"].alias("properties"),
-        f["geometry"]["type"].alias("geometry_type"),
-        # numbers and brackets: layout does not matter
-        F.regexp_replace(f["geometry"]["coordinates"], r"\s+", "").alias("coordinates"),
+        F.col("_f.id").alias("feature_id"), F.col("_f.properties").alias("properties"),
+        _kind(shape).alias("geometry_type"), _json(shape, "$.coordinates").alias("coordinates"), parts.alias("parts"),
     )
 
 
+def _kind(shape: Column) -> Column:
+    return F.try_variant_get(shape, "$.type", "string")
+
+
+def _json(shape: Column, path: str) -> Column:
+    return F.to_json(F.try_variant_get(shape, path, "variant"))
+
+
+def _part(shape: Column) -> Column:
+    inside = F.coalesce(_json(shape, "$.coordinates"), _json(shape, "$.geometries"))
+    return F.struct(_kind(shape).alias("type"), inside.alias("coordinates"))
+
+
 def scan_kml(spark: SparkSession, path: str | list[str], sequence: bool = False) -> DataFrame:
-    """One row per placemark. A file is one document, or a ``sequence`` of one placemark per
+    """One row per placemark: name, description, ``properties`` (extended data), geometry type, coordinates
+    (null for several geometries), and ``parts``: ``(type, coordinates, holes)`` of each geometry, those
+    of a multi-geometry by kind, points first. A file is one document, or a ``sequence`` of one placemark per
     line, which Spark can split."""
     marks = (
         spark.read.schema(KML_SCHEMA)
@@ -59,45 +73,50 @@ def scan_kml(spark: SparkSession, path: str | list[str], sequence: bool = False)
         .option("multiLine", not sequence)
         .xml(path)
     )
+    several = F.col("MultiGeometry")
+    inner = F.coalesce(several["MultiGeometry"], F.array().cast(f"array<struct<{_SHAPES}>>"))
     kind = (
         F.when(F.col("Point").isNotNull(), "Point")
         .when(F.col("LineString").isNotNull(), "LineString")
         .when(F.col("Polygon").isNotNull(), "Polygon")
+        .when(several.isNotNull(), "MultiGeometry")
     )
+    single = F.filter(F.array(_line("Point", F.col("Point")), _line("LineString", F.col("LineString")), _polygon(F.col("Polygon"))),
+                      lambda p: p.isNotNull())
+    nested = F.flatten(F.transform(inner, _shapes))
+    parts = F.when(several.isNotNull(), F.concat(_shapes(several), nested)).when(F.size(single) > 0, single)
+    data = F.map_from_entries(F.transform("ExtendedData.Data", lambda d: F.struct(d["_name"], d["value"])))
     return marks.select(
         F.col("_metadata.file_path").alias("file"),
         "name",
         "description",
+        data.alias("properties"),
         kind.alias("geometry_type"),
-        F.btrim(
-            F.coalesce(
-                "Point.coordinates",
-                "LineString.coordinates",
-                "Polygon.outerBoundaryIs.LinearRing.coordinates",
-            )
-        ).alias("coordinates"),
+        F.when(several.isNull(), F.get(parts, F.lit(0))["coordinates"]).alias("coordinates"),
+        parts.alias("parts"),
     )
 
 
-def scan_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Archives of a folder, one row each: ``path, content``."""
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+def _line(kind: str, shape: Column) -> Column:
+    none = F.lit(None).cast("array<string>")
+    part = F.struct(F.lit(kind).alias("type"), F.btrim(shape["coordinates"]).alias("coordinates"), none.alias("holes"))
+    return F.when(shape.isNotNull(), part)
 
 
-def _shape_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found: list[tuple[str, int, str]] = []
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                names = [n for n in archive.namelist() if n.endswith(".shp")]
-            found += [
-                (path, i, n.rsplit("/", 1)[-1].removesuffix(".shp")) for i, n in enumerate(names)
-            ]
-        yield pd.DataFrame(found, columns=["path", "layer_no", "layer"])
+def _polygon(shape: Column) -> Column:
+    rings = F.flatten(F.transform(shape["innerBoundaryIs"], lambda b: b["LinearRing"]))
+    part = F.struct(
+        F.lit("Polygon").alias("type"), F.btrim(shape["outerBoundaryIs"]["LinearRing"]["coordinates"]).alias("coordinates"),
+        F.transform(rings, lambda r: F.btrim(r["coordinates"])).alias("holes"))
+    return F.when(shape.isNotNull(), part)
 
 
-def list_layers(archives: DataFrame) -> DataFrame:
-    """Layers of each archive: every shape file in it, by its base name."""
-    return archives.select("path", "content").mapInPandas(
-        _shape_names, "path string, layer_no int, layer string"
-    )
+def _shapes(several: Column) -> Column:
+    """The parts of a multi-geometry, by kind."""
+    lists = [
+        F.transform(several["Point"], lambda p: _line("Point", p)),
+        F.transform(several["LineString"], lambda p: _line("LineString", p)),
+        F.transform(several["Polygon"], _polygon),
+    ]
+    none = F.array().cast("array<struct<type:string, coordinates:string, holes:array<string>>>")
+    return F.concat(*[F.coalesce(x, none) for x in lists])

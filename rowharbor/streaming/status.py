@@ -21,6 +21,35 @@ def status_stream(events: DataFrame, order: Sequence[str]) -> DataFrame:
     return events.groupBy("job_id").agg(newest).select("job_id", "_newest.*")
 
 
+def closed_jobs(
+    events: DataFrame, at: str, silence: str, delay: str, keys: Sequence[str] = ("event_id",)
+) -> DataFrame:
+    """Jobs that have been silent: ``job_id, first_at, last_at, events, type``, the last event's type.
+
+    Events of a job belong together while less than ``silence`` lies between them, in whatever order they
+    arrive; a repeated event counts once. Once the watermark, ``delay`` behind the newest event, is past the
+    end of the silence, the job's row is written and its state let go; so state is kept for jobs
+    and events of the last ``delay`` and ``silence`` only. Later events are late, and left out.
+    """
+    once = deduplicated(events, at, keys, delay)
+    quiet = F.session_window(at, silence).alias("_session")
+    newest = F.max(F.struct(at, *keys, "type")).alias("_newest")
+    return (
+        once.groupBy("job_id", quiet)
+        .agg(F.min(at).alias("first_at"), F.max(at).alias("last_at"), F.count(F.lit(1)).alias("events"), newest)
+        .select("job_id", "first_at", "last_at", "events", "_newest.type")
+    )
+
+
+def write_closed(closed: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows of closed jobs, each once. Stops when the source has nothing new."""
+    return (
+        closed.writeStream.outputMode("append").format("parquet")
+        .option("path", folder).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def write_status(status: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
     """Store what changed in each micro-batch, in a folder named after the batch, so that a batch
     that runs again replaces itself. Stops when the source has nothing new."""

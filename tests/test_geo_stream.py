@@ -1,7 +1,6 @@
 """Geographic files, composite columns and streams on small fixtures."""
 
 import json
-import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from rowharbor.control import Control, FileControl, Synthetic
 from rowharbor.operators import geo, layers
 from rowharbor.operators.typing import ERRORS
 from rowharbor.plans import jobs
-from rowharbor.sources.geo import list_layers, scan_archives, scan_geojson, scan_kml
+from rowharbor.sources.geo import scan_geojson, scan_kml
 from rowharbor.sources.store import DatasetStore, PublishFailed
 from rowharbor.streaming.ingest import ingest_stream
 from rowharbor.streaming.status import deduplicated
@@ -28,7 +27,7 @@ def test_geojson(spark, tmp_path):
     rows = scan_geojson(spark, str(tmp_path / "a.geojson")).orderBy("feature_no").collect()
     assert [(r.layer, r.geometry_type, r.coordinates) for r in rows] == [
         ("towns", "Point", "[1.5,2]"), ("towns", "LineString", "[[0,0],[1,1]]")]
-    assert rows[0].properties == {"n": "1", "s": "x"} and rows[0].reference_system == "EPSG:4326"
+    assert json.loads(str(rows[0].properties.toJson())) == {"n": 1, "s": "x"} and rows[0].reference_system == "EPSG:4326"
 
 
 def test_kml(spark, tmp_path):
@@ -42,13 +41,43 @@ def test_kml(spark, tmp_path):
         ("A#1", "Point", "1,2"), ("B", "Polygon", "0,0 1,1 0,1 0,0")]
 
 
-def test_layers_of_archives(spark, tmp_path):
-    for name, entries in {"a.zip": ["x/roads.shp", "x/roads.dbf", "lakes.shp"], "b.zip": ["r.txt"]}.items():
-        with zipfile.ZipFile(tmp_path / name, "w") as z:
-            for e in entries:
-                z.writestr(e, b"")
-    rows = list_layers(scan_archives(spark, str(tmp_path))).collect()
-    assert sorted(r.layer for r in rows) == ["lakes", "roads"]
+def test_geojson_of_odd_shapes(spark, tmp_path):
+    """Collections, nested ones, no geometry, and properties of several types."""
+    point = {"type": "Point", "coordinates": [1, 2]}
+    deep = {"type": "GeometryCollection", "geometries": [point, {"type": "GeometryCollection", "geometries": [point]}]}
+    features = [{"type": "Feature", "properties": {"a": [1, {"b": None}], "x": 2.5, "t": True}, "geometry": deep},
+                {"type": "Feature", "properties": None, "geometry": None}, {"type": "Feature"}]
+    (tmp_path / "a.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    rows = scan_geojson(spark, str(tmp_path / "a.geojson")).select(
+        "*", F.to_json("properties").alias("p"), F.variant_get("properties", "$.x", "double").alias("x")).orderBy("feature_no").collect()
+    assert [(r.geometry_type, r.coordinates, r.x) for r in rows] == [("GeometryCollection", None, 2.5), (None, None, None), (None, None, None)]
+    assert json.loads(rows[0].p) == {"a": [1, {"b": None}], "x": 2.5, "t": True}
+    assert [tuple(p) for p in rows[0].parts] == [("Point", "[1,2]"), ("GeometryCollection", '[{"coordinates":[1,2],"type":"Point"}]')]
+    assert rows[1].parts is None
+
+
+def test_joins_on_hot_and_absent_keys(spark, tmp_path):
+    """A third of the rows without a key, a third with one key: the result of a plain join, spread evenly."""
+    from rowharbor.operators.skew import join_hot
+
+    i = F.col("id")
+    spark.range(60_000).select(
+        F.when(i % 3 == 0, None).when(i % 3 == 1, "hot").otherwise(F.concat(F.lit("k"), (i % 20_000).cast("string"))).alias("k"), i.alias("n")
+    ).write.parquet(str(tmp_path / "rows"))
+    spark.range(30_000).select(F.when(i == 0, "hot").otherwise(F.concat(F.lit("k"), i.cast("string"))).alias("k"), (i * 2).alias("v")).write.parquet(str(tmp_path / "other"))
+    rows, other = spark.read.parquet(str(tmp_path / "rows")), spark.read.parquet(str(tmp_path / "other"))
+    for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(key, value)
+    try:
+        got = join_hot(rows, other, ["k"])
+        tasks = [r["count"] for r in got.filter("k is not null").groupBy(F.spark_partition_id()).count().collect()]
+        assert sorted(tasks)[-1] <= 2 * sorted(tasks)[len(tasks) // 2]
+        plain = rows.join(other, "k", "left")
+        assert got.columns == ["k", "n", "v"] and got.exceptAll(plain).count() == 0 == plain.exceptAll(got).count()
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(key)
+    assert join_hot(rows, other, ["k"], F.col("k") == "hot").filter("v is not null").count() == 19_999
 
 
 def test_points_and_locations(spark):
