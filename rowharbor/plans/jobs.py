@@ -177,6 +177,8 @@ def publish_rows(
     counts = _written_actions(store, dataset_id, version) if sent.rows else {}
     before = sum(base.rows if parts is None else [base.rows[i] for i in parts])
     deleted = before - sent.rows if method == "delete" else 0
+    if file.column_statistics and sent.rows:
+        store.describe_staged(dataset_id, version)
     store.publish(dataset_id, version, sent, batch)
     return PublishResult(
         dataset_id, method, version,
@@ -307,9 +309,10 @@ def version_changes(store: DatasetStore, dataset_id: str, older: int, newer: int
 
 def create_dataset(
     store: DatasetStore, dataset_id: str, rows: DataFrame, key: str | None = None,
-    buckets: int | None = None, signed: bool = False,
+    buckets: int | None = None, signed: bool = False, statistics: bool = False,
 ) -> int:
-    """First version of a dataset. With a ``key``, a row identifier, it is stored by buckets of that, so
+    """First version of a dataset. ``statistics`` keeps those of its columns, as the option of that name
+    of a control does for what it publishes. With a ``key``, a row identifier, it is stored by buckets of that, so
     that merges write only what they touch; ``signed`` keeps a digest of every row, so that a replace
     by changes reads only what may differ."""
     store.register(dataset_id)
@@ -319,6 +322,8 @@ def create_dataset(
     number = layout.buckets if key is not None else 0
     shaped = rows.repartition(number, field(key)) if number else rows
     version, sent = store.stage(shaped, dataset_id, layout)
+    if statistics and sent.rows:
+        store.describe_staged(dataset_id, version)
     store.publish(dataset_id, version, sent)
     return version
 

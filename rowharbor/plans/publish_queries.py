@@ -530,6 +530,40 @@ def version_changes(spark, sf_dir):
     return jobs.version_changes(store, "orde-rs01", 1, 2)
 
 
+def _merged_sql(name: str, number: bool) -> str:
+    bounds = f"min({name})::DOUBLE AS smallest, max({name})::DOUBLE AS largest" if number else "NULL::DOUBLE AS smallest, NULL::DOUBLE AS largest"
+    texts = "NULL::INT AS shortest, NULL::INT AS longest" if number else f"min(length({name}))::INT AS shortest, max(length({name}))::INT AS longest"
+    mean = f"round(sum({name}::DECIMAL(38,6))::DOUBLE / count({name}), 3)" if number else "NULL::DOUBLE"
+    return f"""SELECT '{name}' AS column_name, count(*) AS "rows", count(*) - count({name}) AS nulls, {bounds}, {texts},
+        {mean} AS mean, true AS distinct_close, {"true" if number else "NULL"} AS median_close FROM after"""
+
+
+_MERGED = {"o_orderkey": True, "o_custkey": True, "o_totalprice": True, "o_orderstatus": False, "o_orderpriority": False}
+
+
+@query(f"WITH after AS (SELECT * EXCLUDE (action) FROM ({upsert_sql('patch')})) "
+       + " UNION ALL ".join(_merged_sql(n, number) for n, number in _MERGED.items()))
+def merged_statistics(spark, sf_dir):
+    """Statistics kept of each bucket when it was written, merged after an upsert. Distinct counts must be
+    within 5 % of the exact ones, medians within 2 % of the ranks."""
+    store = DatasetStore(spark, scratch_path(spark, "store"))
+    jobs.create_dataset(store, "orde-rs01", stored_orders(spark, sf_dir), "o_orderkey", statistics=True)
+    path = as_delimited(incoming_orders(spark, sf_dir), "incoming")
+    made = generate_control("incoming.csv", "upsert")
+    control = Control(made.action, None, made.file.with_options(column_statistics=True))
+    jobs.publish_file(store, "orde-rs01", path, control, ORDERS, "o_orderkey")
+    found = store.statistics("orde-rs01").filter(F.col("column_name").isin(*_MERGED))
+    table_now = store.read("orde-rs01")
+    exact = table_now.agg(*[F.struct(
+        F.count_distinct(n).alias("d"), *[F.percentile(n, p).cast("double").alias(f"q{i}") if number else F.lit(None).cast("double").alias(f"q{i}")
+                                          for i, p in enumerate((0.48, 0.52))]).alias(n) for n, number in _MERGED.items()])
+    rows = exact.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(n).alias("e")) for n in _MERGED])))
+    close = F.abs(F.col("distinct_values") - F.col("e.d")) <= F.col("e.d") * 0.05
+    return found.join(rows, "column_name").select(
+        "column_name", "rows", "nulls", "smallest", "largest", "shortest", "longest", F.round("mean", 3).alias("mean"),
+        close.alias("distinct_close"), F.col("p50").between(F.col("e.q0"), F.col("e.q1")).alias("median_close"))
+
+
 def _repeating_orders(spark, sf_dir):
     """Every order; open ones come again with another priority, pending ones without their key."""
     orders = table(spark, sf_dir, "orders")

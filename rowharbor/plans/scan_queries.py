@@ -70,10 +70,10 @@ def scan_multiline_text(spark, sf_dir):
 
 @query("SELECT conv_id, turn, role, text FROM conversations")
 def scan_multiline_split(spark, sf_dir):
-    """The same text, each file split between tasks whatever its size."""
-    path = as_delimited(table(spark, sf_dir, "conversations"), "conversations")
+    """The same text as an export in parts, which are read side by side."""
+    path = as_delimited(table(spark, sf_dir, "conversations").repartition(16, "conv_id"), "conversations")
     types = {"conv_id": "bigint", "turn": "bigint", "role": "text", "text": "text"}
-    return typed_scan(spark, path, VERBATIM, types, large_file=0)
+    return typed_scan(spark, path, VERBATIM, types)
 
 
 @query("""
@@ -81,7 +81,7 @@ def scan_multiline_split(spark, sf_dir):
     FROM documents, (VALUES (true), (false)) AS readers(split)
 """)
 def scan_stray_quotes(spark, sf_dir):
-    """Texts with a quote in an unquoted cell, read by both readers: such a file is not split."""
+    """Texts with a quote in an unquoted cell, read by whole files and split by lines."""
     note = F.concat(F.lit('5" '), F.regexp_replace(F.coalesce("text", F.lit("")), r'[",\r\n]', " "))
     path = scratch_path(spark, "stray")
     lines = table(spark, sf_dir, "documents").select(F.concat_ws(",", "doc_id", note))
@@ -89,8 +89,8 @@ def scan_stray_quotes(spark, sf_dir):
     types = {"doc_id": "bigint", "note": "text"}
     control = VERBATIM.with_options(has_header_row=False, columns=[*types])
     read = [
-        typed_scan(spark, path, control, types, large_file=limit).withColumn("split", F.lit(split))
-        for split, limit in ((True, 0), (False, 1 << 62))
+        typed_scan(spark, path, control.with_options(multi_line=not split), types).withColumn("split", F.lit(split))
+        for split in (True, False)
     ]
     return read[0].unionByName(read[1])
 

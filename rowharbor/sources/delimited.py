@@ -8,7 +8,6 @@ records of one file; running record numbers are worked out from them only where
 from __future__ import annotations
 
 import csv
-import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +16,6 @@ from pyspark.sql import types as T
 
 from rowharbor.control import NO_QUOTE, FileControl
 from rowharbor.runtime import field, join_splits, materialise
-from rowharbor.sources import multiline
 
 SRC_FILE = "_src_file"
 SRC_BLOCK = "_src_block"
@@ -27,9 +25,6 @@ CORRUPT = "_corrupt"
 RECORD_NO = "record_no"
 SOURCE_COLUMNS = (SRC_FILE, SRC_BLOCK, SRC_POS, SRC_TIME, CORRUPT, RECORD_NO)
 
-# From this size on a file with multi-line cells is split between tasks.
-LARGE_FILE = 512 * 1024 * 1024
-
 # A header that has not ended after so many lines has an open quote.
 HEADER_LINES = 100_000
 
@@ -121,7 +116,6 @@ def scan_delimited(
     path: str | list[str],
     control: FileControl,
     names: Sequence[str] | None = None,
-    large_file: int = LARGE_FILE,
 ) -> DataFrame:
     """All records of a file or folder of files, every cell as text.
 
@@ -129,8 +123,7 @@ def scan_delimited(
     names are dropped and short rows are filled with nulls; both are kept in ``_corrupt``.
 
     ``multi_line=False`` promises that no quoted cell holds a line break, so that files are split
-    by lines. Otherwise a file is read by one task, unless one of them is ``large_file`` bytes or
-    more: then all are split by records, if all are well-formed. The result is the same.
+    by lines. Otherwise one task reads a whole file, whatever its size: hand over such exports in parts.
 
     Where the names come from the header of a folder's first file, all files must have that header,
     but for case: the scan fails on a file whose columns differ.
@@ -142,13 +135,6 @@ def scan_delimited(
     shared = None  # the header that several files have to share
     if not named and control.has_header_row and len(_listing(spark, path).head(2)) > 1:
         shared = header
-    if spans_lines(control) and _charset(control) in multiline.CHARSETS:
-        sizes = spark.read.format("binaryFile").load(path).select("length")
-        largest = sizes.agg(F.max("length")).first()[0] or 0
-        if largest >= large_file:
-            split = _scan_split(spark, path, control, names, lead, shared)
-            if split is not None:
-                return split
     spelt = names
     if shared and lead == 1:
         spelt = _reader_header(spark, path, control) or names
@@ -194,35 +180,6 @@ def _listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path")
 
 
-def _scan_split(
-    spark: SparkSession,
-    path: str | list[str],
-    control: FileControl,
-    names: list[str],
-    lead: int,
-    shared: list[str] | None,
-) -> DataFrame | None:
-    not_for_text = ("multiLine", "encoding", "columnPruning", "enforceSchema")
-    options = {k: str(v) for k, v in reader_options(control).items() if k not in not_for_text}
-    options["columnPruning"] = "false"
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in (*names, CORRUPT))
-    cells = F.from_csv(F.col(multiline.RECORD), schema, options)
-
-    def other_header(record: Column, file: Column) -> Column:
-        got = F.from_csv(record, schema, options)
-        return F.when(~_is_header([got[n] for n in names], got[CORRUPT], shared), _differs(file))
-
-    found = multiline.records(
-        spark, path, _quote(control), _own_escape(control), _charset(control), lead,
-        _separator(control), other_header if shared else None,
-    )
-    if found is None:
-        return None
-    return found.select(SRC_FILE, SRC_BLOCK, SRC_POS, cells.alias("_cells")).select(
-        *[F.col("_cells")[n].alias(n) for n in (*names, CORRUPT)], SRC_FILE, SRC_BLOCK, SRC_POS
-    )
-
-
 def _with_source(read: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     return read.select(
         *[field(c).alias(n) for c, n in zip(read.columns, names or read.columns)],
@@ -407,7 +364,7 @@ def scan_head(
         nearest = listing.orderBy(F.length("path"), "path").limit(look).collect()
         for row in nearest[done:]:
             # splits of one file are taken in order, and the stock reader stops when told to
-            rows = scan_delimited(spark, row["path"], control, names, large_file=sys.maxsize).select(
+            rows = scan_delimited(spark, row["path"], control, names).select(
                 *[field(c) for c in names]
             )
             head += [tuple(r) for r in rows.take(n - len(head))]

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowharbor.operators import sketches
 from rowharbor.operators.shape import drop_system_columns
 from rowharbor.runtime import field
 
@@ -230,6 +231,22 @@ class DatasetStore:
     def _signed_schema(schema: T.StructType, layout: Layout) -> T.StructType:
         return T.StructType([*[schema[k] for k in layout.key], T.StructField(SIGNATURE, T.BinaryType())])
 
+    def statistics(self, dataset_id: str, version: Version | None = None) -> DataFrame:
+        """Statistics of each column, merged from those kept of each part; no stored row is read."""
+        version = version or self.published(dataset_id)
+        schema = T.StructType.fromDDL(sketches.SKETCHES)
+        return sketches.merge(self._read(dataset_id, "statistics", schema, version, None))
+
+    def describe_staged(self, dataset_id: str, version: int) -> None:
+        """Keep statistics of what was written for a version, for ``statistics``."""
+        staged = self._staged[dataset_id, version]
+        path = self._path(dataset_id, "statistics", staged.folder)
+        by = [BUCKET] if staged.layout.key else []
+        names = [field(f.name) for f in staged.schema.fields]
+        written = self.read_staged(dataset_id, version).select(*names, *[field(b) for b in by])
+        found = sketches.describe(written, by)
+        (found.write.partitionBy(*by) if by else found.write).mode("overwrite").parquet(path)
+
     def read_staged(self, dataset_id: str, version: int) -> DataFrame:
         """What was written for a version, with its system columns."""
         staged = self._staged[dataset_id, version]

@@ -83,10 +83,9 @@ def test_escape_character(spark, tmp_path):
     assert cells(scan_delimited(spark, path, CSV.with_options(escape="\\"))) == [('x "q"', "2")]
 
 
-@pytest.mark.parametrize("large_file", [0, 10**9])
-def test_ragged_rows(spark, tmp_path, large_file):
+def test_ragged_rows(spark, tmp_path):
     path = write(tmp_path, "a,b,c\n1,2,3\n\n1,2\n1,2,3,4\n")
-    df = scan_delimited(spark, path, CSV, large_file=large_file)
+    df = scan_delimited(spark, path, CSV)
     assert sorted(cells(df), key=str) == [("1", "2", "3"), ("1", "2", "3"), ("1", "2", None)]
     assert sorted(r.record for r in check_ragged(df).collect()) == ["1,2", "1,2,3,4"]
 
@@ -94,7 +93,6 @@ def test_ragged_rows(spark, tmp_path, large_file):
 def test_header_only(spark, tmp_path):
     path = write(tmp_path, "a,b")
     assert cells(scan_delimited(spark, path, CSV)) == []
-    assert cells(scan_delimited(spark, path, CSV, large_file=0)) == []
 
 
 def small_splits(spark, size):
@@ -124,30 +122,6 @@ def test_record_numbers_over_many_splits(spark, tmp_path, split_small):
     assert all(int(r.id) == r.record_no for r in numbered)
 
 
-@pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("ending", ["\n", "\r\n"])
-def test_split_records_equal_whole_file(spark, tmp_path, split_small, seed, ending):
-    """Random cells with quotes, separators and line breaks, cut into splits of a few lines."""
-    rng = random.Random(seed)
-    pieces = ["a", "é", ",", '"', "\n", "\n\n", " ", "long " * 30]
-    rows = [
-        [str(i)] + ["".join(rng.choices(pieces, k=rng.randint(0, 8))) for _ in range(3)]
-        for i in range(400)
-    ]
-    rows[200][1] = "\n".join("spread over many splits" for _ in range(200))
-    out = io.StringIO()
-    writer = csv.writer(out, lineterminator=ending)
-    writer.writerow(["id", "a", "b", "c"])
-    writer.writerows(rows)
-    path = write(tmp_path, out.getvalue())
-    split_small(700)
-    df = scan_delimited(spark, path, CSV, large_file=0)
-    got = sorted(cells(df), key=lambda r: int(r[0]))
-    assert [tuple(c or "" for c in r) for r in got] == [tuple(r) for r in rows]
-    in_order = [r.id for r in df.orderBy("_src_file", "_src_block", "_src_pos").collect()]
-    assert in_order == [r[0] for r in rows]
-
-
 def test_head_and_preview(spark, tmp_path):
     folder = tmp_path / "parts"
     folder.mkdir()
@@ -172,67 +146,6 @@ def test_leading_records():
     assert leading_records(CSV.with_options(columns=["a"])) == 1
 
 
-@pytest.mark.parametrize("escape,encoding", [("\\", "utf-8"), (None, "ISO-8859-1")])
-def test_split_reader_equals_stock_reader(spark, tmp_path, split_small, escape, encoding):
-    rng = random.Random(11)
-    pieces = ["a", "é", ",", '"', "\n", " ", "word "]
-    rows = [[str(i)] + ["".join(rng.choices(pieces, k=6)) for _ in range(2)] for i in range(300)]
-    out = io.StringIO()
-    csv.writer(out, lineterminator="\n", escapechar=escape, doublequote=escape is None,
-               quoting=csv.QUOTE_ALL).writerows([["id", "a", "b"], *rows])
-    path = write(tmp_path, out.getvalue(), encoding=encoding)
-    control = CSV.with_options(escape=escape, encoding=encoding)
-    whole = sorted(cells(scan_delimited(spark, path, control)))
-    split_small(500)
-    assert sorted(cells(scan_delimited(spark, path, control, large_file=0))) == whole
-    assert sorted(whole) == sorted(tuple(r) for r in rows)
-
-
-ODD_FILES = [
-    'id,a\n1,5" pipe\n2,x\n3,"quoted"\n',  # a quote within an unquoted cell
-    'id,a\n1,"x" y\n2,"a"b,"c\nd"\n3,z\n',  # text after a closing quote
-    "id,a\r1,x\r2,y\r",  # lines that end with a carriage return alone
-    'id,a\n1,x\r\n2,"y\r\nz"\n3,w\n',  # mixed ends
-    'id,a\r\n1,x\n2,"y\nz"\r\n3,w\r\n',
-    'id,a\n1,x\ry\n2,z\n',
-    'id,a\n1,"never closed\n' + "2,x\n" * 200,
-    'id,a\n1,"open\n2,"shut"\n3,y\n',
-    'id,a\n1,"x""y"\n2,""\n3,"""z"""\n4,a""b\n5,""b,\n6,"\n",\n',
-    'id,a\n\ufeff"1",x\n2,y\n',
-    'id,a\n1,"x"\t,y\n2,"z"  \n',
-    'id,a\r\n1,"x\r\ny"\r\n2,z',
-    'id,a\n\n"",""\n1, "x"\n2,"y"\n',
-    'id,a\n1,"back\\"\n2,"slash \\\\"\n3,\\"x\n4,a\\,"b"\n',
-]
-
-
-@pytest.mark.parametrize("escape", [None, "\\"])
-def test_odd_files_are_read_alike_at_every_size(spark, tmp_path, split_small, escape):
-    control = CSV.with_options(escape=escape)
-    for i, text in enumerate(ODD_FILES):
-        path = write(tmp_path, text, f"odd{i}.csv")
-        names = ["id", "a"]
-        split_small(128 << 20)
-        whole = sorted(cells(scan_delimited(spark, path, control, names)), key=str)
-        split_small(20)
-        split = sorted(cells(scan_delimited(spark, path, control, names, large_file=0)), key=str)
-        assert split == whole, text
-
-
-@pytest.mark.parametrize("seed", range(2))
-def test_random_bytes_are_read_alike_at_every_size(spark, tmp_path, split_small, seed):
-    rng = random.Random(seed)
-    for i in (0, 2, 5):
-        pieces = ["a", '"', ",", "\n", '""', '"\n"', "b,", '","', "\r\n" if i % 3 == 2 else "\n", "\r" if i == 5 else " "]
-        text = "id,a\n" + "".join(rng.choices(pieces, k=40)) + "\n"
-        path = write(tmp_path, text, f"random{i}.csv")
-        split_small(128 << 20)
-        whole = sorted(cells(scan_delimited(spark, path, CSV, ["id", "a"])), key=str)
-        split_small(9)
-        split = sorted(cells(scan_delimited(spark, path, CSV, ["id", "a"], large_file=0)), key=str)
-        assert split == whole, text
-
-
 def test_java_charset(spark, tmp_path):
     path = write(tmp_path, "id,né\n1,€\n", encoding="windows-1252")
     control = CSV.with_options(encoding="windows-1252", multi_line=False)
@@ -244,29 +157,27 @@ def test_java_charset(spark, tmp_path):
         spark.conf.unset("spark.sql.legacy.javaCharsets")
 
 
-@pytest.mark.parametrize("large_file", [0, 10**9])
 @pytest.mark.parametrize("skip", [0, 1])
 @pytest.mark.parametrize("names", ["id,name,day", "id,name,ID", "id,,"])
-def test_files_of_a_folder_share_their_header(spark, tmp_path, large_file, skip, names):
+def test_files_of_a_folder_share_their_header(spark, tmp_path, skip, names):
     control = CSV.with_options(skip=skip)
     lead = "about\n" * skip
     write(tmp_path, f"{lead}{names}\n1,a,b\n", "a.csv")
     write(tmp_path, f"{lead}{names.replace('id', 'Id', 1)}\n2,c,d\n", "b.csv")
     write(tmp_path, f"{lead}{names}\n", "c.csv")
-    rows = scan_delimited(spark, str(tmp_path), control, large_file=large_file)
+    rows = scan_delimited(spark, str(tmp_path), control)
     assert sorted(c[:3] for c in cells(rows)) == [("1", "a", "b"), ("2", "c", "d")]
     first, second, *rest = names.split(",")
     write(tmp_path, f"{lead}{','.join([second, first, *rest])}\n3,e,f\n", "d.csv")
-    mixed = scan_delimited(spark, str(tmp_path), control, large_file=large_file)
+    mixed = scan_delimited(spark, str(tmp_path), control)
     with pytest.raises(Exception, match="(?i)header"):
         mixed.collect()
 
 
-@pytest.mark.parametrize("large_file", [0, 10**9])
-def test_a_file_with_fewer_columns_is_refused(spark, tmp_path, large_file):
+def test_a_file_with_fewer_columns_is_refused(spark, tmp_path):
     write(tmp_path, "id,name\n1,a\n", "a.csv")
     write(tmp_path, "id\n2\n", "b.csv")
     with pytest.raises(Exception, match="(?i)header"):
-        scan_delimited(spark, str(tmp_path), CSV, large_file=large_file).collect()
-    named = scan_delimited(spark, str(tmp_path), CSV, ["id", "name"], large_file=large_file)
+        scan_delimited(spark, str(tmp_path), CSV).collect()
+    named = scan_delimited(spark, str(tmp_path), CSV, ["id", "name"])
     assert sorted(cells(named)) == [("1", "a"), ("2", None)]

@@ -208,3 +208,23 @@ def test_layers_that_stay_keep_their_files(spark, tmp_path):
     changed = [i for i, (a, b) in enumerate(zip(old.folders, new.folders)) if a != b]
     touched = spark.createDataFrame([(1, "u7"), (1, "rivers")], "dataset_id int, uid string").select(old.layout.bucket())
     assert changed == sorted({r[0] for r in touched.collect()}) and len(changed) == 2
+
+
+def test_statistics_merge_without_reading_the_table(spark, tmp_path):
+    """Parts are described when they are written; rewriting a bucket replaces its description."""
+    store = DatasetStore(spark, str(tmp_path / "store"))
+    rows = spark.range(2000).select("id", F.when(F.col("id") % 4 > 0, F.concat(F.lit("v"), F.col("id") % 500)).alias("v"), (F.col("id") / 2).alias("x"))
+    jobs.create_dataset(store, "d", rows, "id", buckets=16, statistics=True)
+    path = tmp_path / "in.csv"
+    path.write_text("id,v,x\n5,changed entirely,-7\n9000,,1e6\n")
+    made = generate_control("in.csv", "upsert")
+    control = Control(made.action, None, made.file.with_options(column_statistics=True))
+    jobs.publish_file(store, "d", str(path), control, {"id": "bigint", "v": "text", "x": "double"}, "id")
+    found = store.statistics("d")
+    assert all("/statistics/" in f for f in found.inputFiles())
+    got = {r["column_name"]: r for r in found.collect()}
+    assert (got["id"]["rows"], got["id"]["nulls"], got["id"]["largest"]) == (2001, 0, 9000)
+    assert abs(got["id"]["distinct_values"] - 2001) < 40 and abs(got["v"]["distinct_values"] - 376) < 12
+    assert (got["v"]["nulls"], got["v"]["shortest"], got["v"]["longest"], got["v"]["largest_text"]) == (501, 2, 16, "v99")
+    exact = store.read("d").agg(F.avg("x")).first()[0]
+    assert got["x"]["smallest"] == -7 and got["x"]["mean"] == pytest.approx(exact) and abs(got["x"]["p50"] - 500) < 25
