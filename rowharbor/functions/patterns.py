@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Formats tried when a control file names none.
 DEFAULT_TIME_FORMATS = (
     "ISO8601",
@@ -91,3 +94,10 @@ def translate(pattern: str) -> TimePattern:
 
 def translate_all(patterns) -> list[TimePattern]:
     return [translate(p) for p in patterns]
+
+
+def readable_format(pattern: Column) -> Column:
+    """Whether ``translate`` takes a pattern, for a column of them."""
+    unquoted = F.regexp_replace(pattern, r"'(?:[^']|'')*'", "")
+    letters = "".join(sorted(_PARSEABLE))
+    return (F.upper(pattern) == "ISO8601") | ((pattern != "") & unquoted.rlike(f"^(?:[{letters}]|[^A-Za-z'])*$"))

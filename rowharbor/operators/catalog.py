@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowharbor.operators.publish import last_by_key
@@ -51,12 +51,13 @@ def licenses(spark: SparkSession) -> DataFrame:
 
 
 def license_list(known: DataFrame) -> DataFrame:
-    """Licences by label, "no licence" first."""
+    """Licences by label, "no licence" first, with their ``place`` in the list from 1."""
     none = known.sparkSession.createDataFrame(
         [(NO_LICENSE_ID, NO_LICENSE_LABEL)], "license_id string, label string"
     )
     listed = none.withColumn("_last", F.lit(0)).unionByName(known.withColumn("_last", F.lit(1)))
-    return listed.orderBy("_last", "label").drop("_last")
+    by = Window.orderBy("_last", "label")  # a fixed list of some dozens
+    return listed.withColumn("place", F.row_number().over(by)).orderBy("place").drop("_last")
 
 
 def lookup_license(df: DataFrame, known: DataFrame, code: Column, by: str = "license_id") -> DataFrame:

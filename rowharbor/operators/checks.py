@@ -16,9 +16,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowharbor.control import FileControl
+from rowharbor.control import CHARSETS, FileControl
 from rowharbor.functions.cells import trim_cell
-from rowharbor.functions.text import file_extension, normalise_header, uid_valid
+from rowharbor.functions.patterns import readable_format
+from rowharbor.functions.text import file_extension, normalise_header
 from rowharbor.operators.typing import typed_cell
 from rowharbor.runtime import field
 from rowharbor.sources.delimited import CORRUPT, SRC_FILE, blank_row, data_columns
@@ -230,10 +231,6 @@ def check_file_format(files: DataFrame, gis: bool = False) -> DataFrame:
     )
 
 
-def check_uid(datasets: DataFrame, column: str = "dataset_id") -> DataFrame:
-    return datasets.select("*", uid_valid(field(column)).alias("valid"))
-
-
 def check_actions(jobs: DataFrame) -> DataFrame:
     """Publishing rules over many jobs: ``(job_id, job_type, action, requested, row_id)``; the
     first rule a job breaks is its message, null when it breaks none."""
@@ -254,6 +251,19 @@ def check_actions(jobs: DataFrame) -> DataFrame:
     return jobs.select("job_id", status.alias("status"), message.alias("message"))
 
 
+def check_settings(jobs: DataFrame) -> DataFrame:
+    """Formats and charsets over many jobs, ``(job_id, formats array<string>, encoding)``: which of a job's
+    time formats cannot be read, and whether its charset can. No charset at all is fine."""
+    bad = F.filter("formats", lambda f: ~readable_format(f))
+    charset = F.coalesce(F.lower("encoding"), F.lit("utf-8")).isin(*CHARSETS)
+    broken = F.coalesce(F.size(bad), F.lit(0)) > 0
+    message = F.when(broken, F.concat(F.lit("Unsupported Date Time Format: "), F.array_join(bad, ", "))).when(
+        ~charset, F.concat(F.lit("Unsupported Encoding: "), F.col("encoding"))
+    )
+    status = F.when(message.isNull(), "VALID").otherwise("PUBLISH_ERROR")
+    return jobs.select("job_id", status.alias("status"), message.alias("message"))
+
+
 def check_metadata(updates: DataFrame) -> DataFrame:
     """Metadata records without a title or with a malformed dataset id."""
     blank = F.coalesce(F.btrim("title"), F.lit("")) == ""

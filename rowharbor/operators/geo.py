@@ -74,6 +74,18 @@ def geocode_join(
     return found.select(*[field(c) for c in kept], F.col("_point").alias(name))
 
 
+def place_locations(df: DataFrame, gazetteer: DataFrame, name: str, parts: Mapping[str, str]) -> DataFrame:
+    """Locations without coordinates get those of their address, where the gazetteer knows it."""
+    address = {p: parts[p] for p in GEOCODED_PARTS if parts.get(p)}
+    if not address:
+        return df
+    point = geocode_join(df, gazetteer, "_point", address)
+    place = field(name)
+    known = place["latitude"].isNotNull() & place["longitude"].isNotNull()
+    filled = place.withField("latitude", F.col("_point.latitude")).withField("longitude", F.col("_point.longitude"))
+    return point.withColumn(name, F.when(known | F.col("_point").isNull(), place).otherwise(filled)).drop("_point")
+
+
 def add_synthetic_columns(
     df: DataFrame, control: FileControl, gazetteer: DataFrame | None = None
 ) -> DataFrame:
@@ -81,6 +93,8 @@ def add_synthetic_columns(
     out = df
     for name, spec in control.synthetic_locations.items():
         out = synthetic_location(out, name, spec.parts)
+        if control.use_geocoding and gazetteer is not None:
+            out = place_locations(out, gazetteer, name, spec.parts)
     for name, spec in control.synthetic_points.items():
         out = _point(out, name, spec, gazetteer)
     return out

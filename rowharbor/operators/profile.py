@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowharbor.functions.text import normalise_header
 from rowharbor.runtime import field
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -96,14 +95,3 @@ def find_column(columns: DataFrame, wanted: DataFrame, by: str = "field_name") -
     return keyed.join(known, ["dataset_id", "_name"], "left").select(
         "dataset_id", "name", "field_name"
     )
-
-
-def header_relation(df: DataFrame, file_id: Column, dataset_id: Column) -> DataFrame:
-    """The header of a file as rows, for the checks that work on relations."""
-    cells = F.array(
-        *[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("name")) for i, n in enumerate(df.columns)]
-    )
-    one = df.sparkSession.range(1).select(
-        file_id.alias("file_id"), dataset_id.alias("dataset_id"), F.inline(cells)
-    )
-    return one.withColumn("name", normalise_header(F.col("name")))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from rowharbor.control import FileControl
 from rowharbor.functions.cells import clean_cell, trim_cell
 from rowharbor.runtime import field
-from rowharbor.sources.delimited import SOURCE_COLUMNS, data_columns, usable_names
+from rowharbor.sources.delimited import data_columns, usable_names
 
 COMPUTED = "computed"  # metadata key of a column the dataset computes itself
 
@@ -82,7 +82,3 @@ def drop_system_columns(df: DataFrame) -> DataFrame:
         if not f.name.startswith(":") and not (f.metadata or {}).get(COMPUTED)
     ]
     return df.select(*[field(c) for c in keep])
-
-
-def source_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c in SOURCE_COLUMNS]

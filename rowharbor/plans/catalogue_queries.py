@@ -219,6 +219,34 @@ def check_actions(spark, sf_dir):
     return checks.check_actions(jobs)
 
 
+_FORMATS = ("ISO8601", "yyyy-MM-dd", "MM/dd/yyyy hh:mm:ss a Z", "dd 'of' MMM ''yy", "EEE d", "yyyy 'open", "")
+_CHARSETS = (None, "UTF-8", "iso-8859-1", "klingon", "utf-16LE", "windows-9999")
+
+
+@query("""
+WITH jobs AS (
+  SELECT event_id AS job_id,
+    list_filter([CASE event_id % 7 WHEN 4 THEN 'EEE d' WHEN 5 THEN 'yyyy ''open' WHEN 6 THEN '' END,
+                 CASE user_id % 7 WHEN 4 THEN 'EEE d' WHEN 5 THEN 'yyyy ''open' WHEN 6 THEN '' END], lambda x: x IS NOT NULL) AS bad,
+    CASE event_id % 6 WHEN 3 THEN 'klingon' WHEN 5 THEN 'windows-9999' END AS charset
+  FROM events)
+SELECT job_id, CASE WHEN len(bad) > 0 OR charset IS NOT NULL THEN 'PUBLISH_ERROR' ELSE 'VALID' END AS status,
+       CASE WHEN len(bad) > 0 THEN 'Unsupported Date Time Format: ' || array_to_string(bad, ', ')
+            WHEN charset IS NOT NULL THEN 'Unsupported Encoding: ' || charset END AS message
+FROM jobs
+""")
+def check_settings(spark, sf_dir):
+    """Events read as jobs, each with two time formats and a charset."""
+    formats = F.array(*[F.lit(f) for f in _FORMATS])
+    charsets = F.array(*[F.lit(c) for c in _CHARSETS])
+    jobs = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("job_id"),
+        F.array(F.get(formats, (F.col("event_id") % 7).cast("int")), F.get(formats, (F.col("user_id") % 7).cast("int"))).alias("formats"),
+        F.get(charsets, (F.col("event_id") % 6).cast("int")).alias("encoding"),
+    )
+    return checks.check_settings(jobs)
+
+
 @query("""
 SELECT doc_id::VARCHAR AS dataset_id, 'Invalid dataset id' AS message FROM documents WHERE n_chars >= 2000
 UNION ALL

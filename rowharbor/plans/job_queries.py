@@ -6,9 +6,10 @@ import json
 
 from pyspark.sql import functions as F
 
-from rowharbor.control import Control, generate_control, parse_control, parse_port_control
+from rowharbor.control import Control, ControlError, generate_control, parse_control, parse_port_control
 from rowharbor.operators import catalog
 from rowharbor.operators.port import copy_catalog_rows
+from rowharbor.operators.typing import ERRORS
 from rowharbor.plans import jobs
 from rowharbor.plans.catalogue_queries import catalog_rows
 from rowharbor.plans.geo_queries import LAYERS_SQL, existing_layers
@@ -181,13 +182,35 @@ GROUP BY ALL
 def licenses_in_use(spark, sf_dir):
     """The licence list with how many texts carry each."""
     code = F.when(F.col("lang") == "en", "CC_40_BY").when(F.col("lang") == "fr", "ODBL").otherwise("")
-    known = catalog.license_list(catalog.licenses(spark))
+    known = catalog.license_list(catalog.licenses(spark)).drop("place")
     used = table(spark, sf_dir, "documents").groupBy(code.alias("license_id")).agg(
         F.count(F.lit(1)).alias("datasets")
     )
     return known.join(used, "license_id")
 
 
+def _quoted(text):
+    return "'" + text.replace("'", "''") + "'"
+
+
+_LICENSES_SQL = ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in catalog.LICENSES)
+
+
+@query(f"""
+SELECT place, k.license_id, label, datasets FROM (
+  SELECT '' AS license_id, '-- No License --' AS label, 1 AS place
+  UNION ALL SELECT *, 1 + row_number() OVER (ORDER BY label) FROM (VALUES {_LICENSES_SQL}) AS l(license_id, label)) k
+JOIN (SELECT CASE lang WHEN 'en' THEN 'CC_40_BY' WHEN 'fr' THEN 'ODBL' ELSE '' END AS license_id, count(*) AS datasets
+      FROM documents GROUP BY 1) u ON u.license_id = k.license_id
+""")
+def licenses_in_order(spark, sf_dir):
+    """Where the licences that texts carry stand in the whole list."""
+    code = F.when(F.col("lang") == "en", "CC_40_BY").when(F.col("lang") == "fr", "ODBL").otherwise("")
+    used = table(spark, sf_dir, "documents").groupBy(code.alias("license_id")).agg(F.count(F.lit(1)).alias("datasets"))
+    listed = catalog.license_list(catalog.licenses(spark)).withColumn("place", F.col("place").cast("bigint"))
+    return listed.join(used, "license_id").select("place", "license_id", "label", "datasets")
+
+
 @query("""
 SELECT o_orderkey, o_orderdate IS NULL AS unread FROM (
   SELECT o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE o_orderdate END AS o_orderdate
@@ -210,3 +233,35 @@ def publish_and_set_aside(spark, sf_dir):
     bad = spark.read.parquet(aside).select("o_orderkey", F.lit(True).alias("_bad"))
     seen = store.read("orde-rs01").join(bad, "o_orderkey", "left")
     return seen.select("o_orderkey", F.col("_bad").isNotNull().alias("unread"))
+
+
+@query("""
+WITH lines AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders)
+SELECT n + 1 AS line, 'never' AS message, 'set aside' AS kind, n - 1 AS logged FROM lines WHERE o_orderpriority = '2-HIGH'
+UNION ALL
+SELECT NULL, 'refused', 'run log', 2 FROM (SELECT count(*) FROM orders)
+""")
+def job_outcomes(spark, sf_dir):
+    """What jobs leave behind: lines of cells that could not be read, rows set aside with their record
+    number, and a run-log row of each job, the refused one included."""
+    store = store_with_orders(spark, sf_dir)
+    day = F.when(F.col("o_orderpriority") == "2-HIGH", "never").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    rows = table(spark, sf_dir, "orders").withColumn("o_orderdate", day).coalesce(1).sortWithinPartitions("o_orderkey")
+    path = as_delimited(rows, "incoming")
+    made = generate_control("in.csv", "upsert")
+    control = Control(made.action, None, made.file.with_options(set_aside_errors=True))
+    aside, report, log = (scratch_path(spark, t) for t in ("aside", "report", "run-log"))
+    jobs.publish_file(store, "orde-rs01", path, control, ORDERS, "o_orderkey", run_log=log, set_aside=aside, report=report)
+    try:
+        refused = Control("Delete", None, made.file)
+        jobs.publish_file(store, "orde-rs01", path, refused, ORDERS, None, run_log=log)
+    except ControlError:
+        pass
+    bad = spark.read.parquet(aside).select("o_orderkey", "record_no", F.explode(ERRORS).alias("e"))
+    lines = spark.read.parquet(report).select("line", "value")
+    met = bad.join(lines, F.col("record_no") + 2 == F.col("line")).select(
+        "line", F.col("value").alias("message"), F.lit("set aside").alias("kind"), F.col("record_no").alias("logged"))
+    runs = spark.read.parquet(log).agg(
+        F.lit(None).cast("bigint").alias("line"), F.lit("refused").alias("message"), F.lit("run log").alias("kind"),
+        F.count_if(F.col("Errors").isNotNull()).alias("logged"))
+    return met.unionByName(runs)

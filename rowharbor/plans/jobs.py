@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowharbor.control import Control, ControlError, check_action, check_encoding, check_formats
 from rowharbor.operators import delta, layers, port, publish
-from rowharbor.operators.errors import drop_uninterpretable, split_errors
+from rowharbor.operators.errors import drop_uninterpretable, error_report, split_errors
 from rowharbor.operators.geo import add_synthetic_columns
 from rowharbor.operators.shape import clean_cells, fit_names, ignore_columns, trim_stored
 from rowharbor.operators.typing import ERRORS, cast_types, field_types
@@ -18,11 +18,13 @@ from rowharbor.runtime import field, fits_broadcast, materialise
 from rowharbor.sources.delimited import (
     SOURCE_COLUMNS,
     data_columns,
+    leading_records,
     scan_delimited,
     usable_names,
     with_position,
+    with_record_no,
 )
-from rowharbor.sources.sinks import write_set_aside
+from rowharbor.sources.sinks import append_run_log, write_set_aside
 from rowharbor.sources.store import SIGNATURE, DatasetStore, Layout, Version, buckets_for, digest_sum
 
 POSITION = "_position"
@@ -42,6 +44,7 @@ class PublishResult:
     rows_updated: int = 0
     rows_deleted: int = 0
     errors: int = 0
+    report: str | None = None  # folder with a row for each cell that could not be read
 
     @property
     def status(self) -> str:
@@ -119,6 +122,7 @@ def publish_rows(
     gazetteer: DataFrame | None = None,
     set_aside: str | None = None,
     batch: str | None = None,
+    report: str | None = None,
 ) -> PublishResult:
     """Publish scanned text rows by the control's action.
 
@@ -146,12 +150,14 @@ def publish_rows(
         prepared = prepare_rows(fitted, control, types, key, gazetteer)
     parsed = materialise(prepared, "parsed")
 
-    good, bad = split_errors(parsed)
+    good, _ = split_errors(parsed)
     errors = parsed.filter(F.size(ERRORS) > 0).count()
+    if file.set_aside_errors and set_aside and errors:
+        write_set_aside(with_record_no(parsed, staged=True, only=F.size(ERRORS) > 0), set_aside)
+    if report and errors:  # also where the file is refused for them
+        error_report(parsed, leading_records(file)).write.mode("append").parquet(report)
     if file.drop_uninterpretable_rows:
         good = drop_uninterpretable(parsed, file.drop_uninterpretable_rows)
-    if file.set_aside_errors and set_aside and errors:
-        write_set_aside(bad, set_aside)
     if key is not None:
         good = publish.last_by_position(with_position(good, POSITION), key, POSITION)
     incoming = good.select(*[field(c) for c in good.columns if c not in SOURCE_COLUMNS])
@@ -183,6 +189,7 @@ def publish_rows(
     return PublishResult(
         dataset_id, method, version,
         counts.get(publish.CREATED, 0), counts.get(publish.UPDATED, 0), deleted, errors,
+        report if errors else None,
     )
 
 
@@ -224,15 +231,29 @@ def publish_file(
     control: Control,
     types: Mapping[str, str] | None = None,
     key: str | None = None,
+    run_log: str | None = None,
+    job_file: str | None = None,
     **options,
 ) -> PublishResult:
-    """Publish a file or folder of files. Types that are not named follow from the dataset."""
-    check_job(store.spark, control, key)
-    names = control.file.columns
-    if names is None and not control.file.has_header_row and control.action.lower() != "delete":
-        names = store.read(dataset_id).columns  # a file without a header follows the dataset
-    rows = scan_delimited(store.spark, path, control.file, names)
-    return publish_rows(store, dataset_id, rows, control, types, key, **options)
+    """Publish a file or folder of files. Types that are not named follow from the dataset.
+
+    With a ``run_log`` every job leaves a row there, also one that was refused or failed.
+    """
+    try:
+        check_job(store.spark, control, key)
+        names = control.file.columns
+        if names is None and not control.file.has_header_row and control.action.lower() != "delete":
+            names = store.read(dataset_id).columns  # a file without a header follows the dataset
+        rows = scan_delimited(store.spark, path, control.file, names)
+        result = publish_rows(store, dataset_id, rows, control, types, key, **options)
+    except Exception as error:
+        if run_log:
+            none = PublishResult(dataset_id, (control.action or "").lower(), None)
+            append_run_log(result_frame(store.spark, none, path, job_file, f"{type(error).__name__}: {error}"[:2000]), run_log)
+        raise
+    if run_log:
+        append_run_log(result_frame(store.spark, result, path, job_file), run_log)
+    return result
 
 
 def replace_by_delta(
@@ -403,9 +424,9 @@ def replace_layers(
 
 
 def result_frame(
-    spark: SparkSession, result: PublishResult, path: str, job_file: str | None = None
+    spark: SparkSession, result: PublishResult, path: str, job_file: str | None = None, failure: str | None = None
 ) -> DataFrame:
-    """A job result as the one-row input of the run log."""
+    """A job result, or why the job failed, as the one-row input of the run log."""
     return spark.range(1).select(
         F.current_timestamp().alias("run_at"),
         F.lit(result.dataset_id).alias("dataset_id"),
@@ -415,6 +436,6 @@ def result_frame(
         F.lit(result.rows_updated).alias("rows_updated"),
         F.lit(result.rows_created).alias("rows_created"),
         F.lit(result.rows_deleted).alias("rows_deleted"),
-        F.lit(result.errors > 0).alias("is_error"),
-        F.lit(f"{result.errors} rows could not be read").alias("message"),
+        F.lit(failure is not None or result.errors > 0).alias("is_error"),
+        F.lit(failure or f"{result.errors} rows could not be read").alias("message"),
     )

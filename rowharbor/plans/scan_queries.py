@@ -8,7 +8,7 @@ from rowharbor.control import NO_QUOTE, ColumnOverride, FileControl
 from rowharbor.functions import text
 from rowharbor.functions.patterns import DEFAULT_TIME_FORMATS
 from rowharbor.functions.temporal import parse_fixed, parse_floating
-from rowharbor.operators.shape import clean_cells, ignore_columns, map_columns
+from rowharbor.operators.shape import clean_cells, ignore_columns, map_columns, trim_stored
 from rowharbor.operators.typing import ERRORS, cast_types
 from rowharbor.plans.registry import as_delimited, in_order, query, table
 from rowharbor.runtime import scratch_path
@@ -194,6 +194,21 @@ def trim_and_null(spark, sf_dir):
     return typed_scan(spark, path, control, types)
 
 
+@query("""
+SELECT c_custkey, c_name, '  ' || c_mktsegment || ' ' AS c_mktsegment, c_acctbal FROM customer
+""")
+def trim_stored_cells(spark, sf_dir):
+    """Texts of the stored side are trimmed where the control asks for it, here for all columns but one."""
+    stored = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit(" \t"), "c_name", F.lit("\u000b ")).alias("c_name"),
+        F.concat(F.lit("  "), "c_mktsegment", F.lit(" ")).alias("c_mktsegment"), "c_acctbal",
+    )
+    control = PLAIN.with_options(
+        trim_server_whitespace=True, overrides={"c_mktsegment": ColumnOverride(trim_server_whitespace=False)}
+    )
+    return trim_stored(stored, control)
+
+
 @query("SELECT c_custkey AS id, c_name AS title, c_mktsegment AS kind FROM customer")
 def mapped_columns(spark, sf_dir):
     """Columns renamed by position, one dataset field claimed twice, one file column ignored."""

@@ -16,6 +16,7 @@ from rowharbor.sources.delimited import (
     SRC_POS,
     SRC_TIME,
     csv_schema,
+    drop_leading,
     leading_records,
     reader_options,
 )
@@ -28,12 +29,10 @@ def read_folder(spark: SparkSession, folder: str, control: Control, max_files: i
     file = control.file
     if not file.columns:
         raise ValueError("a stream needs the columns named in the control")
-    if leading_records(file) > 1:
-        raise ValueError("a stream can skip one record per file at most")
     reader = (
         spark.readStream.schema(csv_schema(file.columns))
         .options(**reader_options(file))
-        .option("header", leading_records(file) == 1)
+        .option("header", leading_records(file) == 1)  # more are dropped from each batch
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -66,6 +65,8 @@ def ingest_stream(
 
     def publish_batch(rows: DataFrame, batch_id: int) -> None:
         placed = rows.select("*", F.monotonically_increasing_id().alias(SRC_POS))
+        if leading_records(control.file) > 1:
+            placed = drop_leading(placed, leading_records(control.file))
         publish_rows(
             store, dataset_id, placed, control, types, key, batch=f"{checkpoint}#{batch_id}"
         )

@@ -101,6 +101,55 @@ def test_points_and_locations(spark):
     assert by_lat["x"].found is None
 
 
+def test_locations_are_geocoded_where_the_control_says_so(spark):
+    df = spark.createDataFrame([(None, None, "Main St."), ("5", "6", "main st"), (None, None, "  "), (None, "1", "nowhere")],
+                               "lat string, lon string, street string")
+    parts = {"address": "street", "latitude": "lat", "longitude": "lon"}
+    gazetteer = spark.createDataFrame([("MAIN  st", 1.0, 2.0), ("", 9.0, 9.0)], "address string, latitude double, longitude double")
+    for asked, first in ((True, (1.0, 2.0)), (False, (None, None))):
+        control = FileControl(synthetic_locations={"place": Synthetic("location", parts)}, use_geocoding=asked)
+        got = geo.add_synthetic_columns(df, control, gazetteer)
+        assert got.columns == [*df.columns, "place"]
+        places = sorted(((r.street, r.place.latitude, r.place.longitude) for r in got.collect()), key=str)
+        assert places == sorted([("Main St.", *first), ("main st", 5.0, 6.0), ("  ", None, None), ("nowhere", None, 1.0)], key=str)
+
+
+def test_streams_skip_records_before_the_header(spark, tmp_path):
+    store = DatasetStore(spark, str(tmp_path / "store"))
+    jobs.create_dataset(store, "d", spark.createDataFrame([(1, "a")], "id int, v string"), "id", buckets=16)
+    (tmp_path / "in").mkdir()
+    for n in (2, 3):
+        (tmp_path / f"in/{n}.csv").write_text(f"about,this\nid,v\n{n},x\n1,{n}\n")
+    control = Control("Upsert", None, FileControl(separator=",", columns=["id", "v"], skip=2))
+    ingest_stream(spark, str(tmp_path / "in"), control, store, "d", {"id": "int"}, "id", str(tmp_path / "cp"), 1).awaitTermination()
+    got = {r["id"]: r["v"] for r in store.read("d").collect()}
+    assert got in ({1: "3", 2: "x", 3: "x"}, {1: "2", 2: "x", 3: "x"})
+
+
+def test_closed_jobs_are_written_once(spark, tmp_path):
+    """Events out of order and repeated; one job that speaks again after its silence; state is let go."""
+    from rowharbor.streaming.status import closed_jobs, write_closed
+
+    def put(n, *events):
+        rows = [(e, j, f"2024-01-01 {t}", k) for e, j, t, k in events]
+        df = spark.createDataFrame(rows, "event_id int, job_id string, t string, type string")
+        df.select("event_id", "job_id", F.to_timestamp("t").alias("at"), "type").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        schema = "event_id int, job_id string, at timestamp, type string"
+        events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        write_closed(closed_jobs(events, "at", "10 minutes", "5 minutes"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+        out = spark.read.schema("job_id string, first_at timestamp, last_at timestamp, events bigint, type string").parquet(str(tmp_path / "out"))
+        return sorted((r["job_id"], r["first_at"].strftime("%H:%M"), r["last_at"].strftime("%H:%M"), r["events"], r["type"]) for r in out.collect())
+
+    put(0, (2, "a", "00:06:00", "done"), (1, "a", "00:00:00", "begun"), (3, "b", "00:08:00", "begun"))
+    put(1, (2, "a", "00:06:00", "done"), (4, "b", "00:04:00", "queued"), (5, "c", "00:30:00", "begun"))
+    assert run() == [("a", "00:00", "00:06", 2, "done"), ("b", "00:04", "00:08", 2, "begun")]
+    put(2, (6, "a", "00:40:00", "again"), (7, "z", "00:01:00", "too late"))
+    put(3, (8, "d", "01:30:00", "begun"))
+    assert run() == [("a", "00:00", "00:06", 2, "done"), ("a", "00:40", "00:40", 1, "again"), ("b", "00:04", "00:08", 2, "begun"), ("c", "00:30", "00:30", 1, "begun")]
+
+
 def test_composite_takes_the_place_of_a_mapped_column(spark):
     df = spark.createDataFrame([("a", "b")], "Place string, street string")
     made = geo.synthetic_location(df, "place", {"address": "street"})

@@ -207,3 +207,29 @@ def test_port(store):
     got = port_dataset(store, "ab12-cd34", "zz99-zz99", "data", "upsert", "id")
     assert got.rows_created == 3
     assert sorted(store.read("zz99-zz99").collect()) == sorted(store.read("ab12-cd34").collect())
+
+
+def test_every_job_leaves_a_run_log_row(spark, store, tmp_path):
+    """A job that publishes, one with bad cells, one that is refused, and one that fails."""
+    put(store, TWO)
+    log, report, aside = (str(tmp_path / t) for t in ("log", "report", "aside"))
+
+    def job(text, action="upsert", **options):
+        made = generate_control("in.csv", action)
+        control = Control(made.action, None, made.file.with_options(set_aside_errors=True))
+        return publish_file(store, "ab12-cd34", csv(tmp_path, text), control, TYPES, "id", run_log=log, job_file="a.job", report=report, **options)
+
+    assert job(HEADER + "1,a,b,\n").report is None
+    bad = job(HEADER + "3,c,d,04/30/2011\n\n9,a,b,never\n", set_aside=aside)
+    assert (bad.errors, bad.status, bad.report) == (1, "PUBLISH_ERROR", report)
+    lines = spark.read.parquet(report).collect()
+    assert sorted((r["line"], r["column"], r["value"]) for r in lines) == [(3, "date", "never")]
+    assert [r["record_no"] for r in spark.read.parquet(aside).collect()] == [1]
+    with pytest.raises(PublishRefused):
+        job("id,unheard\n1,2\n")
+    with pytest.raises(Exception, match="(?i)action|method"):
+        job(HEADER, "merge")
+    rows = spark.read.parquet(log).orderBy("Date").collect()
+    assert [(r["Success"], r["RowsCreated"], r["JobFile"]) for r in rows] == [
+        (True, 0, "a.job"), (None, 1, "a.job"), (None, 0, "a.job"), (None, 0, "a.job")]
+    assert rows[1]["Errors"] == "1 rows could not be read" and "Extra Columns" in rows[2]["Errors"]
