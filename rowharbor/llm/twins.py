@@ -96,15 +96,17 @@ WITH docs AS (
 ), gone AS (
     SELECT *, unit - row_number() OVER (PARTITION BY row ORDER BY unit) AS island FROM ranked WHERE turn > 1
 ), runs AS (
-    SELECT *, sum(len(words)) OVER (PARTITION BY row, island) AS run FROM gone
+    SELECT *, sum(len(words)) OVER (PARTITION BY row, island) AS run,
+           row_number() OVER (PARTITION BY row, island ORDER BY unit) AS nth FROM gone
 ), summed AS (
-    SELECT row, count(*) AS n_removed, CAST(sum(len(words)) AS BIGINT) AS words_removed, CAST(max(run) AS BIGINT) AS longest_run,
+    SELECT row, count(*) AS n_units, CAST(sum(len(words)) AS BIGINT) AS n_words, CAST(max(run) AS BIGINT) AS longest_run,
+           count(*) FILTER (nth = 1 AND run >= 20) AS n_passages,
            string_agg(start || ':' || (start + size), ',' ORDER BY start) AS spans,
            string_agg(first_doc_id::VARCHAR, ',' ORDER BY start) AS first_doc_ids
     FROM runs GROUP BY row
 )
-SELECT doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(words_removed, 0) AS words_removed,
-       coalesce(longest_run, 0) AS longest_run, coalesce(spans, '') AS spans, coalesce(first_doc_ids, '') AS first_doc_ids
+SELECT doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_words, 0) AS n_words, coalesce(longest_run, 0) AS longest_run,
+       coalesce(n_passages, 0) AS n_passages, coalesce(spans, '') AS spans, coalesce(first_doc_ids, '') AS first_doc_ids
 FROM docs LEFT JOIN summed USING (row)
 """,
 }

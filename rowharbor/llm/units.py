@@ -108,28 +108,32 @@ def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     )
 
 
-def removal_report(docs: DataFrame, removed: DataFrame) -> DataFrame:
+def removal_report(docs: DataFrame, removed: DataFrame, passage: int = 20) -> DataFrame:
     """One row per row of ``docs``: how many units and words go, their spans by start, and what tells
-    a shared passage from single lines: ``longest_run``, the most words in neighbouring units that go.
+    shared passages from single lines: ``longest_run``, the most words in neighbouring units that go, and
+    ``n_passages``, how many such runs have ``passage`` words or more. All of them go, short or long.
 
     Rows that repeat an id and a text, or have no id, have rows of their own.
     """
     own = F.struct("start", "end", "unit", "words", "first_doc_id")
     cuts = removed.groupBy(F.col("row").alias("_row")).agg(F.sort_array(F.collect_set(own)).alias("_spans"))
     zero = F.lit(0).cast("bigint")
-    runs = F.aggregate(
-        "_spans", F.struct(zero.alias("longest"), zero.alias("run"), F.lit(-2).cast("bigint").alias("unit")),
-        lambda acc, s: _step(acc, s), lambda acc: acc["longest"])
+    start = F.struct(zero.alias("longest"), zero.alias("passages"), zero.alias("run"), F.lit(-2).cast("bigint").alias("unit"))
+
+    def step(acc: Column, span: Column) -> Column:
+        before = F.when(span["unit"] == acc["unit"] + 1, acc["run"]).otherwise(0)
+        run = before + span["words"]
+        begun = (before < passage) & (run >= passage)
+        return F.struct(F.greatest(acc["longest"], run).alias("longest"), (acc["passages"] + begun.cast("bigint")).alias("passages"),
+                        run.alias("run"), span["unit"].alias("unit"))
+
+    runs = F.aggregate("_spans", start, step)
     words = F.aggregate("_spans", zero, lambda acc, s: acc + s["words"])
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_digest().alias("_row"))
-    return slim.join(cuts, "_row", "left").select(
-        "doc_id", F.greatest(F.size("_spans"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce(words, zero).alias("words_removed"), F.coalesce(runs, zero).alias("longest_run"),
+    return slim.join(cuts, "_row", "left").withColumn("_runs", runs).select(
+        "doc_id", F.greatest(F.size("_spans"), F.lit(0)).cast("bigint").alias("n_units"),
+        F.coalesce(words, zero).alias("n_words"), F.coalesce("_runs.longest", zero).alias("longest_run"),
+        F.coalesce("_runs.passages", zero).alias("n_passages"),
         F.coalesce(F.array_join(F.transform("_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ","), F.lit("")).alias("spans"),
         F.coalesce(F.transform("_spans", lambda s: s["first_doc_id"]), F.array().cast("array<bigint>")).alias("first_doc_ids"),
     )
-
-
-def _step(acc: Column, span: Column) -> Column:
-    run = F.when(span["unit"] == acc["unit"] + 1, acc["run"]).otherwise(0) + span["words"]
-    return F.struct(F.greatest(acc["longest"], run).alias("longest"), run.alias("run"), span["unit"].alias("unit"))

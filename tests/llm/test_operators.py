@@ -326,18 +326,17 @@ def plain_units(text):
 def test_repeated_lines(spark, sf_dir, texts):
     seen, want = set(), {}
     for doc in sorted(texts):
-        spans, words, run, longest = [], 0, 0, 0
+        spans, runs, going = [], [], False
         for start, end, key in plain_units(texts[doc]):
             if key in seen:
                 spans.append(f"{start}:{end}")
-                words, run = words + len(key.split()), run + len(key.split())
-                longest = max(longest, run)
-            else:
-                run = 0
+                runs = [*runs[:-1], runs[-1] + len(key.split())] if going else [*runs, len(key.split())]
+            going = key in seen
             seen.add(key)
-        want[doc] = (len(spans), words, longest, ",".join(spans))
-    got = {d: (r["n_removed"], r["words_removed"], r["longest_run"], r["spans"]) for d, r in rows(q.op9_repeated_lines(spark, sf_dir)).items()}
-    assert got == want
+        want[doc] = (len(spans), sum(runs), max(runs, default=0), sum(r >= 20 for r in runs), ",".join(spans))
+    names = ("n_units", "n_words", "longest_run", "n_passages", "spans")
+    got = {d: tuple(r[n] for n in names) for d, r in rows(q.op9_repeated_lines(spark, sf_dir)).items()}
+    assert got == want and any(w[3] for w in want.values())
 
 
 def test_lines_are_cut(spark):
@@ -353,7 +352,7 @@ def test_unspaced_short_and_inner_units(spark):
         [(1, f"{long}\nYes\nStart. {passage} ends."), (2, f"other\n{long}\nyes"), (3, f"Own words go first. {passage} stops here.")],
         "doc_id bigint, text string")
     got = rows(units.removal_report(docs, units.repeated_units(docs)))
-    assert [got[d]["n_removed"] for d in (1, 2, 3)] == [0, 2, 2]
+    assert [got[d]["n_units"] for d in (1, 2, 3)] == [0, 2, 2]
     assert [got[d]["longest_run"] for d in (1, 2, 3)] == [0, 2, 10]
     left = units.without_units(docs, units.repeated_units(docs))
     assert {r[0]: r[1] for r in left.collect() if r[0] > 1} == {2: "other\n", 3: "Own words go first. And a third stops here."}
@@ -395,7 +394,7 @@ def test_odd_rows_give_a_row_each(odd, empty, name):
 def test_odd_rows_in_lines_and_leaks(odd, empty, spark):
     # doc 2 repeats the first line of doc 1; its two rows are equal and count as one
     cut = units.removal_report(odd, units.repeated_units(odd)).collect()
-    assert sorted((r["doc_id"], r["spans"]) for r in cut if r["n_removed"]) == [(2, "0:48"), (2, "0:48")]
+    assert sorted((r["doc_id"], r["spans"]) for r in cut if r["n_units"]) == [(2, "0:48"), (2, "0:48")]
     assert len(cut) == odd.count() and units.removal_report(empty, units.repeated_units(empty)).count() == 0
     bench = spark.createDataFrame([(1, "Wörter sind hier und dort zu lesen wie immer"), (None, None)], "item_id bigint, text string")
     assert {r["doc_id"] for r in decontaminate.leaks(odd, bench).collect()} == {6}

@@ -62,5 +62,5 @@ def test_removals_are_reported_by_text(spark):
     line = "a b c d e"
     texts = [(1, line), (None, f"x\n{line}"), (None, f"one more\n{line}"), (2, f"y\n{line}"), (2, f"yyy\n{line}")]
     docs = spark.createDataFrame(texts, "doc_id bigint, text string")
-    got = [(r["doc_id"] or 0, r["n_removed"], r["spans"]) for r in units.removal_report(docs, units.repeated_units(docs)).collect()]
+    got = [(r["doc_id"] or 0, r["n_units"], r["spans"]) for r in units.removal_report(docs, units.repeated_units(docs)).collect()]
     assert sorted(got) == [(0, 1, "2:11"), (0, 1, "9:18"), (1, 0, ""), (2, 1, "2:11"), (2, 1, "4:13")]
