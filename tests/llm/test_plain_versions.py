@@ -1,15 +1,18 @@
 """Operators against plain Python versions of the same method, without their shortcuts."""
 
+import math
 import random
 import re
 import struct
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rowharbor.llm import langid, ordermin, secrets
+from rowharbor.llm import langid, lm, ordermin, secrets
 
 LOW = ordermin.LOW
 
@@ -110,3 +113,56 @@ def test_regression_with_all_landmarks_equals_the_dense_solution(documents):
     assert np.abs(margins - dense).max() < 0.02
     labels, belief = langid.score([t for _, _, t in sample], model)
     assert labels == [model.labels[i] for i in dense.argmax(axis=1)] and all(0 <= b <= 1 for b in belief)
+
+
+def test_interpolated_scores_equal_a_plain_model(documents):
+    """Counts, EM and mixture in plain Python, over all texts at once; events in the same steps of estimates."""
+    rows = [(r[0], (r[1] or "").encode().lower().split() + [b""]) for r in documents.select("doc_id", "text").collect()]
+    fold = {d: zlib.crc32(str(d).encode()) % 5 for d, _ in rows}
+
+    def counted(kept):
+        one, two = Counter(), Counter()
+        for d, tokens in rows:
+            if fold[d] in kept:
+                one.update(tokens)
+                two.update(zip([b"", *tokens[:-1]], tokens))
+        return one, two, sum(one.values())
+
+    def bucket(n):
+        return min(lm.BUCKETS - 1, math.ceil(math.log2(n + 1)))
+
+    train, rest = counted({0, 2, 3, 4}), counted({0, 2, 3})
+    uniform = 1 / (len(train[0]) + 1)
+    events = defaultdict(Counter)
+    for d, tokens in rows:
+        if fold[d] == 4:
+            for before, word in zip([b"", *tokens[:-1]], tokens):
+                estimates = rest[1][before, word] / max(rest[0][before], 1), rest[0][word] / rest[2]
+                cell = tuple(2.0 ** (round(math.log2(e / uniform) * lm.STEPS) / lm.STEPS) if e else 0.0 for e in estimates)
+                events[bucket(rest[0][before])][cell] += 1
+
+    def weights(cells):
+        w = [1 / 3] * 3
+        for _ in range(60):
+            gained = [0.0] * 3
+            for cell, n in cells.items():
+                parts = [w[0] * cell[0], w[1] * cell[1], w[2]]
+                for k in range(3):
+                    gained[k] += n * parts[k] / sum(parts)
+            w = [max(g / sum(gained), 0.0) for g in gained]
+        w = [max(x, 1e-9) for x in w]
+        return [x / sum(w) for x in w]
+
+    pooled = Counter()
+    for own in events.values():
+        pooled.update(own)
+    by_bucket = {b: weights(own) for b, own in events.items()}
+    otherwise = weights(pooled)
+    got = {r["doc_id"]: r for r in lm.score_texts(documents).collect()}
+    assert len(got) == len(rows) and len(by_bucket) > 5
+    for d, tokens in rows:
+        want = 0.0
+        for before, word in zip([b"", *tokens[:-1]], tokens):
+            w = by_bucket.get(bucket(train[0][before]), otherwise)
+            want += math.log10(w[0] * train[1][before, word] / max(train[0][before], 1) + w[1] * train[0][word] / train[2] + w[2] * uniform)
+        assert got[d]["score"] == pytest.approx(want, rel=1e-6, abs=1e-6)
