@@ -55,7 +55,7 @@ def commit_state(
     jobs = job_log.groupBy("job_id").agg(F.max(of_type(COMMITTED)).alias("_committed"))
     known = submissions.join(readable, "dataset_id", "left").join(taken, ["dataset_id", "opaque"], "left")
     # submissions that no job took have no job id; they and jobs of very many submissions are no hot spot
-    judged = join_hot(materialise(known, "submissions"), materialise(jobs, "job-states"), ["job_id"])
+    judged = join_hot(known, materialise(jobs, "job-states"), ["job_id"])
     state = (
         F.when(F.col("_read").isNull(), "UNKNOWN")
         .when(F.col("job_id").isNull(), "NOT_COMMITTING")

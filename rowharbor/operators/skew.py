@@ -27,33 +27,35 @@ def join_hot(
 ) -> DataFrame:
     """``rows`` left join ``other`` (unique keys) on ``keys``.
 
-    Rows with a null key, or ``absent``, can't match: they pass by and are never shuffled. Where ``other``
-    is small enough to broadcast, that is all. Beyond that, keys that a sketch finds frequent among the rows
-    are salted: their rows are spread over ``SALTS`` tasks, and their rows of ``other`` are repeated
-    for each, which are ``FREQUENT`` times ``SALTS`` at most. Pass written tables; they are read twice.
+    Where ``other``, a written table, is small enough to broadcast, that is all. Beyond that, rows with a
+    null key, or ``absent``, which can't match, pass by unshuffled, and keys that a sketch finds frequent
+    among the others are salted: their rows are spread over ``SALTS`` tasks, and their rows of ``other`` are
+    repeated for each, which are ``FREQUENT`` times ``SALTS`` at most. ``rows`` are written out for that. A key
+    that ``absent`` speaks of must not be in ``other``.
     """
+    if fits_broadcast(other):
+        return rows.join(other, list(keys), "left").select(
+            *[field(c) for c in rows.columns], *[field(c) for c in other.columns if c not in keys])
+    staged = materialise(rows, "hot-join")
     missing = F.lit(False) if absent is None else F.coalesce(absent, F.lit(False))
     for k in keys:
         missing = missing | field(k).isNull()
     added = [c for c in other.columns if c not in keys]
-    here = rows.filter(~missing)
-    gone = rows.filter(missing).select(
+    here = staged.filter(~missing)
+    gone = staged.filter(missing).select(
         *[field(c) for c in rows.columns], *[F.lit(None).cast(other.schema[c].dataType).alias(c) for c in added])
-    if fits_broadcast(other):
-        met = here.join(other, list(keys), "left")
-    else:
-        one = F.to_json(F.struct(*[field(k).alias(f"k{i}") for i, k in enumerate(keys)]))
-        hot = materialise(frequent_keys(here, keys, least_share).select("_key", F.lit(True).alias("_hot")), "hot-keys")
-        spread = F.pmod(F.xxhash64(*[field(c) for c in rows.columns]), F.lit(SALTS)).cast("int")
-        salted = (
-            here.withColumn("_key", one).join(F.broadcast(hot), "_key", "left")  # FREQUENT rows at most
-            .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_key", "_hot")
-        )
-        every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        copies = (
-            other.withColumn("_key", one).join(F.broadcast(hot), "_key", "left")
-            .withColumn("_salt", F.explode(every)).drop("_key", "_hot")
-        )
-        met = salted.join(copies, [*keys, "_salt"], "left")
+    one = F.to_json(F.struct(*[field(k).alias(f"k{i}") for i, k in enumerate(keys)]))
+    hot = materialise(frequent_keys(here, keys, least_share).select("_key", F.lit(True).alias("_hot")), "hot-keys")
+    spread = F.pmod(F.xxhash64(*[field(c) for c in rows.columns]), F.lit(SALTS)).cast("int")
+    salted = (
+        here.withColumn("_key", one).join(F.broadcast(hot), "_key", "left")  # FREQUENT rows at most
+        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_key", "_hot")
+    )
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copies = (
+        other.withColumn("_key", one).join(F.broadcast(hot), "_key", "left")
+        .withColumn("_salt", F.explode(every)).drop("_key", "_hot")
+    )
     wanted = [*rows.columns, *added]
-    return met.select(*[field(c) for c in wanted]).unionByName(gone.select(*[field(c) for c in wanted]))
+    met = salted.join(copies, [*keys, "_salt"], "left")
+    return met.select(*[field(c) for c in wanted]).unionByName(gone)
