@@ -89,6 +89,12 @@ def last_of_few_repeats(
     return once.unionByName(again)
 
 
+def repeated_keys(staged: DataFrame, key: str) -> DataFrame:
+    """Keys of more than one row; only keys are shuffled."""
+    seen = staged.groupBy(field(key)).agg(F.count(F.lit(1)).alias("_n"))
+    return seen.filter(F.col("_n") > 1).select(field(key))
+
+
 def last_positions(staged: DataFrame, key: str | Sequence[str], position: str) -> DataFrame:
     """``key, _last`` of the keys that repeat: their greatest position, a ``bigint`` that no two rows share.
 

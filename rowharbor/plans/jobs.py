@@ -158,7 +158,7 @@ def publish_rows(
         error_report(parsed, leading_records(file)).write.mode("append").parquet(report)
     if file.drop_uninterpretable_rows:
         good = drop_uninterpretable(parsed, file.drop_uninterpretable_rows)
-    if key is not None:
+    if key is not None and not publish.repeated_keys(good, key).isEmpty():
         good = publish.last_by_position(with_position(good, POSITION), key, POSITION)
     incoming = good.select(*[field(c) for c in good.columns if c not in SOURCE_COLUMNS])
 
