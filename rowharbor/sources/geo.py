@@ -10,6 +10,10 @@ GEOJSON_SCHEMA = (
     "features array<struct<type:string, id:string, properties:variant, geometry:variant>>"
 )
 
+# Bytes no document holds: the reader takes a whole file for one record, and has its bytes at hand. Of a stream it
+# would fetch each number or list that stands for a text, as a feature's id, by a read of its own.
+_NO_END = "\u0001\u0002end\u0002\u0001"
+
 _LINE = "struct<coordinates:string>"
 _POLYGON = f"struct<outerBoundaryIs:struct<LinearRing:{_LINE}>, innerBoundaryIs:array<struct<LinearRing:array<{_LINE}>>>>"
 _SHAPES = f"Point:array<{_LINE}>, LineString:array<{_LINE}>, Polygon:array<{_POLYGON}>"
@@ -28,7 +32,8 @@ def scan_geojson(
     ``(type, coordinates)`` of each member of a collection, or of the geometry itself. A collection within
     a collection is one part, with its members as JSON text. A file is one collection of features, or a
     ``sequence`` of one per line, which Spark can split."""
-    whole = spark.read.schema(GEOJSON_SCHEMA).option("multiLine", not sequence).json(path)
+    reader = spark.read.schema(GEOJSON_SCHEMA)
+    whole = (reader if sequence else reader.option("lineSep", _NO_END)).json(path)
     return geojson_features(whole.select("*", F.col("_metadata.file_path").alias("file")))
 
 

@@ -56,6 +56,34 @@ def test_geojson_of_odd_shapes(spark, tmp_path):
     assert rows[1].parts is None
 
 
+def bytes_read(spark):
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(s.getBytesRead() for s in files if s.getScheme() == "file")
+
+
+@pytest.mark.parametrize("split", [None, 20_000])
+def test_geojson_is_read_once(spark, tmp_path, split):
+    """Ids that are numbers keep their text, and no id costs another read of the file."""
+    features = ", ".join('{"type": "Feature", "id": %d.50,\n "properties": {"n": %d}, "geometry": null}' % (i, i) for i in range(3000))
+    path = tmp_path / "a.geojson"
+    path.write_text('{"type": "FeatureCollection",\n "name": "n", "features": [%s]}' % features)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        if split:
+            for k, v in zip(names, (split, 1)):
+                spark.conf.set(k, str(v))
+        start = bytes_read(spark)
+        found = scan_geojson(spark, str(path)).select("feature_no", "feature_id").collect()
+        done = bytes_read(spark) - start
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(tuple(r) for r in found) == [(i, f"{i}.50") for i in range(3000)]
+    parts = -(-path.stat().st_size // split) if split else 1  # a part looks for the record's end
+    assert done < 1.5 * parts * path.stat().st_size
+
+
 def test_joins_on_hot_and_absent_keys(spark, tmp_path):
     """A third of the rows without a key, a third with one key: the result of a plain join, spread evenly."""
     from rowharbor.operators.skew import join_hot
