@@ -11,6 +11,7 @@ from rowharbor.control import FileControl
 from rowharbor.operators import checks, delta, joblog, profile, publish
 from rowharbor.operators.shape import clean_cells
 from rowharbor.operators.typing import cast_types
+from rowharbor.plans import publish_queries
 from rowharbor.plans.registry import table
 from rowharbor.sources.delimited import scan_delimited
 
@@ -137,6 +138,25 @@ def test_header_checks_join_by_equality(spark):
     assert text.count("ExistingRDD") == 2  # each relation is read once
 
 
+def test_exact_ranks(spark):
+    """Distinct counts and whether a value lies between two percentiles, as Spark's own aggregates say."""
+    for values, medians in (([1, 1, 2, None, 5], {1, 2}), ([None], {None}), ([*range(101)], {47, 48, 52, 53}), ([0] * 49 + [1] * 51, {0, 1})):
+        rows = spark.createDataFrame([(v,) for v in values], "x bigint")
+        low, high, d = rows.agg(F.percentile("x", 0.48), F.percentile("x", 0.52), F.count_distinct("x")).first()
+        for m in medians:
+            found = spark.createDataFrame([("x", None if m is None else float(m)), ("y", 1.0)], "column_name string, p50 double")
+            want = None if m is None else low <= m <= high
+            assert tuple(publish_queries._exact(rows, found, "x", True).first()) == ("x", d, want)
+    texts = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "x string")
+    found = spark.createDataFrame([("x", None)], "column_name string, p50 double")
+    assert tuple(publish_queries._exact(texts, found, "x", False).first()) == ("x", 2, None)
+
+
+def test_exact_statistics_hold_no_column_in_one_task(spark, sf_dir):
+    text = plan(publish_queries.merged_statistics(spark, sf_dir))
+    assert "percentile(" not in text and "Expand" not in text
+
+
 def fake(master, configured):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda k, d: configured),
