@@ -22,7 +22,7 @@ from rowharbor.plans.publish_queries import (
     store_with_orders,
     upsert_sql,
 )
-from rowharbor.plans.registry import as_delimited, query, table
+from rowharbor.plans.registry import as_delimited, in_order, query, table
 from rowharbor.plans.scan_queries import ORDERS
 from rowharbor.runtime import scratch_path
 from rowharbor.sources.store import DatasetStore
@@ -246,12 +246,13 @@ def job_outcomes(spark, sf_dir):
     number, and a run-log row of each job, the refused one included."""
     store = store_with_orders(spark, sf_dir)
     day = F.when(F.col("o_orderpriority") == "2-HIGH", "never").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    rows = table(spark, sf_dir, "orders").withColumn("o_orderdate", day).coalesce(1).sortWithinPartitions("o_orderkey")
-    path = as_delimited(rows, "incoming")
+    rows = table(spark, sf_dir, "orders").withColumn("o_orderdate", day)
+    path = as_delimited(in_order(rows, "o_orderkey"), "incoming")
     made = generate_control("in.csv", "upsert")
     control = Control(made.action, None, made.file.with_options(set_aside_errors=True))
     aside, report, log = (scratch_path(spark, t) for t in ("aside", "report", "run-log"))
-    jobs.publish_file(store, "orde-rs01", path, control, ORDERS, "o_orderkey", run_log=log, set_aside=aside, report=report)
+    jobs.publish_file(store, "orde-rs01", path, control, ORDERS, "o_orderkey", run_log=log, set_aside=aside, report=report,
+                      whole_folder=True)
     try:
         refused = Control("Delete", None, made.file)
         jobs.publish_file(store, "orde-rs01", path, refused, ORDERS, None, run_log=log)

@@ -123,9 +123,12 @@ def publish_rows(
     set_aside: str | None = None,
     batch: str | None = None,
     report: str | None = None,
+    whole_folder: bool = False,
 ) -> PublishResult:
     """Publish scanned text rows by the control's action.
 
+    ``whole_folder``: the files are the parts of one export, and reports number its records through them.
+
     Of rows with the same key the last one counts. The rows are parsed once, into scratch space;
     bad rows are skipped, set aside or refused as the control says, and the rest is merged into a
     new version that is checked before it is published. Of a dataset stored by the same key, only
@@ -153,9 +156,9 @@ def publish_rows(
     good, _ = split_errors(parsed)
     errors = parsed.filter(F.size(ERRORS) > 0).count()
     if file.set_aside_errors and set_aside and errors:
-        write_set_aside(with_record_no(parsed, staged=True, only=F.size(ERRORS) > 0), set_aside)
+        write_set_aside(with_record_no(parsed, True, whole_folder, only=F.size(ERRORS) > 0), set_aside)
     if report and errors:  # also where the file is refused for them
-        error_report(parsed, leading_records(file)).write.mode("append").parquet(report)
+        error_report(parsed, leading_records(file), whole_folder).write.mode("append").parquet(report)
     if file.drop_uninterpretable_rows:
         good = drop_uninterpretable(parsed, file.drop_uninterpretable_rows)
     if key is not None and not publish.repeated_keys(good, key).isEmpty():

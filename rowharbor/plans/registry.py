@@ -11,6 +11,8 @@ from rowharbor.sources.sinks import write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+FILES, FILE_ROWS = 8, 500_000  # files of an export in order, and the rows of a large one's
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -38,6 +40,8 @@ def as_delimited(df: DataFrame, tag: str, separator: str = ",", header: bool = T
     return path
 
 
-def in_order(df: DataFrame, key: str) -> DataFrame:
-    """Rows laid out so that the files of a write hold them in key order."""
-    return df.repartitionByRange(key).sortWithinPartitions(key)
+def in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows laid out so that the files of a write hold them in key order, as many files as ``df`` needs:
+    what one task sorts does not grow with the table."""
+    files = max(FILES, -(-df.count() // FILE_ROWS))
+    return df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)

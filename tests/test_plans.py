@@ -11,8 +11,8 @@ from rowharbor.control import FileControl
 from rowharbor.operators import checks, delta, joblog, profile, publish
 from rowharbor.operators.shape import clean_cells
 from rowharbor.operators.typing import cast_types
-from rowharbor.plans import publish_queries
-from rowharbor.plans.registry import table
+from rowharbor.plans import job_queries, publish_queries, registry
+from rowharbor.plans.registry import in_order, table
 from rowharbor.sources.delimited import scan_delimited
 
 
@@ -138,6 +138,32 @@ def test_header_checks_join_by_equality(spark):
     assert text.count("ExistingRDD") == 2  # each relation is read once
 
 
+def test_exports_in_order_grow_by_files(spark, monkeypatch):
+    """What one task sorts and writes does not grow with the table."""
+    monkeypatch.setattr(registry, "FILE_ROWS", 100)
+    rows = spark.range(3000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    parts = in_order(rows, "a", "b").rdd.glom().collect()
+    assert max(map(len, parts)) < 400 and [tuple(r) for part in parts for r in part] == sorted((i % 7, i) for i in range(3000))
+
+
+@pytest.mark.parametrize("name", ["job_outcomes"])
+def test_scanned_files_grow_by_number(spark, sf_dir, monkeypatch, name):
+    module = job_queries if name == "job_outcomes" else publish_queries
+    monkeypatch.setattr(registry, "FILE_ROWS", 100)
+    rows, write = [], module.as_delimited
+
+    def seen(df, *rest):
+        path = write(df, *rest)
+        sizes = spark.read.csv(path, header=True).groupBy(F.input_file_name()).count().collect()
+        rows.append((max(r["count"] for r in sizes), sum(r["count"] for r in sizes)))
+        return path
+
+    monkeypatch.setattr(module, "as_delimited", seen)
+    getattr(module, name)(spark, sf_dir)
+    (largest, total), = rows
+    assert total > 1000 and largest < 500
+
+
 def test_exact_ranks(spark):
     """Distinct counts and whether a value lies between two percentiles, as Spark's own aggregates say."""
     for values, medians in (([1, 1, 2, None, 5], {1, 2}), ([None], {None}), ([*range(101)], {47, 48, 52, 53}), ([0] * 49 + [1] * 51, {0, 1})):

@@ -233,3 +233,18 @@ def test_every_job_leaves_a_run_log_row(spark, store, tmp_path):
     assert [(r["Success"], r["RowsCreated"], r["JobFile"]) for r in rows] == [
         (True, 0, "a.job"), (None, 1, "a.job"), (None, 0, "a.job"), (None, 0, "a.job")]
     assert rows[1]["Errors"] == "1 rows could not be read" and "Extra Columns" in rows[2]["Errors"]
+
+
+def test_records_of_an_export_in_parts(spark, store, tmp_path):
+    """Reports number the records through all files of a folder."""
+    put(store, TWO)
+    report, aside, folder = str(tmp_path / "report"), str(tmp_path / "aside"), tmp_path / "parts"
+    folder.mkdir()
+    csv(folder, HEADER + "3,c,d,\n4,c,d,never\n", "part-0.csv")
+    csv(folder, HEADER + "5,c,d,soon\n6,c,d,\n7,c,d,late\n", "part-1.csv")
+    made = generate_control("in.csv", "upsert")
+    control = Control(made.action, None, made.file.with_options(set_aside_errors=True))
+    done = publish_file(store, "ab12-cd34", str(folder), control, TYPES, "id", set_aside=aside, report=report, whole_folder=True)
+    assert (done.rows_created, done.errors) == (2, 3)
+    assert sorted((r["line"], r["value"]) for r in spark.read.parquet(report).collect()) == [(3, "never"), (4, "soon"), (6, "late")]
+    assert sorted(r["record_no"] for r in spark.read.parquet(aside).collect()) == [1, 2, 4]
