@@ -146,7 +146,7 @@ def test_exports_in_order_grow_by_files(spark, monkeypatch):
     assert max(map(len, parts)) < 400 and [tuple(r) for part in parts for r in part] == sorted((i % 7, i) for i in range(3000))
 
 
-@pytest.mark.parametrize("name", ["job_outcomes"])
+@pytest.mark.parametrize("name", ["job_outcomes", "last_write_wins_scan"])
 def test_scanned_files_grow_by_number(spark, sf_dir, monkeypatch, name):
     module = job_queries if name == "job_outcomes" else publish_queries
     monkeypatch.setattr(registry, "FILE_ROWS", 100)
